@@ -61,3 +61,23 @@ def pair_cells(air: DataFrame, traffic: DataFrame) -> DataFrame:
 def cells_of(air: DataFrame, traffic: DataFrame) -> DataFrame:
     """Paired cells straight from the two silver sides."""
     return pair_cells(air_cells(air), traffic_cells(traffic))
+
+
+def cells_of_silver(silver: DataFrame) -> DataFrame:
+    """Paired cells from a joined silver table, in one pass over it.
+
+    A joined row stands for one air row that met one traffic row, so the cell has as many air rows
+    as pairs and one traffic row, with the traffic sums taken per pair.
+    """
+    pairs = F.count(F.lit(1))
+    parts = [part for name in AIR_METRICS for part in _parts(name)]
+    count = F.col("debit_horaire")
+    return silver.groupBy(*ZONE_HOUR, *DATE_KEYS).agg(
+        pairs.alias("air_rows"),
+        *parts,
+        F.lit(1).cast("bigint").alias("traffic_rows"),
+        (F.sum(count) / pairs).alias("sum_debit_horaire"),
+        (F.count(count) / pairs).alias("n_debit_horaire"),
+        F.max(count).alias("max_debit_horaire"),
+        F.min(count).alias("min_debit_horaire"),
+    )

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def stamp_ingest_date(df: DataFrame, day: date) -> DataFrame:
@@ -15,6 +16,13 @@ def stamp_ingest_date(df: DataFrame, day: date) -> DataFrame:
     )
 
 
+def cast_known(df: DataFrame, schema: StructType) -> DataFrame:
+    """Columns named in `schema` in its types, all others as they are. A database may deliver
+    decimals or floats; the raw layer has one type per column."""
+    known = {f.name: F.col(f.name).cast(f.dataType) for f in schema.fields if f.name in df.columns}
+    return df.withColumns(known)
+
+
 def drop_duplicate_rows(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """One of each set of equal rows, or of rows equal in `keys`.
 

@@ -1,7 +1,7 @@
 """Sinks: Parquet by ingest date, catalog tables and views, JDBC tables."""
 
 from zonalake.sinks.catalog import create_silver_view, register_table
-from zonalake.sinks.files import counted, write_lake
+from zonalake.sinks.files import counted, write_day, write_lake
 from zonalake.sinks.jdbc import jdbc_write_options, write_jdbc
 
 __all__ = [
@@ -9,6 +9,7 @@ __all__ = [
     "create_silver_view",
     "jdbc_write_options",
     "register_table",
+    "write_day",
     "write_jdbc",
     "write_lake",
 ]

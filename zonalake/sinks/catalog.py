@@ -14,6 +14,12 @@ def _columns(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def _drop(spark: SparkSession, name: str) -> None:
+    if spark.catalog.tableExists(name):
+        is_view = spark.catalog.getTable(name).tableType == "VIEW"
+        spark.sql(f"DROP {'VIEW' if is_view else 'TABLE'} {name}")
+
+
 def register_table(
     spark: SparkSession,
     name: str,
@@ -28,7 +34,7 @@ def register_table(
     """
     escaped = path.replace("'", "\\'")
     if day is None:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _drop(spark, name)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({_columns(schema)}) USING PARQUET "
         f"PARTITIONED BY ({', '.join(DATE_KEYS)}) LOCATION '{escaped}'"
@@ -50,10 +56,11 @@ def create_silver_view(spark: SparkSession, name: str, air_table: str, traffic_t
     with the square of the history. As a view it costs nothing until queried; filters on zone and
     hour reach both tables, filters on the date reach the air rows.
     """
+    _drop(spark, name)
     metrics = ", ".join(f"a.{m}" for m in AIR_METRICS)
     dates = ", ".join(f"a.{d}" for d in DATE_KEYS)
     spark.sql(f"""
-        CREATE OR REPLACE VIEW {name} AS
+        CREATE VIEW {name} AS
         WITH air AS (
           SELECT zone, hour, sum(pollution_value) AS total, count(pollution_value) AS n
           FROM {air_table} GROUP BY zone, hour

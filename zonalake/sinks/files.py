@@ -1,35 +1,51 @@
-"""Parquet sink and row-count metrics."""
+"""Parquet sinks and row-count metrics."""
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from zonalake.schemas import DATE_KEYS
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+def counted(df: DataFrame, name: str = "written") -> tuple[DataFrame, Observation]:
     """`df` with a row count that the next action fills in, so counting needs no pass of its own."""
     metric = Observation(name)
     return df.observe(metric, F.count(F.lit(1)).alias("rows")), metric
 
 
 def write_lake(
-    df: DataFrame, path: str, keys: list[str] | None = None, rebalance: bool = False
+    df: DataFrame,
+    path: str,
+    keys: list[str] | None = None,
+    rebalance: bool = False,
+    whole: bool = False,
 ) -> int:
-    """Overwrite the partitions present in `df`, keep all others, and return the rows written.
+    """Write `df` by partition and return the rows written.
 
-    A batch of one ingest date needs no shuffle: each task writes one partition. For many dates at
-    once, `rebalance` gathers rows by partition, and adaptive execution splits the large ones.
+    Partitions present in `df` are replaced and all others kept; `whole` replaces the table. For
+    many dates at once, `rebalance` gathers rows by partition so that each gets few files, and
+    adaptive execution splits the large ones.
     """
     keys = DATE_KEYS if keys is None else keys
-    out, metric = counted(df, "written")
+    out, metric = counted(df)
     if rebalance:
         out = out.hint("rebalance", *keys)
     (
         out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*keys)
         .parquet(path)
     )
     return metric.get.get("rows", 0)
+
+
+def write_day(df: DataFrame, path: str, day: date) -> int:
+    """Replace the partition of one ingest date and return the rows written. Needs no shuffle, and
+    a batch without rows empties the partition rather than leaving old rows in it."""
+    out, metric = counted(df.drop(*DATE_KEYS))
+    partition = f"{path}/year={day.year}/month={day.month}/day={day.day}"
+    out.write.mode("overwrite").parquet(partition)
+    return metric.get.get("rows", 0)
