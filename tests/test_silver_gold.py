@@ -18,7 +18,13 @@ from zonalake.operators.cells import (
     pair_cells,
     traffic_cells,
 )
-from zonalake.operators.pairing import join_keys, plain_join, silver_join
+from zonalake.operators.pairing import (
+    MOST_TASKS,
+    join_keys,
+    plain_join,
+    silver_join,
+    task_count,
+)
 from zonalake.operators.rolling import rolling_by_hour, rolling_over_rows
 from zonalake.plans import gold
 
@@ -104,6 +110,21 @@ def test_grid_blocks_stay_under_the_budget(spark):
         assert side <= 2 * 400
 
 
+def test_task_count():
+    assert task_count(0, 4_000_000, 200) == 1
+    assert task_count(2_500_000, 4_000_000, 200) == 5
+    assert task_count(1e9, 4_000_000, 200) == 250
+    assert task_count(1e15, 4_000_000, 200) == MOST_TASKS
+
+
+def test_join_is_partitioned_by_block(sides):
+    """Neither side is broadcast, and the join adds no exchange of its own."""
+    plan = silver_join(*sides)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2
+    assert "SortMergeJoin [zone" in plan and "CartesianProduct" not in plan
+    assert "ENSURE_REQUIREMENTS" not in plan
+
+
 def test_join_without_matches_is_empty(spark):
     air = silver_air(spark, [("x", 1, 1.0, 1, 1.0, 1.0, 1)])
     assert silver_join(air, silver_traffic(spark, [("y", 1, 1.0)])).count() == 0
@@ -166,7 +187,8 @@ def same_marts(air, traffic):
     expected = {}
     for row in window.collect():
         expected.setdefault((row.zone, row.hour), row.rolling_avg_pollution)
-    means = {(r.zone, r.hour): r[2] for r in rolling_by_hour(sources[0]).collect()}
+    by_hour = pair_cells(air_cells(air, by_date=False), traffic_cells(traffic))
+    means = {(r.zone, r.hour): r[2] for r in rolling_by_hour(by_hour).collect()}
     assert means == pytest.approx(expected, rel=1e-9)
     digest = {(r.zone, r.hour): int(r.pairs) for r in gold.silver_digest(sources[0]).collect()}
     counted = joined.groupBy("zone", "hour").count().collect()
@@ -206,3 +228,36 @@ TRAFFIC_ROW = st.tuples(
 def test_cells_give_the_marts_of_any_rows(spark, air, traffic):
     """Also with NULL metrics, as when a caller turns rules off."""
     same_marts(silver_air(spark, air), silver_traffic(spark, traffic))
+
+
+def test_results_do_not_depend_on_broadcasts(spark):
+    """Beyond the broadcast threshold, and without adaptive help, joins go by shuffle."""
+    air = [("hot", 7, float(i % 50), i % 9, 1.0, 2.0, 1 + i % 3) for i in range(200)] + AIR
+    traffic = [("hot", 7, float(i)) for i in range(100)] + TRAFFIC
+    air, traffic = silver_air(spark, air), silver_traffic(spark, traffic)
+
+    def results():
+        cells = cells_of(air, traffic)
+        joined = silver_join(air, traffic, pairs_per_block=500)
+        joined = joined.withColumn("rolling_avg_pollution", F.round("rolling_avg_pollution", 9))
+        return [
+            bag(gold.pollution_mart(cells)),
+            bag(gold.traffic_pollution_mart(cells)),
+            bag(joined),
+        ]
+
+    expected = results()
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in limits}
+    try:
+        for key, value in limits.items():
+            spark.conf.set(key, value)
+        assert "BroadcastHashJoin" not in plan_text(silver_join(air, traffic, 500))
+        assert results() == expected
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().executedPlan().toString()

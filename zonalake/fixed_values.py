@@ -82,10 +82,7 @@ AIR_RULES = {
 # The count arrives as text. Text that is no finite number counts as failing.
 TRAFFIC_RULES = {
     "count_present": "debit_horaire IS NOT NULL",
-    "count_not_negative": (
-        "try_cast(debit_horaire AS DOUBLE) >= 0 "
-        "AND try_cast(debit_horaire AS DOUBLE) < double('Infinity')"
-    ),
+    "count_not_negative": "try_cast(debit_horaire AS DOUBLE) BETWEEN 0 AND 1.7976931348623157E308D",
     "segment_open": "etat_arc = 'Ouvert'",
 }
 

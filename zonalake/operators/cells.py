@@ -26,10 +26,11 @@ def _parts(name: str) -> list[Column]:
     ]
 
 
-def air_cells(air: DataFrame) -> DataFrame:
-    """Per zone, hour and date: rows, and sum, count and maximum of each metric."""
+def air_cells(air: DataFrame, by_date: bool = True) -> DataFrame:
+    """Per zone and hour (and date): rows, and sum, count and maximum of each metric."""
+    keys = ZONE_HOUR + (DATE_KEYS if by_date else [])
     parts = [part for name in AIR_METRICS for part in _parts(name)]
-    return air.groupBy(*ZONE_HOUR, *DATE_KEYS).agg(F.count(F.lit(1)).alias("air_rows"), *parts)
+    return air.groupBy(*keys).agg(F.count(F.lit(1)).alias("air_rows"), *parts)
 
 
 def traffic_cells(traffic: DataFrame, by_date: bool = False) -> DataFrame:

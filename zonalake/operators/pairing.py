@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from zonalake.operators.cells import air_cells, pair_cells, traffic_cells
-from zonalake.operators.rolling import rolling_by_hour
+from zonalake.operators.rolling import rolling_mean
 from zonalake.schemas import AIR_METRICS, DATE_KEYS, SILVER_COLUMNS, ZONE_HOUR
 from zonalake.session import settle
 
-# Most joined rows one task should emit for one zone and hour.
-PAIRS_PER_BLOCK = 25_000_000
+# Most joined rows of one zone and hour that one task should emit.
+PAIRS_PER_BLOCK = 4_000_000
+# Joined rows per task below which more tasks do not pay.
+PAIRS_PER_SMALL_TASK = 500_000
+# Most tasks of one join. Beyond it a task works through several blocks, one after the other.
+MOST_TASKS = 50_000
 
 
 def plain_join(air: DataFrame, traffic: DataFrame) -> DataFrame:
@@ -30,21 +34,26 @@ def _blocks(own: Column, other: Column, pairs: int) -> Column:
 def join_keys(
     air: DataFrame, traffic: DataFrame, pairs_per_block: int = PAIRS_PER_BLOCK
 ) -> DataFrame:
-    """Zones and hours on both sides, with the cumulative mean and the number of blocks into which
-    each side is to be split so that no block of pairs exceeds `pairs_per_block`."""
-    cells = settle(pair_cells(air_cells(air), traffic_cells(traffic)), "cells")
-    sizes = cells.groupBy(*ZONE_HOUR).agg(
-        F.sum("air_rows").alias("air_rows"), F.max("traffic_rows").alias("traffic_rows")
-    )
+    """Zones and hours on both sides, with the number of pairs, the cumulative mean, and the number
+    of blocks into which each side is to be split so that blocks stay near `pairs_per_block`."""
+    cells = pair_cells(air_cells(air, by_date=False), traffic_cells(traffic))
     air_rows, traffic_rows = F.col("air_rows"), F.col("traffic_rows")
-    return sizes.join(rolling_by_hour(cells), ZONE_HOUR).select(
+    return cells.select(
         *ZONE_HOUR,
-        "rolling_avg_pollution",
+        rolling_mean().alias("rolling_avg_pollution"),
+        (air_rows.cast("double") * traffic_rows.cast("double")).alias("pairs"),
         _blocks(air_rows, traffic_rows, pairs_per_block).alias("air_blocks"),
         _blocks(traffic_rows, air_rows, pairs_per_block).alias("traffic_blocks"),
     )
 
 
+def task_count(pairs: float, pairs_per_block: int, small_tasks: int) -> int:
+    """Tasks for a join of so many pairs: up to `small_tasks` small ones, then full blocks."""
+    small = min(math.ceil(pairs / PAIRS_PER_SMALL_TASK), small_tasks)
+    full = math.ceil(pairs / pairs_per_block)
+    return min(max(small, full, 1), MOST_TASKS)
+
+
 def _own_block(count: Column) -> Column:
     return F.pmod(F.xxhash64("row_id"), count).cast("int")
 
@@ -62,19 +71,25 @@ def silver_join(
     laid out as a grid: every row of one side falls in one block and is sent to each block of the
     other side, so every pair meets in exactly one task and the pairs of a key spread over as many
     tasks as they need. Keys that fit one block are sent once. The copies sent are about one per
-    `sqrt(pairs_per_block)` result rows.
+    `sqrt(pairs_per_block)` result rows. The number of tasks follows from the number of pairs, which
+    is known before the join; sized by their input, tasks of a join that multiplies rows would be
+    far too large.
 
     The table of keys is written first; the planner broadcasts it when its size allows, and beyond
     that joins it by shuffle. A row's block depends on its position in its input split, which is
     stable when a task is run again as long as the sides are file scans with narrow steps. A side
     that comes out of a shuffle should be settled first.
     """
-    keys = settle(join_keys(air, traffic, pairs_per_block), "keys")
-    most = keys.agg(F.max("air_blocks"), F.max("traffic_blocks")).first()
-    if max(most[0] or 1, most[1] or 1) == 1:
-        rolling = keys.select(*ZONE_HOUR, "rolling_avg_pollution")
-        return plain_join(air.join(rolling, ZONE_HOUR), traffic).select(*SILVER_COLUMNS)
-
+    spark = air.sparkSession
+    size = Observation("pairs")
+    keys = settle(
+        join_keys(air, traffic, pairs_per_block).observe(size, F.sum("pairs").alias("pairs")),
+        "keys",
+    ).drop("pairs")
+    pairs = size.get.get("pairs") or 0.0
+    tasks = task_count(pairs, pairs_per_block, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    block = [*ZONE_HOUR, "air_block", "traffic_block"]
     air_side = (
         air.select(*ZONE_HOUR, *AIR_METRICS, *DATE_KEYS)
         .withColumn("row_id", F.monotonically_increasing_id())
@@ -91,6 +106,8 @@ def silver_join(
         .withColumn("air_block", _every_block(F.col("air_blocks")))
         .drop("row_id", "air_blocks", "traffic_blocks")
     )
-    return air_side.join(traffic_side, [*ZONE_HOUR, "air_block", "traffic_block"]).select(
-        *SILVER_COLUMNS
+    return (
+        air_side.repartition(tasks, *block)
+        .join(traffic_side.repartition(tasks, *block).hint("merge"), block)
+        .select(*SILVER_COLUMNS)
     )

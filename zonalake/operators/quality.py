@@ -13,9 +13,9 @@ from zonalake.functions import hour_of_text
 
 def apply_rules(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """Rows for which every rule is true; NULL counts as failing."""
-    for predicate in rules.values():
-        df = df.filter(F.expr(predicate))
-    return df
+    if not rules:
+        return df
+    return df.filter(" AND ".join(f"({predicate})" for predicate in rules.values()))
 
 
 def valid_air(raw: DataFrame, rules: Mapping[str, str] = AIR_RULES) -> DataFrame:

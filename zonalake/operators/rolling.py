@@ -2,30 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonalake.schemas import ZONE_HOUR
 
 
-def rolling_by_hour(cells: DataFrame) -> DataFrame:
-    """The mean per zone and hour, from paired cells.
+def rolling_mean() -> Column:
+    """The mean over paired cells, as a window over them.
 
     A window ordered by hour without a frame covers all rows up to and including the current hour,
-    so the value is the same for all rows of a zone and hour. The window here runs over at most 24
-    rows per zone instead of all rows of it.
+    so the value is the same for all rows of a zone and hour, and cells weighted by the pairs they
+    stand for give it. The window sees the cells of a zone instead of all its rows.
     """
-    per_hour = cells.groupBy(*ZONE_HOUR).agg(
-        F.sum(F.col("sum_pollution_value") * F.col("traffic_rows").cast("double")).alias("total"),
-        F.sum(F.col("n_pollution_value") * F.col("traffic_rows").cast("double")).alias("weight"),
-    )
+    weight = F.col("traffic_rows").cast("double")
     upto = Window.partitionBy("zone").orderBy("hour")
-    return per_hour.select(
-        *ZONE_HOUR,
-        F.try_divide(F.sum("total").over(upto), F.sum("weight").over(upto)).alias(
-            "rolling_avg_pollution"
-        ),
-    )
+    total = F.sum(F.col("sum_pollution_value") * weight).over(upto)
+    rows = F.sum(F.col("n_pollution_value") * weight).over(upto)
+    return F.try_divide(total, rows)
+
+
+def rolling_by_hour(cells: DataFrame) -> DataFrame:
+    """The mean per zone and hour, from paired cells by hour."""
+    return cells.select(*ZONE_HOUR, rolling_mean().alias("rolling_avg_pollution"))
 
 
 def rolling_over_rows(silver: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from zonalake.operators import cells as cell_ops
 from zonalake.operators import conform, pairing, quality, rolling, staging
 from zonalake.plans import dashboard, gold, metrics, pages, summaries
 from zonalake.schemas import RAW_AIR, RAW_TRAFFIC, SILVER, TRAFFIC_CSV
-from zonalake.session import work_path
+from zonalake.session import settle, work_path
 from zonalake.sinks import write_lake
 from zonalake.sources import read_lake, read_traffic_csv
 
@@ -152,7 +152,9 @@ def silver_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rolling_avg_pollution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = rolling.rolling_by_hour(_cells(spark, sf_dir))
+    by_hour = cell_ops.air_cells(_air(spark, sf_dir), by_date=False)
+    cells = cell_ops.pair_cells(by_hour, cell_ops.traffic_cells(_traffic(spark, sf_dir)))
+    means = rolling.rolling_by_hour(cells)
     return means.withColumn("rolling_avg_pollution", rounded(F.col("rolling_avg_pollution"), 4))
 
 
@@ -198,12 +200,19 @@ def corr_rounded(mart: DataFrame) -> DataFrame:
 
 
 def kpi_board(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = _cells(spark, sf_dir)
+    """Both marts come from one settled pre-aggregate, so the raw tables are read once."""
+    cells = settle(_cells(spark, sf_dir), "cells")
     return dashboard.kpi_board(
         _select_pollution(gold.pollution_mart(cells)), _select_traffic(gold.traffic_mart(cells))
     )
 
 
+def pollution_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share needs the mart twice, so the mart is settled, as it is when the job stores it."""
+    mart = settle(_pollution(spark, sf_dir), "pollution")
+    return dashboard.pollution_share(_select_pollution(mart))
+
+
 def queries() -> dict[str, Query]:
     select_pollution = _over(_pollution, _select_pollution)
     select_traffic = _over(_traffic_mart, _select_traffic)
@@ -267,7 +276,7 @@ def queries() -> dict[str, Query]:
         "dash_by_level": _over(select_both, dashboard.pollution_by_level),
         "dash_level_bars": _over(select_both, dashboard.level_bars),
         "kpi_board": kpi_board,
-        "pollution_share": _over(select_pollution, dashboard.pollution_share),
+        "pollution_share": pollution_share,
         "env_conditions": _over(select_both, dashboard.env_conditions),
         "tp_bubble": _over(select_both, dashboard.traffic_pollution_bubbles),
         "traffic_pollution_corr": _over(_traffic_pollution, corr_rounded),

@@ -24,11 +24,21 @@ MAPPING = {
 ZONES = ["error", "click", "view", "purchase"]
 TRAFFIC_INGEST_DATE = date(2024, 1, 31)
 
+# The columns used, so that reading needs no job to look up the schema.
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string"
+)
+ORDERS = (
+    "o_orderkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string"
+)
+
 
 def raw_air(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Air rows from `events`; the ingest date is the event's date."""
     k = F.get_json_object("props", "$.k")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").select(
         F.col("event_type").alias("station"),
         F.date_format("ts", "dd/MM/yyyy HH:mm").alias("datetime"),
         F.col("value").alias("pollution_value"),
@@ -47,7 +57,7 @@ def traffic_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = (F.col("o_orderkey") % 24).cast("int")
     counted_at = F.timestamp_add("HOUR", shift, F.col("o_orderdate")).cast("string")
     count = F.col("o_totalprice") * (shift + 5) / 5000
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+    return spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet").select(
         F.concat(F.lit("Bd_"), F.substring("o_orderpriority", 3, 100)).alias("libelle"),
         F.replace(counted_at, F.lit(" "), F.lit("T")).alias("date_et_heure_de_comptage"),
         count.cast("decimal(18,6)").cast("string").alias("debit_horaire"),
