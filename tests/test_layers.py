@@ -29,6 +29,13 @@ from zonalake.sources import (
 DAY1, DAY2 = date(*D1), date(*D2)
 
 
+def test_refine_shuffles_nothing(spark, lake):
+    """Reading raw and writing silver is one stage; only the mapping is broadcast."""
+    traffic = conform_traffic(read_lake(spark, f"{lake}/raw/traffic", RAW_TRAFFIC))
+    for df in (conform_air(read_lake(spark, f"{lake}/raw/air", RAW_AIR)), traffic):
+        assert "hashpartitioning" not in plan_of(df) and "SinglePartition" not in plan_of(df)
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -144,7 +151,8 @@ def test_stored_join_and_its_table(spark, lake):
     register_table(spark, "stored_silver", f"{lake}/silver/joined", SILVER)
     assert rounded_bag(read_table(spark, "stored_silver")) == rounded_bag(expected_silver(spark))
     assert read_table(spark, "stored_silver", DAY1).count() == 6
-    marts = layers.marts_of_silver(read_table(spark, "stored_silver"))
+    cells = layers.settled_silver_cells(read_table(spark, "stored_silver"))
+    marts = layers.marts_of_cells(cells)
     expected = gold.pollution_mart_from_silver(expected_silver(spark))
     assert bag(marts["datamart_pollution"]) == bag(expected)
     spark.sql("DROP TABLE stored_silver")

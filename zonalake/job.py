@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from zonalake.operators.staging import cast_known
-from zonalake.plans import layers
+from zonalake.plans import gold, layers
 from zonalake.schemas import AIR_SOURCE, SILVER, SILVER_AIR, SILVER_TRAFFIC
 from zonalake.session import build_session
 from zonalake.sinks import create_silver_view, register_table, write_jdbc
@@ -112,10 +112,11 @@ def run_refine(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
 def run_marts(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     if args.silver_input:
         layers.refresh_cells(spark, args.silver_input, args.gold_output, args.ingest_date)
-        marts = layers.marts_of_cells(layers.stored_cells(spark, args.gold_output))
+        cells = layers.stored_cells(spark, args.gold_output)
     else:
-        marts = layers.marts_of_silver(read_table(spark, args.silver_table))
-    layers.write_marts(marts, args.gold_output)
+        cells = layers.settled_silver_cells(read_table(spark, args.silver_table))
+    log.info("mean traffic per hour: %s", gold.hourly_traffic(cells).orderBy("hour").collect())
+    layers.write_marts(layers.marts_of_cells(cells), args.gold_output)
     written = layers.read_marts(spark, args.gold_output)
     for name, mart in written.items():
         log.info("%s: first rows %s", name, mart.limit(PREVIEW_ROWS).collect())

@@ -36,9 +36,9 @@ def ingest(df: DataFrame, path: str, day: date) -> int:
     return write_day(stamp_ingest_date(df, day), path, day)
 
 
-def _write(df: DataFrame, path: str, day: date | None) -> int:
+def _write(df: DataFrame, path: str, day: date | None, rebalance: bool = False) -> int:
     if day is None:
-        return write_lake(df, path, rebalance=True, whole=True)
+        return write_lake(df, path, rebalance=rebalance, whole=True)
     return write_day(df, path, day)
 
 
@@ -51,7 +51,8 @@ def refine(
     mapping: Mapping[str, str] | DataFrame = ZONE_MAPPING,
 ) -> dict[str, int]:
     """Validate and conform both raw tables into silver. With a date, only its partitions are read
-    and replaced; without one, all of silver is."""
+    and replaced; without one, all of silver is. Raw lies by date already, so a task that reads a
+    split writes one date, and no row is shuffled."""
     air = conform_air(read_lake(spark, air_path, RAW_AIR, day))
     traffic = conform_traffic(read_lake(spark, traffic_path, RAW_TRAFFIC, day), mapping)
     return {
@@ -84,8 +85,8 @@ def refresh_cells(
 ) -> None:
     """Pre-aggregate silver by ingest date. With a date, only that date is read and replaced."""
     air, traffic = silver_sides(spark, silver_path, day)
-    _write(air_cells(air), f"{gold_path}/air_cells", day)
-    _write(traffic_cells(traffic, by_date=True), f"{gold_path}/traffic_cells", day)
+    _write(air_cells(air), f"{gold_path}/air_cells", day, rebalance=True)
+    _write(traffic_cells(traffic, by_date=True), f"{gold_path}/traffic_cells", day, rebalance=True)
 
 
 def stored_cells(spark: SparkSession, gold_path: str) -> DataFrame:
@@ -103,10 +104,10 @@ def marts_of_cells(cells: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def marts_of_silver(silver: DataFrame) -> dict[str, DataFrame]:
-    """The marts from a joined silver table, such as one named in the catalog. It is read once; the
-    three marts share the settled pre-aggregate."""
-    return marts_of_cells(settle(cells_of_silver(silver), "silver-cells"))
+def settled_silver_cells(silver: DataFrame) -> DataFrame:
+    """Paired cells from a joined silver table, such as one named in the catalog. The table is read
+    once; all marts share the settled result."""
+    return settle(cells_of_silver(silver), "silver-cells")
 
 
 def write_marts(marts: Mapping[str, DataFrame], gold_path: str) -> None:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import is_remote
 
 _local_roots: dict[str, str] = {}
 
@@ -41,11 +42,14 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder, deleted by the file system when the session's JVM ends."""
-    location = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(location)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return location
+    """A fresh path in the shared folder. Its parent is deleted when the session's JVM ends."""
+    parent = f"{shared_root(spark)}/zonalake-{label}-{uuid.uuid4().hex}"
+    if not is_remote():
+        path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{parent}/data"
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
