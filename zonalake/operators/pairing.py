@@ -54,12 +54,23 @@ def task_count(pairs: float, pairs_per_block: int, small_tasks: int) -> int:
     return min(max(small, full, 1), MOST_TASKS)
 
 
-def _own_block(count: Column) -> Column:
-    return F.pmod(F.xxhash64("row_id"), count).cast("int")
-
-
-def _every_block(count: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0), count - 1))
+def _side(df: DataFrame, columns: list[str], keys: DataFrame, names: tuple[str, str], lot: int):
+    """Distinct rows of one side, in lots of at most `lot` copies. Each lot has its own block and is
+    repeated for every block of the other side."""
+    own, other = names
+    rows, number = F.col("rows"), F.col("lot")
+    return (
+        df.groupBy(*columns)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .join(keys, ZONE_HOUR)
+        .withColumn("lot", F.explode(F.sequence(F.lit(0), F.floor((rows - 1) / lot))))
+        .withColumn(f"{own}_copies", F.least(F.lit(lot), rows - number * lot).cast("int"))
+        .withColumn(f"{own}_block", F.pmod(F.xxhash64(*columns, "lot"), f"{own}_blocks").cast("int"))
+        .withColumn(
+            f"{other}_block", F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))
+        )
+        .drop("rows", "lot", "air_blocks", "traffic_blocks")
+    )
 
 
 def silver_join(
@@ -75,10 +86,12 @@ def silver_join(
     is known before the join; sized by their input, tasks of a join that multiplies rows would be
     far too large.
 
+    Equal rows travel as one row with a number of copies, in lots small enough to spread over the
+    blocks, and are multiplied out after the join. A lot's block follows from its content alone, so
+    a task that runs again after a lost executor places it as before.
+
     The table of keys is written first; the planner broadcasts it when its size allows, and beyond
-    that joins it by shuffle. A row's block depends on its position in its input split, which is
-    stable when a task is run again as long as the sides are file scans with narrow steps. A side
-    that comes out of a shuffle should be settled first.
+    that joins it by shuffle.
     """
     spark = air.sparkSession
     size = Observation("pairs")
@@ -89,25 +102,18 @@ def silver_join(
     pairs = size.get.get("pairs") or 0.0
     tasks = task_count(pairs, pairs_per_block, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
+    lot = max(1, math.isqrt(pairs_per_block) // 8)
+    air_columns = [*ZONE_HOUR, *AIR_METRICS, *DATE_KEYS]
+    air_side = _side(air, air_columns, keys, ("air", "traffic"), lot)
+    traffic_columns = [*ZONE_HOUR, "debit_horaire"]
+    traffic_keys = keys.drop("rolling_avg_pollution")
+    traffic_side = _side(traffic, traffic_columns, traffic_keys, ("traffic", "air"), lot)
+
     block = [*ZONE_HOUR, "air_block", "traffic_block"]
-    air_side = (
-        air.select(*ZONE_HOUR, *AIR_METRICS, *DATE_KEYS)
-        .withColumn("row_id", F.monotonically_increasing_id())
-        .join(keys, ZONE_HOUR)
-        .withColumn("air_block", _own_block(F.col("air_blocks")))
-        .withColumn("traffic_block", _every_block(F.col("traffic_blocks")))
-        .drop("row_id", "air_blocks", "traffic_blocks")
-    )
-    traffic_side = (
-        traffic.select(*ZONE_HOUR, "debit_horaire")
-        .withColumn("row_id", F.monotonically_increasing_id())
-        .join(keys.drop("rolling_avg_pollution"), ZONE_HOUR)
-        .withColumn("traffic_block", _own_block(F.col("traffic_blocks")))
-        .withColumn("air_block", _every_block(F.col("air_blocks")))
-        .drop("row_id", "air_blocks", "traffic_blocks")
-    )
+    copies = F.array_repeat(F.lit(0), F.col("air_copies") * F.col("traffic_copies"))
     return (
         air_side.repartition(tasks, *block)
         .join(traffic_side.repartition(tasks, *block).hint("merge"), block)
+        .select(*SILVER_COLUMNS, F.explode(copies))
         .select(*SILVER_COLUMNS)
     )

@@ -30,9 +30,9 @@ def write_lake(
     adaptive execution splits the large ones.
     """
     keys = DATE_KEYS if keys is None else keys
-    out, metric = counted(df)
-    if rebalance:
-        out = out.hint("rebalance", *keys)
+    # Counted after the shuffle, in the tasks that write, so that a map task that runs again does
+    # not count twice.
+    out, metric = counted(df.hint("rebalance", *keys) if rebalance else df)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
