@@ -148,6 +148,21 @@ def test_join_is_partitioned_by_block(sides):
     assert "REPARTITION_BY_NUM" in below[0] and "CartesianProduct" not in plan
 
 
+@pytest.mark.parametrize("pairs_per_block", [1, 40, 10**6])
+def test_any_block_size_gives_the_same_rows(sides, pairs_per_block):
+    air, traffic = (side.unionByName(side) for side in sides)
+    columns = plain_join(air, traffic).columns
+    assert bag(silver_join(air, traffic, pairs_per_block), columns) == bag(
+        plain_join(air, traffic), columns
+    )
+
+
+def test_empty_sides(spark):
+    air, traffic = silver_air(spark, []), silver_traffic(spark, [])
+    assert silver_join(air, traffic).count() == 0
+    assert gold.pollution_mart(cells_of(air, traffic)).count() == 0
+
+
 def test_join_without_matches_is_empty(spark):
     air = silver_air(spark, [("x", 1, 1.0, 1, 1.0, 1.0, 1)])
     assert silver_join(air, silver_traffic(spark, [("y", 1, 1.0)])).count() == 0

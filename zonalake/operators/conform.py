@@ -14,7 +14,7 @@ from zonalake.schemas import AIR_METRICS, DATE_KEYS
 
 # A mapping given as a dict is broadcast; it is held by the driver already, and above this many
 # entries the planner decides from the table's size instead.
-BROADCAST_ENTRIES = 100_000
+BROADCAST_ENTRIES = 10_000
 
 
 def with_air_hour(df: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ def build_session(app_name: str, time_zone: str = "UTC", **settings: str) -> Spa
         .config("spark.sql.session.timeZone", time_zone)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

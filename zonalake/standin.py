@@ -42,9 +42,9 @@ def raw_air(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("station"),
         F.date_format("ts", "dd/MM/yyyy HH:mm").alias("datetime"),
         F.col("value").alias("pollution_value"),
-        k.cast("int").alias("air_quality_index"),
+        k.try_cast("int").alias("air_quality_index"),
         (F.col("user_id") - 60).cast("double").alias("temperature"),
-        (k.cast("double") * 1.1).alias("humidity"),
+        (k.try_cast("double") * 1.1).alias("humidity"),
         (F.col("event_id") % 200 - 100).cast("double").alias("latitude"),
         F.year("ts").alias("year"),
         F.month("ts").alias("month"),
