@@ -20,10 +20,13 @@ from zonalake.operators.cells import (
 )
 from zonalake.operators.pairing import (
     MOST_TASKS,
+    SMALLEST_BLOCK,
+    block_size,
     join_keys,
     plain_join,
     silver_join,
     task_count,
+    with_blocks,
 )
 from zonalake.operators.rolling import rolling_by_hour, rolling_over_rows
 from zonalake.plans import gold
@@ -86,7 +89,8 @@ def test_grid_join_equals_plain_join(spark):
     air += [("hot", 7, 1.0, 1, 1.0, 2.0, 1)] * 300 + AIR
     traffic = [("hot", 7, float(i)) for i in range(100)] + [("hot", 7, 1.0)] * 100 + TRAFFIC
     air, traffic = silver_air(spark, air), silver_traffic(spark, traffic)
-    keys = {(r.zone, r.hour): r for r in join_keys(air, traffic, 1000).collect()}
+    blocks = with_blocks(join_keys(air, traffic), 1000)
+    keys = {(r.zone, r.hour): r for r in blocks.collect()}
     assert keys["hot", 7].air_blocks > 10 and keys["hot", 7].traffic_blocks > 5
     assert keys["b", 7].air_blocks == keys["b", 7].traffic_blocks == 1
     grid = silver_join(air, traffic, pairs_per_block=1000)
@@ -127,16 +131,29 @@ def test_grid_blocks_stay_under_the_budget(spark):
     air = silver_air(spark, [("hot", 7, 1.0, 1, 1.0, 2.0, 1)] * 900)
     for n_traffic in (1, 10, 500):
         traffic = silver_traffic(spark, [("hot", 7, 1.0)] * n_traffic)
-        key = join_keys(air, traffic, 400).first()
+        key = with_blocks(join_keys(air, traffic), 400).first()
         side = math.ceil(900 / key.air_blocks) * math.ceil(n_traffic / key.traffic_blocks)
         assert side <= 2 * 400
 
 
-def test_task_count():
-    assert task_count(0, 4_000_000, 200) == 1
-    assert task_count(2_500_000, 4_000_000, 200) == 5
-    assert task_count(1e9, 4_000_000, 200) == 250
-    assert task_count(1e15, 4_000_000, 200) == MOST_TASKS
+def test_task_count_and_block_size():
+    million = 1_000_000
+    assert task_count(0, 4 * million, 200) == 200
+    assert task_count(1e12, 4 * million, 200) == MOST_TASKS
+    assert task_count(4e9, 4 * million, 200) == 1000
+    assert block_size(0, 200, 4 * million) == SMALLEST_BLOCK
+    assert block_size(160e6, 200, 4 * million) == 100_000
+    assert block_size(1e15, MOST_TASKS, 4 * million) == 4 * million
+    assert block_size(1e15, MOST_TASKS, 10) == 10
+
+
+def test_a_single_hot_key_occupies_all_tasks(spark):
+    air = silver_air(spark, [("hot", 7, float(i), 1, 1.0, 2.0, 1) for i in range(2500)])
+    traffic = silver_traffic(spark, [("hot", 7, float(i)) for i in range(1000)])
+    per_task = silver_join(air, traffic).groupBy(F.spark_partition_id()).count()
+    sizes = [row["count"] for row in per_task.collect()]
+    assert sum(sizes) == 2500 * 1000 and len(sizes) >= 3
+    assert max(sizes) < 2500 * 1000 / 2
 
 
 def test_join_is_partitioned_by_block(sides):

@@ -14,8 +14,11 @@ from zonalake.session import settle
 
 # Most joined rows of one zone and hour that one task should emit.
 PAIRS_PER_BLOCK = 4_000_000
-# Joined rows per task below which more tasks do not pay.
-PAIRS_PER_SMALL_TASK = 500_000
+# Pairs below which splitting a key does not pay.
+SMALLEST_BLOCK = 50_000
+# Blocks that a task's share of the pairs is split into. Blocks are placed by hash; more of them
+# even out the tasks.
+BLOCKS_PER_TASK = 8
 # Most tasks of one join. Beyond it a task works through several blocks, one after the other.
 MOST_TASKS = 50_000
 
@@ -31,27 +34,37 @@ def _blocks(own: Column, other: Column, pairs: int) -> Column:
     return F.greatest(F.lit(1), blocks.cast("int"))
 
 
-def join_keys(
-    air: DataFrame, traffic: DataFrame, pairs_per_block: int = PAIRS_PER_BLOCK
-) -> DataFrame:
-    """Zones and hours on both sides, with the number of pairs, the cumulative mean, and the number
-    of blocks into which each side is to be split so that blocks stay near `pairs_per_block`."""
+def join_keys(air: DataFrame, traffic: DataFrame) -> DataFrame:
+    """Zones and hours on both sides, with the rows of each side and the cumulative mean."""
     cells = pair_cells(air_cells(air, by_date=False), traffic_cells(traffic))
-    air_rows, traffic_rows = F.col("air_rows"), F.col("traffic_rows")
     return cells.select(
+        *ZONE_HOUR, rolling_mean().alias("rolling_avg_pollution"), "air_rows", "traffic_rows"
+    )
+
+
+def with_blocks(keys: DataFrame, pairs_per_block: int) -> DataFrame:
+    """The number of blocks into which each side of a key is to be split so that the pairs of two
+    blocks stay near `pairs_per_block`."""
+    air_rows, traffic_rows = F.col("air_rows"), F.col("traffic_rows")
+    return keys.select(
         *ZONE_HOUR,
-        rolling_mean().alias("rolling_avg_pollution"),
-        (air_rows.cast("double") * traffic_rows.cast("double")).alias("pairs"),
+        "rolling_avg_pollution",
         _blocks(air_rows, traffic_rows, pairs_per_block).alias("air_blocks"),
         _blocks(traffic_rows, air_rows, pairs_per_block).alias("traffic_blocks"),
     )
 
 
-def task_count(pairs: float, pairs_per_block: int, small_tasks: int) -> int:
-    """Tasks for a join of so many pairs: up to `small_tasks` small ones, then full blocks."""
-    small = min(math.ceil(pairs / PAIRS_PER_SMALL_TASK), small_tasks)
-    full = math.ceil(pairs / pairs_per_block)
-    return min(max(small, full, 1), MOST_TASKS)
+def task_count(pairs: float, pairs_per_block: int, shuffle_partitions: int) -> int:
+    """Tasks for a join of so many pairs: as many as it has full blocks, and no fewer than the
+    session's shuffle partitions, to which Spark raises the number in any case."""
+    return min(max(math.ceil(pairs / pairs_per_block), shuffle_partitions), MOST_TASKS)
+
+
+def block_size(pairs: float, tasks: int, pairs_per_block: int) -> int:
+    """Pairs per block: several blocks per task, so that a few hot keys still occupy all tasks
+    evenly, but none too small or too large."""
+    share = math.ceil(pairs / tasks / BLOCKS_PER_TASK)
+    return min(pairs_per_block, max(SMALLEST_BLOCK, share))
 
 
 def _side(df: DataFrame, columns: list[str], keys: DataFrame, names: tuple[str, str], lot: int):
@@ -95,14 +108,15 @@ def silver_join(
     """
     spark = air.sparkSession
     size = Observation("pairs")
-    keys = settle(
-        join_keys(air, traffic, pairs_per_block).observe(size, F.sum("pairs").alias("pairs")),
-        "keys",
-    ).drop("pairs")
+    pairs_of_key = F.col("air_rows").cast("double") * F.col("traffic_rows").cast("double")
+    counted = join_keys(air, traffic).observe(size, F.sum(pairs_of_key).alias("pairs"))
+    keys = settle(counted, "keys")
     pairs = size.get.get("pairs") or 0.0
     tasks = task_count(pairs, pairs_per_block, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    per_block = block_size(pairs, tasks, pairs_per_block)
+    keys = with_blocks(keys, per_block)
+    lot = max(1, math.isqrt(per_block) // 8)
 
-    lot = max(1, math.isqrt(pairs_per_block) // 8)
     air_columns = [*ZONE_HOUR, *AIR_METRICS, *DATE_KEYS]
     air_side = _side(air, air_columns, keys, ("air", "traffic"), lot)
     traffic_columns = [*ZONE_HOUR, "debit_horaire"]
