@@ -11,10 +11,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from zonalake import registry
 
 DEFAULT_DIR = "/root/testdata/sf0.01"
 SF_DIR = os.environ.get("TEST_SF_DIR", DEFAULT_DIR)
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -56,5 +57,10 @@ def test_query_matches_sql(spark, duck, name):
     assert actual == expected
 
 
+def test_driver_has_every_query():
+    assert QUERIES.keys() <= driver.queries().keys()
+    assert ORACLES.keys() <= driver.oracle_sql().keys()
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
