@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonalake.llm import decontam, exact, mixing, tokens
+from zonalake.llm import decontam, exact, mixing, quality, tokens, warc
 from zonalake.llm.shipping import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_report(table(spark, sf_dir, "pages"))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_report(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -42,7 +50,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_decontamination, op7_token_output, op9_exact_dedup, op10_mixing)
+    found = (op1_decontamination, op2_quality, op5_warc, op7_token_output, op9_exact_dedup, op10_mixing)
     return {query.__name__: query for query in found}
 
 
