@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonalake.llm import decontam, exact, mixing, neardup, quality, tokens, warc
+from zonalake.llm import decontam, exact, mixing, neardup, quality, suffixes, tokens, warc
 from zonalake.llm.shipping import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_components(table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_decontamination, op2_quality, op4_near_dedup, op5_warc, op7_token_output, op9_exact_dedup, op10_mixing)
+    found = (op1_decontamination, op2_quality, op3_suffix_dedup, op4_near_dedup, op5_warc, op7_token_output, op9_exact_dedup, op10_mixing)
     return {query.__name__: query for query in found}
 
 
