@@ -5,14 +5,16 @@
    bitmap, so that for similar sets the XOR of two bitmaps has few bits, and the number of bits gives
    the similarity precisely where it is high.
 2. Rows with equal sets form a class. The smallest id stands for it, so copies cost one row each.
-3. In every band bucket all members are compared with the smallest one: linear in the bucket.
-4. Pairs of the same bucket that these links have not connected are compared too. Sizes and sketches
-   are compared inside the join, so only likely pairs come out of it.
+3. Star rounds: in every band bucket all members are compared with one of them, which is linear in the
+   bucket; later rounds take another centre and only members that are not yet connected with it.
+4. Pairs of the same bucket that are still not connected are compared inside a join, each in the
+   first bucket they share: sizes and sketches, then full sets. Only links come out of it, so a
+   group of texts that are all somewhat below the similarity makes no rows.
 5. A pair is a link if 100 * intersection >= 75 * union on the full sets. Components follow from
    the links by star steps.
 
 A pair with similarity 0.75 shares no bucket with a probability of (1 - 0.75^4)^32 = 5e-6, and a
-sketch rejects it only if it is more than six standard deviations off. Everything else is exact.
+sketch rejects it only if it is almost five standard deviations off. Everything else is exact.
 
 Cases: null texts and texts without words have an empty set and are linked with nothing; rows with
 equal id are one document, whose links are those of all its rows; a null id counts as the smallest;
@@ -34,11 +36,13 @@ from zonalake.session import settle
 
 BANDS, BAND_ROWS = 32, 4
 SAMPLES = BANDS * BAND_ROWS
-SKETCH_WORDS = 8
+SKETCH_WORDS = 16
 SKETCH_BITS = 64 * SKETCH_WORDS
 PERCENT = 75
 #: Odd sketches must put the similarity at this at least.
-LEAST_ESTIMATE = 0.5
+LEAST_ESTIMATE = 0.55
+#: Star rounds before the remaining pairs are compared.
+STAR_ROUNDS = 3
 NO_ID = -(2**63)
 
 _rng = np.random.default_rng(11)
@@ -150,18 +154,52 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             at += len(sets)
 
 
-def confirmed(pairs: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links on their full sets; `members` has (id, n, set_a, set_b)."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    needed = settle(ends, "near-needed")
+def shingle_sets(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, shingles): the full sets of the documents in `nodes`, which has the column id."""
+    needed = settle(nodes.distinct(), "near-needed")
     texts = _numbered(docs).join(needed, "id", "left_semi").dropDuplicates(["id", "text"])
-    sets = settle(texts.mapInArrow(_shingle_sets, "node bigint, shingles array<bigint>"), "near-sets")
+    return settle(texts.mapInArrow(_shingle_sets, "node bigint, shingles array<bigint>"), "near-sets")
+
+
+def _is_link(left: Column, right: Column) -> Column:
+    shared = F.size(F.array_intersect(left, right))
+    return shared * (100 + PERCENT) >= (F.size(left) + F.size(right)) * PERCENT
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are links on their full sets."""
+    sets = shingle_sets(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs)
     left = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     both = pairs.join(left, "b").join(right, "a")
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - shared
-    return both.where(shared * 100 >= union * PERCENT).select("a", "b")
+    return both.where(_is_link(F.col("set_a"), F.col("set_b"))).select("a", "b")
+
+
+def _stars(members: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of a bucket's centre and its members in other components."""
+    order = F.col("node") if turn == 0 else F.xxhash64("node", "key", F.lit(turn))
+    centres = members.groupBy("key").agg(
+        F.min_by("node", order).alias("centre"), F.min_by("component", order).alias("other"),
+        F.min("component").alias("low"), F.max("component").alias("high"),
+    )
+    centres = centres.where(F.col("low") < F.col("high")).select("key", "centre", "other")
+    pairs = members.join(centres, "key").where(F.col("component") != F.col("other"))
+    return pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+
+
+def _filtered(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    return (
+        pairs.join(known.alias("x"), F.col("x.node") == pairs["a"])
+        .join(known.alias("y"), F.col("y.node") == pairs["b"])
+        .where(_likely("x", "y"))
+        .select(pairs["a"], pairs["b"])
+    )
+
+
+def _placed(members: DataFrame, joined: DataFrame) -> DataFrame:
+    return members.join(joined, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component")
+    )
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -177,34 +215,34 @@ def near_components(docs: DataFrame) -> DataFrame:
 
     bucketed = leaders.select("node", F.explode("bands").alias("key"))
     buckets = bucketed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    buckets = buckets.where(F.col("low") < F.col("high"))
-    members = settle(bucketed.join(buckets.select("key", "low"), "key"), "near-buckets")
+    buckets = buckets.where(F.col("low") < F.col("high")).select("key")
+    members = settle(bucketed.join(buckets, "key"), "near-buckets")
     known = leaders.drop("bands", "set_a", "set_b")
 
-    stars = members.where(F.col("node") != F.col("low")).select("node", "low").distinct()
-    likely = (
-        stars.join(known.alias("x"), F.col("x.node") == stars["node"])
-        .join(known.alias("y"), F.col("y.node") == stars["low"])
-        .where(_likely("x", "y"))
-        .select(stars["low"].alias("a"), stars["node"].alias("b"))
-    )
-    first = settle(confirmed(settle(likely, "near-pairs"), leaders, docs), "near-links")
-    joined = settle(components(first), "near-components")
+    placed = members.withColumn("component", F.col("node"))
+    tried = links = joined = None
+    for turn in range(STAR_ROUNDS):
+        pairs = _filtered(_stars(placed, turn), known)
+        pairs = settle(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
+        found = settle(confirmed(pairs, docs), "near-links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
+        joined = settle(components(links), "near-components")
+        placed = _placed(members, joined)
 
-    placed = members.join(joined, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")
-    )
     open_keys = placed.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"))
     open_keys = open_keys.where(F.col("p") < F.col("q")).select("key")
-    still = settle(placed.join(open_keys, "key").join(known, "node"), "near-open")
+    open_members = settle(placed.join(open_keys, "key"), "near-open")
+    sets = shingle_sets(open_members.select(F.col("node").alias("id")), docs)
+    bands = leaders.select("node", "bands")
+    still = open_members.join(known, "node").join(bands, "node").join(sets, "node")
     x, y = still.alias("x"), still.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
     apart &= (F.col("x.component") != F.col("y.component")) & _likely("x", "y")
-    cross = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    cross = settle(cross.join(likely, ["a", "b"], "left_anti"), "near-pairs")
-    second = confirmed(cross, leaders, docs)
-    links = first.unionByName(second)
-    final = settle(components(links), "near-components")
+    apart &= F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
+    apart &= _is_link(F.col("x.shingles"), F.col("y.shingles"))
+    last = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    final = settle(components(links.unionByName(last)), "near-components")
 
     own = rows.join(final, "node", "left").select(
         "id", "n", F.coalesce("component", "node", "id").alias("component")
