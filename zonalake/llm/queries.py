@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonalake.llm import decontam, exact, mixing, neardup, quality, suffixes, tokens, warc
+from zonalake.llm import decontam, exact, lines, mixing, neardup, quality, suffixes, tokens, warc
 from zonalake.llm.shipping import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_report(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.keep_flags(table(spark, sf_dir, "documents"))
 
@@ -58,9 +62,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_decontamination, op2_quality, op3_suffix_dedup, op4_near_dedup, op5_warc, op7_token_output, op9_exact_dedup, op10_mixing)
+    found = (
+        op1_decontamination, op2_quality, op3_suffix_dedup, op4_near_dedup, op5_warc, op7_token_output,
+        op8_line_dedup, op9_exact_dedup, op10_mixing,
+    )
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": exact.REPORT_SQL, "op10_mixing": mixing.report_sql()}
+    return {"op8_line_dedup": lines.REPORT_SQL, "op9_exact_dedup": exact.REPORT_SQL, "op10_mixing": mixing.report_sql()}
