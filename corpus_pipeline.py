@@ -8,24 +8,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonalake.llm import decontam, mixing, tokens
+from zonalake.llm import decontam, mixing, neardup, quality, tokens
 from zonalake.llm.queries import table, tokenizer_path
 from zonalake.session import settle
 
 
+def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.accepted_rows(docs, table(spark, sf_dir, "labels"))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return neardup.first_of_groups(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
     return decontam.clean_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix of sources takes it."""
     return mixing.mix_rows(docs)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as binary shards of token ids; a row per document read back from them."""
     return tokens.token_report(docs, tokenizer_path())
 
 
 STAGES = [
+    ("quality classifier", accepted),
+    ("near-duplicate removal", without_near_copies),
     ("benchmark decontamination", decontaminated),
     ("mixing to target weights", mixed),
     ("token output", token_output),

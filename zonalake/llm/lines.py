@@ -166,7 +166,7 @@ k AS (
   FROM l),
 n AS (
   SELECT DISTINCT x.line FROM k x JOIN k y ON x.key = y.key AND y.place < x.place
-  WHERE len(list_filter(range(greatest(length(x.line), length(y.line))), i -> left(x.line, i) = left(y.line, i)
+  WHERE len(list_filter(range(greatest(length(x.line), length(y.line))), lambda i: left(x.line, i) = left(y.line, i)
     AND substr(x.line, i + 1 + (length(x.line) >= length(y.line))::INT)
       = substr(y.line, i + 1 + (length(y.line) >= length(x.line))::INT))) > 0),
 f AS (

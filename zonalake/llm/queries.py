@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonalake.llm import decontam, exact, lines, mixing, neardup, quality, suffixes, tokens, warc
+from zonalake.llm import decontam, exact, lines, mixing, neardup, pages, quality, suffixes, tokens, warc
 from zonalake.llm.shipping import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_report(table(spark, sf_dir, "pages"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_report(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -63,7 +67,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (
-        op1_decontamination, op2_quality, op3_suffix_dedup, op4_near_dedup, op5_warc, op7_token_output,
+        op1_decontamination, op2_quality, op3_suffix_dedup, op4_near_dedup, op5_warc, op6_html_text, op7_token_output,
         op8_line_dedup, op9_exact_dedup, op10_mixing,
     )
     return {query.__name__: query for query in found}
