@@ -18,6 +18,7 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -25,7 +26,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,21 +38,28 @@ NO_ID = -(2**63)
 MAGIC = b"ZTOK0001"
 FOOTER = struct.Struct("<8sQQQQQQ")
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
+#: Unknown words that are encoded in one call.
+AT_ONCE = 100
+TEXTS_AT_ONCE = 256
 MANIFEST = "shard int, path string, n_docs bigint, n_ids bigint"
 READ = "shard int, slot bigint, doc_id bigint, first bigint, n_tokens bigint, ids_crc32 bigint"
 
-#: White space other than single spaces and line ends; texts with it are encoded in one piece.
-_OTHER_SPACE = regex.compile(r"[^\S \n]|[\x1c-\x1f\x85]|<\|")
-_PIECES = regex.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: What a text must not hold to be encoded by words: white space other than spaces and line ends, letters
+#: beyond the Latin blocks, numbers that are no digits, and what may be a special token.
+_UNUSUAL = re.compile(r"[^\n -~¡-ɏ‐-‧‰-⁞€]|[\xad²³¹¼½¾]|<\|")
+#: A word with the space or line end before it; or what stands between words. An apostrophe stays with what
+#: follows.
+_PIECES = re.compile(r"[ \n]?[^\W\d_]+|(?:'[^\W\d_]*|[^\w' \n]|[\d_]|[ \n](?![^\W\d_]))+")
 
 
 class Encoder:
     """A byte-level BPE tokenizer that remembers the ids of words.
 
-    Such a tokenizer never merges across the start of a run of white space, so a text's ids are those
-    of its words, each with the spaces before it. Where that is not certain (other white space, what
-    may be a special token) the text is encoded as a whole.
+    Such a tokenizer first cuts a text before a word, with the space that precedes it, and after a word,
+    except behind an apostrophe; it never merges across a cut. A line end before a word is a piece of its
+    own to it. So a text's ids are those of its pieces.
+    Where that is not certain the text is encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -61,28 +68,65 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
-        self.known: dict[str, bytes] = {}
+        self.line_end = self._ids(["\n"])[0]
+        self.known: dict[str, bytes] = {}  # pieces
+        self.after_space: dict[str, bytes] = {}  # what stands between two spaces
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
+        return [np.array(e.ids, dtype=self.dtype) for e in found]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Words go through the tokenizer as lines of one text, other pieces one by one."""
+        lines = [p for p in pieces if p[0] == "\n" and p[1:].isalpha()]
+        words = {p for p in pieces if p[0] != "\n" and p.lstrip(" ").isalpha()}
+        words = sorted(words | {p[1:] for p in lines if p[1:] not in self.known})
+        for begin in range(0, len(words), AT_ONCE):
+            part = words[begin : begin + AT_ONCE]
+            ids = self._ids(["\n" + "\n".join(part)])[0]
+            cuts = np.flatnonzero(ids == self.line_end[0])
+            if len(self.line_end) == 1 and len(cuts) == len(part):
+                ends = np.append(cuts[1:], len(ids))
+                data, width = ids.tobytes(), self.width
+                for word, a, b in zip(part, (cuts + 1).tolist(), ends.tolist(), strict=True):
+                    self.known[word] = data[a * width : b * width]
+        for line in lines:
+            if line[1:] in self.known:
+                self.known[line] = self.line_end.tobytes() + self.known[line[1:]]
+        rest = [p for p in pieces if p not in self.known]
+        self.known.update(zip(rest, (i.tobytes() for i in self._ids(rest)), strict=True))
+
+    def _by_pieces(self, texts: list[str]) -> list[bytes]:
+        cut = [_PIECES.findall(t) for t in texts]
+        missing = {p for pieces in cut for p in pieces if p not in self.known}
+        if len(self.known) + len(missing) > REMEMBERED:
+            self.known.clear()
+            missing = {p for pieces in cut for p in pieces}
+        self._learn(sorted(missing))
+        known = self.known.__getitem__
+        return [b"".join(map(known, pieces)) for pieces in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text with the end id, as bytes."""
+        """Ids of each text with the end id, as bytes.
+
+        Between single spaces a text is made of few different strings, which are looked up whole.
+        """
         end = np.array([END_ID], dtype=self.dtype).tobytes()
-        out: list = []
-        for text in texts:
-            if _OTHER_SPACE.search(text):
-                out.append(self._encode([text])[0] + end)
-                continue
-            pieces = _PIECES.findall(text)
-            missing = list({p for p in pieces if p not in self.known})
-            if missing:
-                if len(self.known) + len(missing) > REMEMBERED:
-                    self.known.clear()
-                    missing = list(set(pieces))
-                self.known.update(zip(missing, self._encode(missing), strict=True))
-            out.append(b"".join(map(self.known.__getitem__, pieces)) + end)
+        whole = [_UNUSUAL.search(t) is not None for t in texts]
+        spaced = [None if w or "  " in t else t.split(" ") for t, w in zip(texts, whole, strict=True)]
+        missing = {p for parts in spaced if parts for p in parts[1:] if p not in self.after_space}
+        if len(self.after_space) + len(missing) > REMEMBERED:
+            self.after_space.clear()
+            missing = {p for parts in spaced if parts for p in parts[1:]}
+        new = sorted(missing)
+        self.after_space.update(zip(new, self._by_pieces([f" {p}" for p in new]), strict=True))
+        tops = self._by_pieces([p[0] if p else "" if w else t for t, w, p in zip(texts, whole, spaced, strict=True)])
+        known, out = self.after_space.__getitem__, []
+        for text, is_whole, parts, top in zip(texts, whole, spaced, tops, strict=True):
+            if is_whole:
+                out.append(self._ids([text])[0].tobytes() + end)
+            else:
+                out.append(top + b"".join(map(known, parts[1:] if parts else ())) + end)
         return out
 
 
@@ -253,9 +297,12 @@ def write_shards(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             writer = ShardWriter(out, coder.width)
             batch = first
             while batch is not None:
-                texts = [t or "" for t in batch.column("text").to_pylist()]
-                for key, ids in zip(batch.column("id").to_pylist(), coder.encode(texts), strict=True):
-                    writer.add(key, ids)
+                for begin in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                    part = batch.slice(begin, TEXTS_AT_ONCE)
+                    texts = [t or "" for t in part.column("text").to_pylist()]
+                    keys = part.column("id").to_pylist()
+                    for key, ids in zip(keys, coder.encode(texts), strict=True):
+                        writer.add(key, ids)
                 batch = next(batches, None)
             writer.close()
         values = [shard, path, len(writer.keys), sum(writer.lengths)]
