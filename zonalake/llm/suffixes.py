@@ -194,72 +194,78 @@ def _by_document(level_0: DataFrame, levels: list[tuple[int, DataFrame]]) -> Dat
     return runs.join(places, KEY)
 
 
-def _tables(runs) -> dict[int, dict[int, int]]:
-    tables: dict[int, dict[int, int]] = {}
-    for run in runs:
-        tables.setdefault(run["h"], {})[run["i"]] = run["rank"]
-    return tables
-
-
-def _named(tables, begin: int, end: int) -> tuple[int, int, int] | None:
-    """Name of the run of phrases begin..end - 1."""
-    h = 1 << ((end - begin).bit_length() - 1)
-    ranks = tables.get(h, {})
-    if begin in ranks and end - h in ranks:
-        return end - begin, ranks[begin], ranks[end - h]
-    return None
-
-
-def _segments(places, tables) -> Iterator[tuple]:
-    """Runs of window starts with one inner and one outer run: (first, last, inner, outer, offset)."""
-    known = sorted((p["i"], p["pos"], p["shape"]) for p in places)
-    indexes = np.array([k[0] for k in known])
-    breaks = np.flatnonzero(np.diff(indexes) != 1) + 1
+class _Ranks:
+    """Ranks of a document's runs: by level, then by phrase; -1 where the run occurs once."""
+
+    def __init__(self, h: np.ndarray, i: np.ndarray, rank: np.ndarray, n: int):
+        self.table = np.full((int(h.max()).bit_length(), n + 1), -1, dtype=np.int64)
+        self.table[np.log2(h).astype(np.int64), i] = rank
+
+    def names(self, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(n, ra, rb) of the runs of phrases begin..end - 1; n is 0 where the name is not known."""
+        n = end - begin
+        level = np.log2(np.maximum(n, 1)).astype(np.int64)
+        ok = (n > 0) & (level < len(self.table))
+        level = np.where(ok, level, 0)
+        width = self.table.shape[1] - 1
+        ra = self.table[level, np.where(ok, begin, width)]
+        rb = self.table[level, np.where(ok, end - (1 << level), width)]
+        return np.where(ok & (ra >= 0) & (rb >= 0), n, 0), ra, rb
+
+
+def _segments(i: np.ndarray, pos: np.ndarray, shape: np.ndarray, ranks: _Ranks) -> Iterator[tuple]:
+    """Columns (first, last, inner name, outer name, offset) of a document's runs of window starts."""
     inner_end, outer_end = LENGTH - GRAM - SPAN + 1, LENGTH - GRAM
-    for run in np.split(np.arange(len(known)), breaks):
-        base = known[run[0]][0]
-        pos = np.array([known[r][1] for r in run])
-        shape = np.array([known[r][2] for r in run])
-        ends = pos + (shape & 0xFF)
-        at = np.append(pos, ends[-1])
-        first = np.append(pos - (shape >> 8 & 0xFF), ends[-1] - (shape[-1] >> 16 & 0xFF))
-        low = max(0, int(first[0]))
-        high = int(ends[-1] - (shape[-1] >> 24)) - inner_end
+    for run in np.split(np.arange(len(i)), np.flatnonzero(np.diff(i) != 1) + 1):
+        base, at = int(i[run[0]]), np.append(pos[run], pos[run[-1]] + (shape[run[-1]] & 0xFF))
+        first = np.append(
+            pos[run] - (shape[run] >> 8 & 0xFF), at[-1] - (shape[run[-1]] >> 16 & 0xFF)
+        )
+        low, high = max(0, int(first[0])), int(at[-1] - (shape[run[-1]] >> 24)) - inner_end
         if low > high:
             continue
         marks = np.concatenate((first, first - inner_end, at, at - outer_end + 1, [low]))
         marks = np.unique(marks[(marks >= low) & (marks <= high)])
         lasts = np.append(marks[1:] - 1, high)
-        i = np.searchsorted(first, marks, "right") - 1
-        j = np.searchsorted(first, marks + inner_end, "right") - 1
+        begin = np.searchsorted(first, marks, "right") - 1
+        end = np.searchsorted(first, marks + inner_end, "right") - 1
+        n, ra, rb = ranks.names(base + begin, base + end)
         before = np.searchsorted(at, marks, "right") - 1
         after = np.searchsorted(at, marks + outer_end, "left")
-        for k in range(len(marks)):
-            inner = _named(tables, base + int(i[k]), base + int(j[k]))
-            if inner is None:
-                continue
-            outer = None
-            if before[k] >= 0 and after[k] < len(at):
-                outer = _named(tables, base + int(before[k]), base + int(after[k]))
-            offset = int(marks[k] - at[before[k]]) if outer else None
-            yield int(marks[k]), int(lasts[k]), *inner, *(outer or (None,) * 3), offset
+        inside = (before >= 0) & (after < len(at))
+        outer = ranks.names(base + np.where(inside, before, 0), base + np.where(inside, after, 0))
+        offset = marks - at[np.maximum(before, 0)]
+        keep = n > 0
+        yield tuple(c[keep] for c in (marks, lasts, n, ra, rb, *outer, offset))
 
 
 def _emit_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-    kinds += [pa.int32(), pa.int64(), pa.int64(), pa.int32()]
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in (*KEY, "runs", "places"))
-        out = [
-            (key, tag, *segment)
-            for key, tag, runs, places in zip(*columns, strict=True)
-            for segment in _segments(places, _tables(runs))
-        ]
-        if out:
+        ids, tags = batch.column("id").to_numpy(), batch.column("tag").to_numpy()
+        runs, places = batch.column("runs"), batch.column("places")
+        run_ends, place_ends = runs.offsets.to_numpy(), places.offsets.to_numpy()
+        h, run_i, rank = (runs.values.field(c).to_numpy() for c in ("h", "i", "rank"))
+        i, pos, shape = (places.values.field(c).to_numpy() for c in ("i", "pos", "shape"))
+        for row in range(batch.num_rows):
+            r = slice(run_ends[row], run_ends[row + 1])
+            p = slice(place_ends[row], place_ends[row + 1])
+            order = np.argsort(i[p])
+            own = i[p][order].astype(np.int64)
+            ranks = _Ranks(h[r], run_i[r], rank[r], int(own[-1]) + 1)
+            parts = list(_segments(own, pos[p][order].astype(np.int64), shape[p][order], ranks))
+            if not parts:
+                continue
+            first, last, n, ra, rb, outer_n, outer_ra, outer_rb, offset = map(np.concatenate, zip(*parts, strict=True))
+            unknown = outer_n == 0
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                [
+                    pa.array(np.full(len(first), ids[row])), pa.array(np.full(len(first), tags[row])),
+                    *(pa.array(c.astype(np.int32)) for c in (first, last, n)), pa.array(ra), pa.array(rb),
+                    pa.array(outer_n.astype(np.int32), mask=unknown), pa.array(outer_ra, mask=unknown),
+                    pa.array(outer_rb, mask=unknown), pa.array(offset.astype(np.int32), mask=unknown),
+                ],
                 names=[*KEY, "first", "last", *INNER, *OUTER],
-            )
+            )
 
 
 def segments(level_0: DataFrame, levels: list[tuple[int, DataFrame]]) -> DataFrame:
