@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 from zonalake import job, session
 from zonalake.operators.conform import conform_air, conform_traffic
 from zonalake.operators.pairing import plain_join
-from zonalake.operators.quality import valid_air, valid_traffic
+from zonalake.operators.quality import quality_report, valid_air, valid_traffic
 from zonalake.operators.rolling import rolling_over_rows
 from zonalake.operators.staging import cast_known
 from zonalake.plans import gold, layers
 from zonalake.schemas import AIR_SOURCE, DATE_KEYS, RAW_AIR, RAW_TRAFFIC, SILVER, TRAFFIC_CSV
 from zonalake.sinks import jdbc_write_options, register_table, write_lake
 from zonalake.sources import (
+    bounds_query,
     jdbc_read_options,
-    mysql_url,
     read_lake,
     read_table,
     read_traffic_csv,
@@ -130,7 +130,7 @@ def test_refine_by_date_equals_refine_at_once(spark, lake):
     assert layers.refine(spark, *raw, at_once) == {"air": 7, "traffic": 11}
     for day in (DAY1, DAY2):
         layers.refine(spark, *raw, by_date, day)
-        layers.refresh_cells(spark, by_date, f"{lake}/gold", day)
+        layers.refresh_cells(*layers.silver_sides(spark, by_date, day), f"{lake}/gold", day)
     for whole, parts in zip(
         layers.silver_sides(spark, at_once), layers.silver_sides(spark, by_date), strict=True
     ):
@@ -189,6 +189,104 @@ def test_job_end_to_end(spark, lake, tmp_path):
         spark.sql(f"DROP {kind} {name}")
 
 
+def test_table_has_every_date_and_follows_its_folder(spark, lake, tmp_path, monkeypatch):
+    base = ["refine", "--air_input", f"{lake}/raw/air", "--traffic_input", f"{lake}/raw/traffic"]
+    named = ["--silver_table", "dated_silver"]
+    monkeypatch.chdir(tmp_path)
+    try:
+        for folder in (f"{tmp_path}/one", "relative_two"):
+            by_day = [*base, "--silver_output", folder]
+            job.run(spark, [*by_day, "--ingest_date", DAY1.isoformat()])
+            job.run(spark, [*by_day, *named, "--ingest_date", DAY2.isoformat()])
+            for side, rows in (("air", 7), ("traffic", 11)):
+                assert spark.table(f"dated_silver_{side}").count() == rows
+        by_name = ["marts", *named, "--gold_output", f"{tmp_path}/g1"]
+        by_folder = ["marts", "--silver_input", f"{tmp_path}/one", "--gold_output", f"{tmp_path}/g2"]
+        assert job.run(spark, by_name) == job.run(spark, by_folder)
+        one, two = (layers.read_marts(spark, f"{tmp_path}/{g}") for g in ("g1", "g2"))
+        assert {n: bag(m) for n, m in one.items()} == {n: bag(m) for n, m in two.items()}
+        day = ["--ingest_date", DAY2.isoformat()]
+        assert job.run(spark, [*by_name, *day]) == job.run(spark, by_folder)
+    finally:
+        spark.sql("DROP VIEW dated_silver")
+        for side in ("air", "traffic"):
+            spark.sql(f"DROP TABLE dated_silver_{side}")
+
+
+def test_marts_by_view_form_no_pairs(spark, lake, tmp_path, monkeypatch):
+    base = ["refine", "--air_input", f"{lake}/raw/air", "--traffic_input", f"{lake}/raw/traffic"]
+    job.run(spark, [*base, "--silver_output", f"{lake}/s", "--silver_table", "pair_silver"])
+    seen = []
+    monkeypatch.setattr(layers, "_write", lambda df, *a, **k: seen.append(plan_of(df)) or 0)
+
+    def stop(*args):
+        raise LookupError("far enough")
+
+    monkeypatch.setattr(layers, "stored_cells", stop)
+    try:
+        with pytest.raises(LookupError):
+            job.run(spark, ["marts", "--silver_table", "pair_silver", "--gold_output", f"{tmp_path}/g"])
+        assert len(seen) == 2 and not any("Join" in plan for plan in seen)
+    finally:
+        spark.sql("DROP VIEW pair_silver")
+        for side in ("air", "traffic"):
+            spark.sql(f"DROP TABLE pair_silver_{side}")
+
+
+def test_joined_table_takes_no_date(spark, lake):
+    layers.refine(spark, f"{lake}/raw/air", f"{lake}/raw/traffic", f"{lake}/silver")
+    layers.join_silver(spark, f"{lake}/silver")
+    register_table(spark, "whole_silver", f"{lake}/silver/joined", SILVER)
+    args = ["marts", "--silver_table", "whole_silver", "--gold_output", f"{lake}/g"]
+    with pytest.raises(ValueError, match="ingest_date"):
+        job.run(spark, [*args, "--ingest_date", DAY1.isoformat()])
+    spark.sql("DROP TABLE whole_silver")
+
+
+def test_managed_table_is_not_replaced(spark, lake):
+    spark.sql("CREATE TABLE owns_files (x int) USING parquet")
+    with pytest.raises(ValueError, match="owns its files"):
+        register_table(spark, "owns_files", f"{lake}/raw/air", RAW_AIR)
+    spark.sql("DROP TABLE owns_files")
+
+
+def test_refine_reports_and_drops_what_came_again(spark, lake):
+    batch = raw_air(spark).drop(*DATE_KEYS)
+    for day in (DAY1, DAY2):
+        layers.ingest(batch, f"{lake}/again/air", day)
+        layers.ingest(raw_traffic(spark).drop(*DATE_KEYS), f"{lake}/again/traffic", day)
+    paths = (f"{lake}/again/air", f"{lake}/again/traffic")
+    plain = layers.refine(spark, *paths, f"{lake}/s1")
+    once = layers.refine(spark, *paths, f"{lake}/s2", drop_duplicates=True, report=True)
+    assert plain["air"] == 2 * valid_air(raw_air(spark)).count()
+    assert once["air"] == valid_air(batch.distinct()).count()
+    assert read_lake(spark, f"{lake}/s2/air").select(*DATE_KEYS).distinct().count() == 1
+    counts = layers.refine(spark, *paths, f"{lake}/s3", report=True)
+    raw = [read_lake(spark, p, s) for p, s in zip(paths, (RAW_AIR, RAW_TRAFFIC), strict=True)]
+    for source, _, rule, failed in quality_report(*raw).collect():
+        if rule not in ("any_rule", "time_readable"):
+            assert counts[f"{source}: {rule} failed"] == failed
+
+
+def test_preview_and_files_follow_the_order(spark, tmp_path):
+    mart = spark.range(5000).selectExpr(
+        "concat('z', id) AS zone", "1 AS year", "1 AS month", "1 AS day",
+        "cast(id * 7 % 5000 AS double) AS avg_pollution",
+    )
+    mart.repartition(7).write.parquet(f"{tmp_path}/m")
+    stored = gold.in_order("datamart_pollution", spark.read.parquet(f"{tmp_path}/m"))
+    assert [r.avg_pollution for r in stored.limit(3).collect()] == [4999.0, 4998.0, 4997.0]
+
+
+def test_work_scope_deletes_its_folders(spark):
+    with session.work_scope(spark):
+        path = session.work_path(spark, "scoped")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_job_arguments():
     with pytest.raises(ValueError, match="output_traffic"):
         job.run(None, ["ingest", "--traffic_input", "x"])
@@ -206,8 +304,8 @@ def test_cast_known(spark):
 
 
 def test_jdbc_options(monkeypatch):
-    url = mysql_url("db", 3306, "air")
-    assert url.startswith("jdbc:mysql://db:3306/air?") and "useSSL=false" in url
+    url = "jdbc:mysql://db:3306/air"
+    assert bounds_query("t", "id") == "SELECT MIN(id) AS low, MAX(id) AS high FROM t"
     monkeypatch.setenv("ZONALAKE_JDBC_USER", "reader")
     monkeypatch.setenv("ZONALAKE_JDBC_PASSWORD", "secret")
     read = jdbc_read_options(

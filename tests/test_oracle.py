@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 from collections import Counter
 from decimal import Decimal
@@ -57,6 +58,16 @@ def test_query_matches_sql(spark, duck, name):
     assert actual == expected
 
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_sort_lies_below_an_aggregate(spark, name):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    depths = [(len(line) - len(line.lstrip(" :+-")), line.lstrip(" :+-")) for line in plan.split("\n")]
+    for at, (depth, node) in enumerate(depths):
+        if node.startswith("Aggregate"):
+            below = itertools.takewhile(lambda x: x[0] > depth, depths[at + 1 :])
+            assert not any(line.startswith("Sort") for _, line in below)
+
+
 def test_driver_has_every_query():
     assert QUERIES.keys() <= driver.queries().keys()
     assert ORACLES.keys() <= driver.oracle_sql().keys()

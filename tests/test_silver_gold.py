@@ -19,7 +19,6 @@ from zonalake.operators.cells import (
     traffic_cells,
 )
 from zonalake.operators.pairing import (
-    MOST_TASKS,
     SMALLEST_BLOCK,
     block_size,
     join_keys,
@@ -139,12 +138,13 @@ def test_grid_blocks_stay_under_the_budget(spark):
 def test_task_count_and_block_size():
     million = 1_000_000
     assert task_count(0, 4 * million, 200) == 200
-    assert task_count(1e12, 4 * million, 200) == MOST_TASKS
+    assert task_count(1e12, 4 * million, 200) == 250_000
     assert task_count(4e9, 4 * million, 200) == 1000
     assert block_size(0, 200, 4 * million) == SMALLEST_BLOCK
     assert block_size(160e6, 200, 4 * million) == 100_000
-    assert block_size(1e15, MOST_TASKS, 4 * million) == 4 * million
-    assert block_size(1e15, MOST_TASKS, 10) == 10
+    assert block_size(1e15, 50_000, 4 * million) == 4 * million
+    assert block_size(1e15, 50_000, 10) == 10
+    assert block_size(160e6, 200, 4 * million, smallest=1_000_000) == 1_000_000
 
 
 def test_a_single_hot_key_occupies_all_tasks(spark):
@@ -211,9 +211,11 @@ def test_marts_by_hand(sides):
 
 def test_marts_are_ordered(sides):
     cells = cells_of(*sides)
-    averages = [r.avg_traffic for r in gold.traffic_mart(cells).collect()]
+    ordered = gold.in_order("datamart_traffic", gold.traffic_mart(cells))
+    averages = [r.avg_traffic for r in ordered.collect()]
     assert averages == sorted(averages, reverse=True)
-    averages = [r.avg_pollution for r in gold.pollution_mart(cells).collect()]
+    ordered = gold.in_order("datamart_pollution", gold.pollution_mart(cells))
+    averages = [r.avg_pollution for r in ordered.collect()]
     assert averages == sorted(averages, reverse=True)
 
 

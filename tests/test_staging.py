@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date
+import time
+from datetime import date, datetime
 
 import pytest
 from fixtures import AIR_VALID, TRAFFIC_VALID, bag, raw_air, raw_traffic
 from pyspark.sql import functions as F
 
-from zonalake import fixed_values
+from zonalake import fixed_values, standin
 from zonalake.functions import (
     air_zone,
     hour_label,
@@ -97,8 +98,11 @@ def test_map_zones(spark):
 
 def test_map_zones_from_table(spark):
     df = spark.createDataFrame([("a",), ("b",)], "zone string")
-    table = spark.createDataFrame([("A", "p"), ("a", "o")], "zone string, mapped string")
+    table = spark.createDataFrame([("A", "o"), ("a", "o")], "zone string, mapped string")
     assert bag(conform.map_zones(df, table)) == [("b",), ("o",)]
+    table = spark.createDataFrame([("A", "p"), ("a", "o")], "zone string, mapped string")
+    with pytest.raises(Exception, match="two zones"):
+        conform.map_zones(df, table).collect()
 
 
 def test_map_zones_rejects_conflict(spark):
@@ -138,8 +142,10 @@ def test_quality_report(spark):
         ("air", "latitude_in_range"): 3,
         ("air", "time_readable"): 2,
         ("air", "any_rule"): 14,
+        ("air", "pollution_finite"): 0,
+        ("traffic", "count_finite"): 1,
         ("traffic", "count_present"): 1,
-        ("traffic", "count_not_negative"): 4,
+        ("traffic", "count_not_negative"): 3,
         ("traffic", "segment_open"): 3,
         ("traffic", "time_readable"): 2,
         ("traffic", "any_rule"): 9,
@@ -147,6 +153,51 @@ def test_quality_report(spark):
     assert {r.rows for r in report.filter("source = 'air'").collect()} == {19}
 
 
+def test_infinite_and_nan_values_have_their_own_rule(spark):
+    odd = spark.sql(
+        "SELECT inline(array(struct(double('NaN') AS pollution_value), struct(double('Infinity')), "
+        "struct(double('-Infinity')), struct(1d)))"
+    )
+    others = ("air_quality_index", "temperature", "humidity", "latitude")
+    air = odd.withColumns({name: F.lit(1) for name in others})
+    assert bag(quality.valid_air(air).select("pollution_value")) == [(1.0,)]
+    counts = spark.createDataFrame([("NaN",), ("Infinity",), ("-Infinity",), ("x",), ("3",)], "debit_horaire string")
+    counts = counts.withColumn("etat_arc", F.lit("Ouvert")).withColumn(
+        "date_et_heure_de_comptage", F.lit("2025-04-01T07:00:00")
+    )
+    assert bag(quality.valid_traffic(counts).select("debit_horaire")) == [("3",)]
+    air = air.withColumn("datetime", F.lit("01/02/2024 07:05"))
+    failed = {(r.source, r.rule): r.failed for r in quality.quality_report(air, counts).collect()}
+    assert failed["air", "pollution_finite"] == 3 and failed["traffic", "count_finite"] == 2
+    kept = {n: r for n, r in fixed_values.TRAFFIC_RULES.items() if n != "count_finite"}
+    assert quality.valid_traffic(counts, kept).count() == 3
+
+
+def test_a_large_mapping_is_planned_quickly_and_by_its_size(spark):
+    mapping = {f"label{i}": f"z{i}" for i in range(100_000)}
+    begin = time.monotonic()
+    df = conform.map_zones(spark.createDataFrame([("label7",), ("x",)], "zone string"), mapping)
+    assert time.monotonic() - begin < 2
+    assert bag(df) == [("x",), ("z7",)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        df = conform.map_zones(spark.createDataFrame([("x",)], "zone string"), mapping)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_labels_are_not_cut(spark, tmp_path):
+    label = "9-" + "x" * 300
+    spark.createDataFrame(
+        [(1, "O", 1.0, datetime(2024, 1, 1), label)],
+        "o_orderkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+        "o_orderpriority string",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    assert standin.traffic_csv(spark, str(tmp_path)).first().libelle == "Bd_" + "x" * 300
+
+
 def test_rules_are_arguments(spark):
     assert quality.valid_air(raw_air(spark), {}).count() == 19
     assert quality.valid_air(raw_air(spark), {"warm": "temperature >= 60"}).count() == 2
@@ -177,6 +228,10 @@ def test_stamp_and_dedup(spark):
     assert bag(staging.drop_duplicate_rows(df)) == [("a", 1), ("b", 2), ("b", 3)]
     assert staging.drop_duplicate_rows(df, ["k"]).count() == 2
     assert staging.drop_duplicate_rows(spark.range(0)).count() == 0
+    again = staging.stamp_ingest_date(df, date(2025, 3, 31)).unionByName(stamped)
+    kept = staging.drop_reingested(again)
+    assert kept.columns == again.columns
+    assert bag(kept, ["k", "v", "month", "day"]) == [("a", 1, 3, 31), ("b", 2, 3, 31), ("b", 3, 3, 31)]
 
 
 def test_layer_counts(spark):

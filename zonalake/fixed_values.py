@@ -74,15 +74,21 @@ TRAFFIC_PREFIX = "Bd_"
 # every rule of its table is true, so a NULL drops the row.
 AIR_RULES = {
     "pollution_present": "pollution_value IS NOT NULL",
+    "pollution_finite": (
+        "pollution_value IS NULL OR (pollution_value > double('-Infinity') "
+        "AND pollution_value < double('Infinity'))"
+    ),
     "aqi_not_negative": "air_quality_index >= 0",
     "temperature_in_range": "temperature BETWEEN -50 AND 60",
     "humidity_in_range": "humidity BETWEEN 0 AND 100",
     "latitude_in_range": "latitude BETWEEN -90 AND 90",
 }
-# The count arrives as text. Text that is no finite number counts as failing.
+# The count arrives as text. Text that is no number counts as negative; infinite counts and NaN have a
+# rule of their own, which a caller may leave out.
 TRAFFIC_RULES = {
     "count_present": "debit_horaire IS NOT NULL",
-    "count_not_negative": "try_cast(debit_horaire AS DOUBLE) BETWEEN 0 AND 1.7976931348623157E308D",
+    "count_not_negative": "try_cast(debit_horaire AS DOUBLE) >= 0",
+    "count_finite": "coalesce(try_cast(debit_horaire AS DOUBLE) < double('Infinity'), true)",
     "segment_open": "etat_arc = 'Ouvert'",
 }
 

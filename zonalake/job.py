@@ -16,7 +16,7 @@ from zonalake.operators.staging import cast_known
 from zonalake.plans import gold, layers
 from zonalake.schemas import AIR_SOURCE, SILVER, SILVER_AIR, SILVER_TRAFFIC
 from zonalake.session import build_session
-from zonalake.sinks import create_silver_view, register_table, write_jdbc
+from zonalake.sinks import create_silver_view, is_view, register_table, write_jdbc
 from zonalake.sources import read_jdbc, read_table, read_traffic_csv
 
 log = logging.getLogger("zonalake")
@@ -48,6 +48,12 @@ def parser() -> argparse.ArgumentParser:
     step.add_argument("--silver_output", required=True)
     step.add_argument("--ingest_date", type=date.fromisoformat, default=None)
     step.add_argument("--silver_table", help="catalog name; sides get the suffixes _air, _traffic")
+    step.add_argument(
+        "--drop_duplicates", action="store_true", help="keep rows ingested again once"
+    )
+    step.add_argument(
+        "--report_rules", action="store_true", help="count the rows that fail each rule"
+    )
     step.add_argument(
         "--join_rows", action="store_true", help="store the row-level join instead of a view"
     )
@@ -55,7 +61,7 @@ def parser() -> argparse.ArgumentParser:
     step = steps.add_parser("marts", help="silver layer into the gold marts")
     source = step.add_mutually_exclusive_group(required=True)
     source.add_argument("--silver_input", help="folder that refine wrote")
-    source.add_argument("--silver_table", help="catalog name of a joined silver table")
+    source.add_argument("--silver_table", help="catalog name given to refine")
     step.add_argument("--gold_output", required=True)
     step.add_argument("--ingest_date", type=date.fromisoformat, default=None)
     step.add_argument("--jdbc_url", help="database that gets the marts as tables too")
@@ -94,14 +100,21 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
 
 def run_refine(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     folder = args.silver_output
-    rows = layers.refine(spark, args.air_input, args.traffic_input, folder, args.ingest_date)
+    rows = layers.refine(
+        spark,
+        args.air_input,
+        args.traffic_input,
+        folder,
+        args.ingest_date,
+        drop_duplicates=args.drop_duplicates,
+        report=args.report_rules,
+    )
     if args.join_rows:
         rows["joined"] = layers.join_silver(spark, folder)
     name = args.silver_table
     if name:
-        day = args.ingest_date
-        register_table(spark, f"{name}_air", f"{folder}/air", SILVER_AIR, day)
-        register_table(spark, f"{name}_traffic", f"{folder}/traffic", SILVER_TRAFFIC, day)
+        register_table(spark, f"{name}_air", f"{folder}/air", SILVER_AIR)
+        register_table(spark, f"{name}_traffic", f"{folder}/traffic", SILVER_TRAFFIC)
         if args.join_rows:
             register_table(spark, name, f"{folder}/joined", SILVER)
         else:
@@ -110,19 +123,31 @@ def run_refine(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
 
 
 def run_marts(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
-    if args.silver_input:
-        layers.refresh_cells(spark, args.silver_input, args.gold_output, args.ingest_date)
-        cells = layers.stored_cells(spark, args.gold_output)
+    """Marts from a folder, from the view that refine made, or from a joined table.
+
+    Folder and view give the two sides, which are pre-aggregated by date: with a date only that
+    date is read and replaced, and the marts cover all dates. A joined table is always read whole.
+    """
+    name, day = args.silver_table, args.ingest_date
+    if name and not is_view(spark, name):
+        if day:
+            raise ValueError("--ingest_date needs --silver_input or the view that refine made")
+        cells = layers.settled_silver_cells(read_table(spark, name))
     else:
-        cells = layers.settled_silver_cells(read_table(spark, args.silver_table))
+        if name:
+            sides = [read_table(spark, f"{name}_{side}", day) for side in ("air", "traffic")]
+        else:
+            sides = layers.silver_sides(spark, args.silver_input, day)
+        layers.refresh_cells(*sides, args.gold_output, day)
+        cells = layers.stored_cells(spark, args.gold_output)
     log.info("mean traffic per hour: %s", gold.hourly_traffic(cells).orderBy("hour").collect())
-    layers.write_marts(layers.marts_of_cells(cells), args.gold_output)
-    written = layers.read_marts(spark, args.gold_output)
-    for name, mart in written.items():
-        log.info("%s: first rows %s", name, mart.limit(PREVIEW_ROWS).collect())
+    rows = layers.write_marts(layers.marts_of_cells(cells), args.gold_output)
+    for mart_name, mart in layers.read_marts(spark, args.gold_output).items():
+        ordered = gold.in_order(mart_name, mart)
+        log.info("%s: first rows %s", mart_name, ordered.limit(PREVIEW_ROWS).collect())
         if args.jdbc_url:
-            write_jdbc(mart, args.jdbc_url, name, driver=args.jdbc_driver)
-    return {name: mart.count() for name, mart in written.items()}
+            write_jdbc(ordered, args.jdbc_url, mart_name, driver=args.jdbc_driver)
+    return rows
 
 
 def run(spark: SparkSession, argv: Sequence[str] | None = None) -> dict[str, int]:

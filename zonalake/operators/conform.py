@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,10 +13,6 @@ from zonalake.functions import air_zone, hour_of_text, traffic_zone
 from zonalake.operators.quality import valid_air, valid_traffic
 from zonalake.schemas import AIR_METRICS, DATE_KEYS
 
-# A mapping given as a dict is broadcast; it is held by the driver already, and above this many
-# entries the planner decides from the table's size instead.
-BROADCAST_ENTRIES = 10_000
-
 
 def with_air_hour(df: DataFrame) -> DataFrame:
     return df.withColumn("hour", hour_of_text(F.col("datetime"), AIR_TIME_FORMAT))
@@ -34,30 +31,32 @@ def with_traffic_zone(df: DataFrame) -> DataFrame:
 
 
 def _dimension_of(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
+    """A local table, whose size the planner knows and broadcasts by."""
     folded: dict[str, str] = {}
     for label, zone in mapping.items():
         if folded.setdefault(label.lower(), zone) != zone:
             raise ValueError(f"label {label.lower()!r} is mapped to two zones")
-    if not folded:
-        return df.sparkSession.createDataFrame([], "label string, mapped string")
-    pairs = [F.lit(text) for pair in folded.items() for text in pair]
-    return df.sparkSession.range(1).select(F.explode(F.create_map(*pairs)).alias("label", "mapped"))
+    columns = {"label": list(folded), "mapped": list(folded.values())}
+    schema = pa.schema([("label", pa.string()), ("mapped", pa.string())])
+    return df.sparkSession.createDataFrame(pa.table(columns, schema=schema))
 
 
 def map_zones(df: DataFrame, mapping: Mapping[str, str] | DataFrame = ZONE_MAPPING) -> DataFrame:
     """Replace `zone` by what its label maps to; unmapped zones stay.
 
     The mapping is a dict, or a table `(zone, mapped)` of any size. Labels match in lower case, the
-    form zones have by then. A label listed twice in a table takes the alphabetically first zone.
+    form zones have by then. A label mapped to two zones is an error in either form, for a
+    table when the query runs.
     """
     if isinstance(mapping, DataFrame):
-        dimension = mapping.groupBy(F.lower("zone").alias("label")).agg(
-            F.min("mapped").alias("mapped")
+        both = mapping.groupBy(F.lower("zone").alias("label")).agg(
+            F.min("mapped").alias("low"), F.max("mapped").alias("high")
         )
+        error = F.concat(F.lit("label mapped to two zones: "), F.col("label"))
+        single = F.when(F.col("low") != F.col("high"), F.raise_error(error)).otherwise(F.col("low"))
+        dimension = both.select("label", single.alias("mapped"))
     else:
         dimension = _dimension_of(df, mapping)
-        if len(mapping) <= BROADCAST_ENTRIES:
-            dimension = F.broadcast(dimension)
     return (
         df.join(dimension, F.col("zone") == F.col("label"), "left")
         .withColumn("zone", F.coalesce("mapped", "zone"))

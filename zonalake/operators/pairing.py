@@ -14,13 +14,11 @@ from zonalake.session import settle
 
 # Most joined rows of one zone and hour that one task should emit.
 PAIRS_PER_BLOCK = 4_000_000
-# Pairs below which splitting a key does not pay.
+# Pairs below which splitting a key does not pay, unless the caller says otherwise.
 SMALLEST_BLOCK = 50_000
 # Blocks that a task's share of the pairs is split into. Blocks are placed by hash; more of them
 # even out the tasks.
 BLOCKS_PER_TASK = 8
-# Most tasks of one join. Beyond it a task works through several blocks, one after the other.
-MOST_TASKS = 50_000
 
 
 def plain_join(air: DataFrame, traffic: DataFrame) -> DataFrame:
@@ -57,14 +55,16 @@ def with_blocks(keys: DataFrame, pairs_per_block: int) -> DataFrame:
 def task_count(pairs: float, pairs_per_block: int, shuffle_partitions: int) -> int:
     """Tasks for a join of so many pairs: as many as it has full blocks, and no fewer than the
     session's shuffle partitions, to which Spark raises the number in any case."""
-    return min(max(math.ceil(pairs / pairs_per_block), shuffle_partitions), MOST_TASKS)
+    return max(math.ceil(pairs / pairs_per_block), shuffle_partitions)
 
 
-def block_size(pairs: float, tasks: int, pairs_per_block: int) -> int:
+def block_size(
+    pairs: float, tasks: int, pairs_per_block: int, smallest: int = SMALLEST_BLOCK
+) -> int:
     """Pairs per block: several blocks per task, so that a few hot keys still occupy all tasks
     evenly, but none too small or too large."""
     share = math.ceil(pairs / tasks / BLOCKS_PER_TASK)
-    return min(pairs_per_block, max(SMALLEST_BLOCK, share))
+    return min(pairs_per_block, max(smallest, share))
 
 
 def _side(df: DataFrame, columns: list[str], keys: DataFrame, names: tuple[str, str], lot: int):
@@ -87,7 +87,10 @@ def _side(df: DataFrame, columns: list[str], keys: DataFrame, names: tuple[str,
 
 
 def silver_join(
-    air: DataFrame, traffic: DataFrame, pairs_per_block: int = PAIRS_PER_BLOCK
+    air: DataFrame,
+    traffic: DataFrame,
+    pairs_per_block: int = PAIRS_PER_BLOCK,
+    smallest_block: int = SMALLEST_BLOCK,
 ) -> DataFrame:
     """All pairs of air and traffic rows of the same zone and hour, with the cumulative mean.
 
@@ -113,7 +116,7 @@ def silver_join(
     keys = settle(counted, "keys")
     pairs = size.get.get("pairs") or 0.0
     tasks = task_count(pairs, pairs_per_block, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    per_block = block_size(pairs, tasks, pairs_per_block)
+    per_block = block_size(pairs, tasks, pairs_per_block, smallest_block)
     keys = with_blocks(keys, per_block)
     lot = max(1, math.isqrt(per_block) // 8)
 

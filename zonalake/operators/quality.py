@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from zonalake.fixed_values import AIR_RULES, AIR_TIME_FORMAT, TRAFFIC_RULES
@@ -61,3 +61,13 @@ def quality_report(
         F.col("date_et_heure_de_comptage")
     ).isNotNull()
     return _report(air, "air", air_checks).unionByName(_report(traffic, "traffic", traffic_checks))
+
+
+def rule_counts(raw: DataFrame, name: str, rules: Mapping[str, str]) -> tuple[DataFrame, Observation]:
+    """`raw` with the number of rows that fail each rule, filled in by the next action over it."""
+    metric = Observation(f"{name}-rules")
+    failed = [
+        F.count_if(~F.coalesce(F.expr(rule), F.lit(False))).alias(rule_name)
+        for rule_name, rule in rules.items()
+    ]
+    return raw.observe(metric, *failed), metric

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from zonalake.schemas import DATE_KEYS
+
 
 def stamp_ingest_date(df: DataFrame, day: date) -> DataFrame:
     """Add the ingest date as integer columns."""
@@ -30,3 +32,20 @@ def drop_duplicate_rows(df: DataFrame, keys: list[str] | None = None) -> DataFra
     of the table does not load one reducer.
     """
     return df.dropDuplicates(keys) if keys else df.dropDuplicates()
+
+
+def drop_reingested(df: DataFrame) -> DataFrame:
+    """One of each set of rows that are equal but for the ingest date: that of the earliest date.
+
+    A batch that is ingested again on another date gives such rows. Copies combine in the map tasks.
+    """
+    source = [c for c in df.columns if c not in DATE_KEYS]
+    day = F.col("year") * 10_000 + F.col("month") * 100 + F.col("day")
+    first = df.groupBy(*source).agg(F.min(day).alias("__day"))
+    parts = {
+        "year": F.floor(F.col("__day") / 10_000),
+        "month": F.floor(F.col("__day") / 100) % 100,
+        "day": F.col("__day") % 100,
+    }
+    dated = first.withColumns({name: part.cast("int") for name, part in parts.items()})
+    return dated.select(*df.columns)

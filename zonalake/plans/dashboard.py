@@ -41,22 +41,33 @@ def filter_traffic_pollution(
     return filter_traffic(mart, zones, hours).filter(F.col("traffic_level").isin(levels))
 
 
+def _zone_pollution(selected: DataFrame) -> DataFrame:
+    return selected.groupBy("zone").agg(
+        mean_of("avg_pollution", 1), max_of("max_pollution", 1), mean_of("avg_aqi", 1)
+    )
+
+
+def _zone_traffic(selected: DataFrame) -> DataFrame:
+    return selected.groupBy("zone").agg(mean_of("avg_traffic", 1), max_of("max_traffic", 1))
+
+
+def _zone_conditions(selected: DataFrame) -> DataFrame:
+    return selected.groupBy("zone").agg(
+        mean_of("avg_traffic", 1),
+        mean_of("avg_pollution", 1),
+        mean_of("avg_temperature", 1),
+        mean_of("avg_humidity", 1),
+    )
+
+
 def pollution_by_zone(selected: DataFrame) -> DataFrame:
     """Most polluted first."""
-    return (
-        selected.groupBy("zone")
-        .agg(mean_of("avg_pollution", 1), max_of("max_pollution", 1), mean_of("avg_aqi", 1))
-        .orderBy(F.desc("avg_pollution"), "zone")
-    )
+    return _zone_pollution(selected).orderBy(F.desc("avg_pollution"), "zone")
 
 
 def traffic_by_zone(selected: DataFrame) -> DataFrame:
     """Most congested first."""
-    return (
-        selected.groupBy("zone")
-        .agg(mean_of("avg_traffic", 1), max_of("max_traffic", 1))
-        .orderBy(F.desc("avg_traffic"), "zone")
-    )
+    return _zone_traffic(selected).orderBy(F.desc("avg_traffic"), "zone")
 
 
 def traffic_by_hour_zone(selected: DataFrame) -> DataFrame:
@@ -84,16 +95,7 @@ def heatmap_pivot(
 
 
 def traffic_pollution_by_zone(selected: DataFrame) -> DataFrame:
-    return (
-        selected.groupBy("zone")
-        .agg(
-            mean_of("avg_traffic", 1),
-            mean_of("avg_pollution", 1),
-            mean_of("avg_temperature", 1),
-            mean_of("avg_humidity", 1),
-        )
-        .orderBy("zone")
-    )
+    return _zone_conditions(selected).orderBy("zone")
 
 
 def pollution_by_level(selected: DataFrame) -> DataFrame:
@@ -115,7 +117,7 @@ def level_bars(selected: DataFrame) -> DataFrame:
 def pollution_share(selected: DataFrame) -> DataFrame:
     """Each zone's mean pollution as a percentage of the sum over zones, largest first. The sum is
     a scalar subquery, so no window gathers all zones in one task."""
-    by_zone = pollution_by_zone(selected).select("zone", "avg_pollution")
+    by_zone = _zone_pollution(selected).select("zone", "avg_pollution")
     total = by_zone.agg(F.sum("avg_pollution")).scalar()
     share = rounded(F.try_divide(F.col("avg_pollution") * 100.0, total), 1)
     return by_zone.select(
@@ -139,7 +141,7 @@ def traffic_pollution_bubbles(selected: DataFrame) -> DataFrame:
 def env_conditions(selected: DataFrame) -> DataFrame:
     """Temperature and humidity per zone, warmest first."""
     return (
-        traffic_pollution_by_zone(selected)
+        _zone_conditions(selected)
         .select(zone_label(F.col("zone")).alias("zone"), "avg_temperature", "avg_humidity")
         .orderBy(F.desc("avg_temperature"), "zone")
     )
@@ -156,10 +158,10 @@ def kpi_board(pollution: DataFrame, traffic: DataFrame) -> DataFrame:
     cleanest, and the lowest hour is the peak. The three summaries are stacked and reduced by one
     global aggregate.
     """
-    polluted = pollution_by_zone(pollution).select(
+    polluted = _zone_pollution(pollution).select(
         F.col("zone").alias("polluted_zone"), "avg_pollution"
     )
-    congested = traffic_by_zone(traffic).select(
+    congested = _zone_traffic(traffic).select(
         F.col("zone").alias("congested_zone"), "avg_traffic"
     )
     hours = traffic.groupBy("hour").agg(F.avg("avg_traffic").alias("hour_traffic"))

@@ -24,8 +24,19 @@ def _mean_over_pairs(name: str, weight: str):
     return weighted_mean(F.col(f"sum_{name}"), F.col(f"n_{name}"), F.col(weight))
 
 
-def _by_value(df: DataFrame, value: str, ties: list[str]) -> DataFrame:
-    return df.orderBy(F.desc(value), *ties)
+# By what a mart is listed, highest first, and what breaks ties; the third mart has no order.
+MART_ORDER = {
+    "datamart_pollution": ("avg_pollution", ZONE_DATE),
+    "datamart_traffic": ("avg_traffic", ZONE_HOUR_DATE),
+}
+
+
+def in_order(name: str, mart: DataFrame) -> DataFrame:
+    """The mart in its order. Marts are built without one, as what reads them would sort in vain."""
+    if name not in MART_ORDER:
+        return mart
+    value, ties = MART_ORDER[name]
+    return mart.orderBy(F.desc(value), *ties)
 
 
 def pollution_mart(cells: DataFrame) -> DataFrame:
@@ -36,7 +47,7 @@ def pollution_mart(cells: DataFrame) -> DataFrame:
         rounded(F.max("max_pollution_value")).alias("max_pollution"),
         rounded(_mean_over_pairs("air_quality_index", "traffic_rows")).alias("avg_aqi"),
     )
-    return _by_value(mart.select(*POLLUTION_MART), "avg_pollution", ZONE_DATE)
+    return mart.select(*POLLUTION_MART)
 
 
 def traffic_mart(cells: DataFrame) -> DataFrame:
@@ -46,7 +57,7 @@ def traffic_mart(cells: DataFrame) -> DataFrame:
         rounded(_mean("debit_horaire")).alias("avg_traffic"),
         rounded(F.col("max_debit_horaire")).alias("max_traffic"),
     )
-    return _by_value(mart.select(*TRAFFIC_MART), "avg_traffic", ZONE_HOUR_DATE)
+    return mart.select(*TRAFFIC_MART)
 
 
 def traffic_pollution_mart(cells: DataFrame) -> DataFrame:
@@ -97,7 +108,7 @@ def pollution_mart_from_silver(silver: DataFrame) -> DataFrame:
         rounded(F.max("pollution_value")).alias("max_pollution"),
         rounded(F.avg("air_quality_index")).alias("avg_aqi"),
     )
-    return _by_value(mart.select(*POLLUTION_MART), "avg_pollution", ZONE_DATE)
+    return mart.select(*POLLUTION_MART)
 
 
 def traffic_mart_from_silver(silver: DataFrame) -> DataFrame:
@@ -105,7 +116,7 @@ def traffic_mart_from_silver(silver: DataFrame) -> DataFrame:
         rounded(F.avg("debit_horaire")).alias("avg_traffic"),
         rounded(F.max("debit_horaire")).alias("max_traffic"),
     )
-    return _by_value(mart.select(*TRAFFIC_MART), "avg_traffic", ZONE_HOUR_DATE)
+    return mart.select(*TRAFFIC_MART)
 
 
 def traffic_pollution_mart_from_silver(silver: DataFrame) -> DataFrame:

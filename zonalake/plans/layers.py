@@ -12,7 +12,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonalake.fixed_values import ZONE_MAPPING
+from zonalake.fixed_values import AIR_RULES, TRAFFIC_RULES, ZONE_MAPPING
 from zonalake.operators.cells import (
     air_cells,
     cells_of_silver,
@@ -22,11 +22,12 @@ from zonalake.operators.cells import (
 )
 from zonalake.operators.conform import conform_air, conform_traffic
 from zonalake.operators.pairing import PAIRS_PER_BLOCK, silver_join
-from zonalake.operators.staging import stamp_ingest_date
-from zonalake.plans.gold import pollution_mart, traffic_mart, traffic_pollution_mart
+from zonalake.operators.quality import rule_counts
+from zonalake.operators.staging import drop_reingested, stamp_ingest_date
+from zonalake.plans.gold import in_order, pollution_mart, traffic_mart, traffic_pollution_mart
 from zonalake.schemas import RAW_AIR, RAW_TRAFFIC, SILVER_AIR, SILVER_TRAFFIC
 from zonalake.session import settle
-from zonalake.sinks import write_day, write_lake
+from zonalake.sinks import counted, write_day, write_lake
 from zonalake.sources import read_lake
 
 
@@ -49,16 +50,32 @@ def refine(
     silver_path: str,
     day: date | None = None,
     mapping: Mapping[str, str] | DataFrame = ZONE_MAPPING,
+    drop_duplicates: bool = False,
+    report: bool = False,
 ) -> dict[str, int]:
     """Validate and conform both raw tables into silver. With a date, only its partitions are read
     and replaced; without one, all of silver is. Raw lies by date already, so a task that reads a
-    split writes one date, and no row is shuffled."""
-    air = conform_air(read_lake(spark, air_path, RAW_AIR, day))
-    traffic = conform_traffic(read_lake(spark, traffic_path, RAW_TRAFFIC, day), mapping)
-    return {
-        "air": _write(air, f"{silver_path}/air", day),
-        "traffic": _write(traffic, f"{silver_path}/traffic", day),
+    split writes one date, and no row is shuffled.
+
+    `drop_duplicates` keeps of rows that were ingested on several dates those of the earliest; that
+    takes a shuffle and, with a date, sees that date only. `report` adds the rows that fail each rule,
+    counted by the tasks that write; the rules then cannot reach the scan.
+    """
+    raw_air = read_lake(spark, air_path, RAW_AIR, day)
+    raw_traffic = read_lake(spark, traffic_path, RAW_TRAFFIC, day)
+    if drop_duplicates:
+        raw_air, raw_traffic = drop_reingested(raw_air), drop_reingested(raw_traffic)
+    failed = {}
+    if report:
+        raw_air, failed["air"] = rule_counts(raw_air, "air", AIR_RULES)
+        raw_traffic, failed["traffic"] = rule_counts(raw_traffic, "traffic", TRAFFIC_RULES)
+    rows = {
+        "air": _write(conform_air(raw_air), f"{silver_path}/air", day),
+        "traffic": _write(conform_traffic(raw_traffic, mapping), f"{silver_path}/traffic", day),
     }
+    for side, counts in failed.items():
+        rows |= {f"{side}: {rule} failed": n for rule, n in counts.get.items()}
+    return rows
 
 
 def silver_sides(
@@ -81,10 +98,10 @@ def join_silver(
 
 
 def refresh_cells(
-    spark: SparkSession, silver_path: str, gold_path: str, day: date | None = None
+    air: DataFrame, traffic: DataFrame, gold_path: str, day: date | None = None
 ) -> None:
-    """Pre-aggregate silver by ingest date. With a date, only that date is read and replaced."""
-    air, traffic = silver_sides(spark, silver_path, day)
+    """Pre-aggregate both silver sides by ingest date. With a date, the sides hold that date and
+    only that date is replaced."""
     _write(air_cells(air), f"{gold_path}/air_cells", day, rebalance=True)
     _write(traffic_cells(traffic, by_date=True), f"{gold_path}/traffic_cells", day, rebalance=True)
 
@@ -110,10 +127,15 @@ def settled_silver_cells(silver: DataFrame) -> DataFrame:
     return settle(cells_of_silver(silver), "silver-cells")
 
 
-def write_marts(marts: Mapping[str, DataFrame], gold_path: str) -> None:
-    """Replace each mart's folder. Marts are whole tables, so they have no partitions to keep."""
+def write_marts(marts: Mapping[str, DataFrame], gold_path: str) -> dict[str, int]:
+    """Replace each mart's folder, in the mart's order, and return the rows written. Marts are whole
+    tables, so they have no partitions to keep; while one is replaced its folder is incomplete."""
+    rows = {}
     for name, mart in marts.items():
-        mart.write.mode("overwrite").parquet(f"{gold_path}/{name}")
+        out, metric = counted(in_order(name, mart))
+        out.write.mode("overwrite").parquet(f"{gold_path}/{name}")
+        rows[name] = metric.get.get("rows", 0)
+    return rows
 
 
 def read_marts(spark: SparkSession, gold_path: str) -> dict[str, DataFrame]:

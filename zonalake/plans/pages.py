@@ -81,7 +81,7 @@ def traffic_pollution_page(
 
 
 def page_reply(rows: DataFrame, page: int, limit: int) -> dict[str, Any]:
-    """The page as a reply. `total` is the number of rows on this page. Only a page is collected,
-    at most 200 rows."""
-    data = [row.asDict() for row in rows.collect()]
+    """The page as a reply. `total` is the number of rows on this page. `limit` rows are
+    collected at most."""
+    data = [row.asDict() for row in rows.limit(limit).collect()]
     return {"page": page, "limit": limit, "total": len(data), "data": data}

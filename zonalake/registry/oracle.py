@@ -29,10 +29,10 @@ TRAFFIC_CSV = """
 INGEST_DATE = "2024 AS year, 1 AS month, 31 AS day"
 
 AIR_OK = (
-    "value IS NOT NULL AND k >= 0 AND user_id - 60 BETWEEN -50 AND 60 "
+    "value IS NOT NULL AND isfinite(value) AND k >= 0 AND user_id - 60 BETWEEN -50 AND 60 "
     "AND k * 1.1::DOUBLE BETWEEN 0 AND 100 AND event_id % 200 - 100 BETWEEN -90 AND 90"
 )
-TRAFFIC_OK = "debit >= 0 AND o_orderstatus = 'O'"
+TRAFFIC_OK = "debit >= 0 AND isfinite(debit) AND o_orderstatus = 'O'"
 
 # Typed rows with zone and hour, before validation.
 SIDES = """
@@ -123,6 +123,7 @@ ZONE_TEXT = "replace(replace(substr(o_orderpriority, 3), 'Bd_', ''), ' ', '_')"
 QUALITY = f"""{SIDES}, checks AS (
   SELECT 'air' AS source, count(*) AS rows,
     count(*) FILTER (value IS NULL) AS pollution_present,
+    count(*) FILTER (NOT coalesce(isfinite(value), true)) AS pollution_finite,
     count(*) FILTER (NOT coalesce(k >= 0, false)) AS aqi_not_negative,
     count(*) FILTER (NOT coalesce(user_id - 60 BETWEEN -50 AND 60, false)) AS temperature_in_range,
     count(*) FILTER (NOT coalesce(k * 1.1::DOUBLE BETWEEN 0 AND 100, false)) AS humidity_in_range,
@@ -135,17 +136,18 @@ QUALITY = f"""{SIDES}, checks AS (
   SELECT 'traffic' AS source, count(*) AS rows,
     count(*) FILTER (debit IS NULL) AS count_present,
     count(*) FILTER (NOT coalesce(debit >= 0, false)) AS count_not_negative,
+    count(*) FILTER (NOT coalesce(isfinite(debit), true)) AS count_finite,
     count(*) FILTER (NOT coalesce(o_orderstatus = 'O', false)) AS segment_open,
     count(*) FILTER (o_orderdate IS NULL) AS time_readable,
     count(*) FILTER (NOT coalesce(({TRAFFIC_OK} AND o_orderdate IS NOT NULL), false)) AS any_rule
   FROM t
 )
 SELECT source, rows, rule, failed FROM
-  (UNPIVOT checks ON pollution_present, aqi_not_negative, temperature_in_range, humidity_in_range,
+  (UNPIVOT checks ON pollution_present, pollution_finite, aqi_not_negative, temperature_in_range, humidity_in_range,
     latitude_in_range, time_readable, any_rule INTO NAME rule VALUE failed)
 UNION ALL
 SELECT source, rows, rule, failed FROM
-  (UNPIVOT checks_t ON count_present, count_not_negative, segment_open, time_readable, any_rule
+  (UNPIVOT checks_t ON count_present, count_not_negative, count_finite, segment_open, time_readable, any_rule
    INTO NAME rule VALUE failed)"""
 
 
@@ -177,7 +179,8 @@ def oracle_sql() -> dict[str, str]:
         "scan_raw_air": RAW_AIR,
         "scan_raw_traffic": f"SELECT *, {INGEST_DATE} FROM ({TRAFFIC_CSV})",
         "stamp_ingest_date": f"SELECT *, {INGEST_DATE} FROM ({TRAFFIC_CSV})",
-        "dedup_air": f"SELECT DISTINCT * FROM ({RAW_AIR})",
+        "dedup_air": f"""SELECT DISTINCT * EXCLUDE (year, month, day), {INGEST_DATE}
+            FROM ({RAW_AIR})""",
         "air_hour": """SELECT event_type AS station, strftime(ts, '%d/%m/%Y %H:%M') AS datetime,
             CAST(hour(ts) AS INTEGER) AS hour FROM events""",
         "traffic_hour": f"""SELECT libelle, date_et_heure_de_comptage,
@@ -226,7 +229,7 @@ def oracle_sql() -> dict[str, str]:
             FROM m""",
         "pollution_page": f"""{MARTS} SELECT * FROM p WHERE zone = 'click'
             ORDER BY avg_pollution DESC, zone, year, month, day LIMIT 10 OFFSET 10""",
-        "traffic_page": f"""{MARTS} SELECT * FROM m WHERE zone = 'click' AND hour = 0
+        "traffic_page": f"""{MARTS} SELECT * FROM m WHERE zone = 'click'
             ORDER BY avg_traffic DESC, zone, hour, year, month, day LIMIT 20 OFFSET 20""",
         "traffic_pollution_page": f"""{MARTS} SELECT * FROM b WHERE traffic_level = 'High Traffic'
             ORDER BY avg_traffic DESC, zone, hour, year, month, day LIMIT 50 OFFSET 100""",

@@ -55,6 +55,10 @@ def _over(mart: Query, plan: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: plan(mart(spark, sf_dir))
 
 
+def _ordered(name: str, mart: Query) -> Query:
+    return _over(mart, lambda rows: gold.in_order(name, rows))
+
+
 def _select_pollution(mart: DataFrame) -> DataFrame:
     return dashboard.filter_pollution(mart, SOME_ZONES)
 
@@ -95,9 +99,10 @@ def stamp_ingest_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_air(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table ingested twice, with the copies removed."""
-    raw = standin.raw_air(spark, sf_dir)
-    return staging.drop_duplicate_rows(raw.unionByName(raw))
+    """The same batch ingested on two dates, with what came again removed."""
+    batch = standin.raw_air(spark, sf_dir).drop("year", "month", "day")
+    days = [staging.stamp_ingest_date(batch, day) for day in standin.AIR_INGEST_DATES]
+    return staging.drop_reingested(days[1].unionByName(days[0]))
 
 
 # --- staging
@@ -237,15 +242,15 @@ def queries() -> dict[str, Query]:
         "silver_roundtrip": silver_roundtrip,
         "hourly_traffic": hourly_traffic,
         "layer_counts": layer_counts,
-        "datamart_pollution": _pollution,
-        "datamart_traffic": _traffic_mart,
+        "datamart_pollution": _ordered("datamart_pollution", _pollution),
+        "datamart_traffic": _ordered("datamart_traffic", _traffic_mart),
         "datamart_traffic_pollution": _traffic_pollution,
         "traffic_level": _over(_traffic_mart, level_of_marts),
         "pollution_page": _over(
             _pollution, lambda mart: pages.pollution_page(mart, page=2, limit=10, zone="click")
         ),
         "traffic_page": _over(
-            _traffic_mart, lambda mart: pages.traffic_page(mart, page=2, zone="click", hour=0)
+            _traffic_mart, lambda mart: pages.traffic_page(mart, page=2, zone="click")
         ),
         "traffic_pollution_page": _over(
             _traffic_pollution,

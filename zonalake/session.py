@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import is_remote
 
 _local_roots: dict[str, str] = {}
+_open_scopes: list[list[str]] = []
 
 
 def build_session(app_name: str, time_zone: str = "UTC", **settings: str) -> SparkSession:
@@ -50,9 +53,29 @@ def work_path(spark: SparkSession, label: str) -> str:
         files = path.getFileSystem(spark._jsc.hadoopConfiguration())
         files.mkdirs(path)
         files.deleteOnExit(path)
+    for scope in _open_scopes[-1:]:
+        scope.append(parent)
     return f"{parent}/data"
 
 
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the work folders made inside it at its end, so that a long session keeps none.
+
+    What is read from them must have been used by then. Scopes nest; one thread at a time.
+    """
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(made)
+        if not is_remote():
+            for parent in made:
+                path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 

@@ -1,12 +1,13 @@
 """Sinks: Parquet by ingest date, catalog tables and views, JDBC tables."""
 
-from zonalake.sinks.catalog import create_silver_view, register_table
+from zonalake.sinks.catalog import create_silver_view, is_view, register_table
 from zonalake.sinks.files import counted, write_day, write_lake
 from zonalake.sinks.jdbc import jdbc_write_options, write_jdbc
 
 __all__ = [
     "counted",
     "create_silver_view",
+    "is_view",
     "jdbc_write_options",
     "register_table",
     "write_day",

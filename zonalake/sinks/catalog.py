@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
+from pyspark.sql.utils import is_remote
 
 from zonalake.schemas import AIR_METRICS, DATE_KEYS
 
@@ -16,36 +17,38 @@ def _columns(schema: StructType) -> str:
 
 def _drop(spark: SparkSession, name: str) -> None:
     if spark.catalog.tableExists(name):
-        is_view = spark.catalog.getTable(name).tableType == "VIEW"
+        kind = spark.catalog.getTable(name).tableType
+        if kind == "MANAGED":
+            raise ValueError(f"{name} is a table that owns its files")
+        is_view = kind == "VIEW"
         spark.sql(f"DROP {'VIEW' if is_view else 'TABLE'} {name}")
 
 
-def register_table(
-    spark: SparkSession,
-    name: str,
-    path: str,
-    schema: StructType,
-    day: date | None = None,
-) -> None:
-    """External Parquet table over `path`, partitioned by ingest date.
+def is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
 
-    With a date, the table is created when missing and only that partition is added. Without one,
-    the table is made anew and all partitions are looked up. Dropping leaves the files alone.
+
+def _absolute(spark: SparkSession, path: str) -> str:
+    """The path as a write resolves it; a table's location would be taken under the warehouse."""
+    if is_remote():
+        return path if "://" in path else str(Path(path).absolute())
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(own).toString()
+
+
+def register_table(spark: SparkSession, name: str, path: str, schema: StructType) -> None:
+    """External Parquet table over all partitions of `path`, which are ingest dates.
+
+    The table is made anew each time, so it has every date of the folder, whenever it was written,
+    and follows a folder that has moved. Dropping leaves the files alone.
     """
-    escaped = path.replace("'", "\\'")
-    if day is None:
-        _drop(spark, name)
+    escaped = _absolute(spark, path).replace("'", "\\'")
+    _drop(spark, name)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({_columns(schema)}) USING PARQUET "
+        f"CREATE TABLE {name} ({_columns(schema)}) USING PARQUET "
         f"PARTITIONED BY ({', '.join(DATE_KEYS)}) LOCATION '{escaped}'"
     )
-    if day is None:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
-    else:
-        spark.sql(
-            f"ALTER TABLE {name} ADD IF NOT EXISTS "
-            f"PARTITION (year={day.year}, month={day.month}, day={day.day})"
-        )
+    spark.sql(f"MSCK REPAIR TABLE {name}")
     spark.catalog.refreshTable(name)
 
 

@@ -1,11 +1,11 @@
 """Sources: CSV, Parquet, catalog tables and JDBC tables."""
 
 from zonalake.sources.files import read_lake, read_table, read_traffic_csv
-from zonalake.sources.jdbc import jdbc_read_options, mysql_url, read_jdbc
+from zonalake.sources.jdbc import bounds_query, jdbc_read_options, read_jdbc
 
 __all__ = [
     "jdbc_read_options",
-    "mysql_url",
+    "bounds_query",
     "read_jdbc",
     "read_lake",
     "read_table",

@@ -11,12 +11,6 @@ PASSWORD_VARIABLE = "ZONALAKE_JDBC_PASSWORD"
 DEFAULT_DRIVER = "org.mariadb.jdbc.Driver"
 
 
-def mysql_url(host: str, port: int | str, database: str) -> str:
-    """URL of a MySQL database as the MariaDB driver takes it."""
-    flags = "allowPublicKeyRetrieval=true&useSSL=false&permitMysqlScheme=true"
-    return f"jdbc:mysql://{host}:{port}/{database}?{flags}"
-
-
 def connection_options(
     url: str,
     table: str,
@@ -63,6 +57,26 @@ def jdbc_read_options(
     }
 
 
+def bounds_query(table: str, column: str) -> str:
+    """Smallest and largest value of the column a read is split by."""
+    return f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}"
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame:
-    """A database table with the column types the database reports."""
+    """A database table with the column types the database reports.
+
+    With a partition column and a number of partitions but no bounds, one query looks them up. An empty
+    table is read in one piece.
+    """
+    column, low, high = (options.get(n) for n in ("partition_column", "lower_bound", "upper_bound"))
+    if column and options.get("partitions") and low is None and high is None:
+        names = ("driver", "user", "password")
+        connection = connection_options(url, table, **{n: options[n] for n in names if n in options})
+        connection.pop("dbtable")
+        reader = spark.read.format("jdbc").options(**connection)
+        low, high = reader.option("query", bounds_query(table, column)).load().first()
+        if low is None:
+            options |= {"partition_column": None, "partitions": None}
+        else:
+            options |= {"lower_bound": str(low), "upper_bound": str(high)}
     return spark.read.format("jdbc").options(**jdbc_read_options(url, table, **options)).load()

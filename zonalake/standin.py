@@ -23,6 +23,7 @@ MAPPING = {
 }
 ZONES = ["error", "click", "view", "purchase"]
 TRAFFIC_INGEST_DATE = date(2024, 1, 31)
+AIR_INGEST_DATES = (date(2024, 1, 31), date(2024, 2, 1))
 
 # The columns used, so that reading needs no job to look up the schema.
 EVENTS = (
@@ -58,7 +59,7 @@ def traffic_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted_at = F.timestamp_add("HOUR", shift, F.col("o_orderdate")).cast("string")
     count = F.col("o_totalprice") * (shift + 5) / 5000
     return spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet").select(
-        F.concat(F.lit("Bd_"), F.substring("o_orderpriority", 3, 100)).alias("libelle"),
+        F.concat(F.lit("Bd_"), F.substr("o_orderpriority", F.lit(3))).alias("libelle"),
         F.replace(counted_at, F.lit(" "), F.lit("T")).alias("date_et_heure_de_comptage"),
         count.cast("decimal(18,6)").cast("string").alias("debit_horaire"),
         F.when(F.col("o_orderstatus") == "O", "Ouvert").otherwise("Invalide").alias("etat_arc"),
