@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from zonalake.session import settle
@@ -38,11 +38,13 @@ def components(edges: DataFrame) -> DataFrame:
     )
     now, mark = settle(ordered.distinct(), "component-edges"), None
     while True:
-        then = settle(_small_star(_large_star(now).distinct()).distinct(), "component-edges")
+        seen = Observation("edges")
         digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        found = then.agg(F.count(F.lit(1)), digest).first()
-        if tuple(found) == mark:
+        then = _small_star(_large_star(now)).distinct()
+        then = settle(then.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest")), "component-edges")
+        found = seen.get
+        if found == mark:
             nodes = then.select(F.col("a").alias("node"), F.col("b").alias("component"))
             roots = then.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             return nodes.unionByName(roots)
-        now, mark = then, tuple(found)
+        now, mark = then, found

@@ -42,7 +42,7 @@ PERCENT = 75
 #: Odd sketches must put the similarity at this at least.
 LEAST_ESTIMATE = 0.55
 #: Star rounds before the remaining pairs are compared.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 NO_ID = -(2**63)
 
 _rng = np.random.default_rng(11)
