@@ -10,10 +10,10 @@ the one with the smallest hash. Anchors depend on the bytes around them only, so
 2. `doubled`: pairs (rank at anchor i, rank at anchor i + offset), offset 1, 2, 4, ...; Spark sorts the
    pairs and counts them, those that occur once drop out, the others get new ranks. A position is
    done when it is unique or when its run of phrases is past the length.
-3. `segments`: a window lies between the last anchor before it and the first after it, and holds an
-   inner run of phrases between its own first and last anchor. Two overlapping runs of known rank
-   name each. Windows whose inner run occurs once are not repeated and drop out.
-4. `marked`: where the outer run's name occurs again, the window is repeated.
+3. `covered`: a window lies between the last anchor before it and the first after it. Two overlapping
+   runs of known rank name this outer run; where the name occurs again, the window is repeated.
+4. `inner_runs`: a window that is not covered is repeated only if the phrases between its own first and
+   last anchor are; those name its inner run.
 5. `edge_windows`: windows at the edges of repeats have a repeated inner run, but not a repeated outer
    run. Only these are compared one by one, by 128-bit hashes of their bytes, with one another and
    with one window of each repeated outer run that has the same inner run.
@@ -47,13 +47,13 @@ NO_ID = -(2**63)
 GROUP_BYTES = 1 << 20
 KEY = ["id", "tag"]
 LOW = U64(0xFFFFFFFF)
+#: From a window to the start of its last SPAN grams, and to its last gram.
+INNER_END, OUTER_END = LENGTH - GRAM - SPAN + 1, LENGTH - GRAM
 
 PHRASE = "id bigint, tag bigint, place bigint, shape bigint, name bigint"
-INNER, OUTER = ["n", "ra", "rb"], ["outer_n", "outer_ra", "outer_rb", "offset"]
-SEGMENT = (
-    "id bigint, tag bigint, first int, last int, n int, ra bigint, rb bigint, "
-    "outer_n int, outer_ra bigint, outer_rb bigint, offset int"
-)
+NAME = ["n", "ra", "rb"]
+OUTER = "id bigint, tag bigint, first int, last int, n int, ra bigint, rb bigint, offset int"
+INNER = "id bigint, tag bigint, first int, last int, n int, ra bigint, rb bigint, open boolean"
 EDGE = "id bigint, tag bigint, at int, h1 bigint, h2 bigint"
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
 
@@ -191,7 +191,7 @@ def _by_document(level_0: DataFrame, levels: list[tuple[int, DataFrame]]) -> Dat
         all_levels = part if all_levels is None else all_levels.unionByName(part)
     runs = all_levels.groupBy(*KEY).agg(F.collect_list("run").alias("runs"))
     places = level_0.groupBy(*KEY).agg(F.collect_set(F.struct("i", "pos", "shape")).alias("places"))
-    return runs.join(places, KEY)
+    return settle(runs.join(places, KEY), "suffix-documents")
 
 
 class _Ranks:
@@ -213,80 +213,114 @@ class _Ranks:
         return np.where(ok & (ra >= 0) & (rb >= 0), n, 0), ra, rb
 
 
-def _segments(i: np.ndarray, pos: np.ndarray, shape: np.ndarray, ranks: _Ranks) -> Iterator[tuple]:
-    """Columns (first, last, inner name, outer name, offset) of a document's runs of window starts."""
-    inner_end, outer_end = LENGTH - GRAM - SPAN + 1, LENGTH - GRAM
+def _stretches(i: np.ndarray, pos: np.ndarray, shape: np.ndarray) -> Iterator[tuple]:
+    """Stretches of successive phrases: (first phrase, anchors, their first windows, low, high).
+
+    Windows low..high are those whose first and last anchor lie in the stretch.
+    """
     for run in np.split(np.arange(len(i)), np.flatnonzero(np.diff(i) != 1) + 1):
-        base, at = int(i[run[0]]), np.append(pos[run], pos[run[-1]] + (shape[run[-1]] & 0xFF))
+        at = np.append(pos[run], pos[run[-1]] + (shape[run[-1]] & 0xFF))
         first = np.append(
             pos[run] - (shape[run] >> 8 & 0xFF), at[-1] - (shape[run[-1]] >> 16 & 0xFF)
         )
-        low, high = max(0, int(first[0])), int(at[-1] - (shape[run[-1]] >> 24)) - inner_end
+        high = int(at[-1] - (shape[run[-1]] >> 24)) - INNER_END
+        yield int(i[run[0]]), at, first, max(0, int(first[0])), high
+
+
+def _outer(i: np.ndarray, pos: np.ndarray, shape: np.ndarray, ranks: _Ranks) -> Iterator[tuple]:
+    """Windows by outer run: columns (first, last, n, ra, rb, offset)."""
+    for base, at, _, low, high in _stretches(i, pos, shape):
+        low, high = max(low, int(at[0])), min(high, int(at[-1]) - OUTER_END)
         if low > high:
             continue
-        marks = np.concatenate((first, first - inner_end, at, at - outer_end + 1, [low]))
+        marks = np.concatenate((at, at - OUTER_END + 1, [low]))
         marks = np.unique(marks[(marks >= low) & (marks <= high)])
-        lasts = np.append(marks[1:] - 1, high)
-        begin = np.searchsorted(first, marks, "right") - 1
-        end = np.searchsorted(first, marks + inner_end, "right") - 1
-        n, ra, rb = ranks.names(base + begin, base + end)
         before = np.searchsorted(at, marks, "right") - 1
-        after = np.searchsorted(at, marks + outer_end, "left")
-        inside = (before >= 0) & (after < len(at))
-        outer = ranks.names(base + np.where(inside, before, 0), base + np.where(inside, after, 0))
-        offset = marks - at[np.maximum(before, 0)]
+        n, ra, rb = ranks.names(base + before, base + np.searchsorted(at, marks + OUTER_END, "left"))
         keep = n > 0
-        yield tuple(c[keep] for c in (marks, lasts, n, ra, rb, *outer, offset))
+        columns = (marks, np.append(marks[1:] - 1, high), n, ra, rb, marks - at[before])
+        yield tuple(c[keep] for c in columns)
+
+
+def _inner(i, pos, shape, ranks: _Ranks, spans: list[tuple[int, int, bool]]) -> Iterator[tuple]:
+    """Windows by inner run: columns (first, last, n, ra, rb, open); covered ones only where chosen."""
+    ends = np.array([last + 1 for _, last, _ in spans] + [first for first, _, _ in spans], dtype=np.int64)
+    size = int(pos[-1]) + 2 * LENGTH
+    change = np.zeros((2, size), dtype=np.int32)
+    for first, last, chosen in spans:
+        for row in (0, 1)[: 1 + chosen]:
+            change[row, first] += 1
+            change[row, last + 1] -= 1
+    covered, taken = np.cumsum(change, axis=1) > 0
+    for base, _, first, low, high in _stretches(i, pos, shape):
+        if low > high:
+            continue
+        marks = np.concatenate((first, first - INNER_END, ends, [low]))
+        marks = np.unique(marks[(marks >= low) & (marks <= high)])
+        begin = np.searchsorted(first, marks, "right") - 1
+        n, ra, rb = ranks.names(
+            base + begin, base + np.searchsorted(first, marks + INNER_END, "right") - 1
+        )
+        keep = (n > 0) & (~covered[marks] | taken[marks])
+        columns = (marks, np.append(marks[1:] - 1, high), n, ra, rb, ~covered[marks])
+        yield tuple(c[keep] for c in columns)
+
+
+def _per_document(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(row, phrases, places, shapes, ranks) of each document."""
+    runs, places = batch.column("runs"), batch.column("places")
+    run_ends, place_ends = runs.offsets.to_numpy(), places.offsets.to_numpy()
+    h, run_i, rank = (runs.values.field(c).to_numpy() for c in ("h", "i", "rank"))
+    i, pos, shape = (places.values.field(c).to_numpy() for c in ("i", "pos", "shape"))
+    for row in range(batch.num_rows):
+        r = slice(run_ends[row], run_ends[row + 1])
+        p = slice(place_ends[row], place_ends[row + 1])
+        order = np.argsort(i[p])
+        own = i[p][order].astype(np.int64)
+        ranks = _Ranks(h[r], run_i[r], rank[r], int(own[-1]) + 1)
+        yield row, own, pos[p][order].astype(np.int64), shape[p][order], ranks
+
+
+def _window_rows(batch: pa.RecordBatch, row: int, parts: list[tuple], last: str, kind) -> pa.RecordBatch:
+    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), kind)
+    keys = [np.full(len(columns[0]), batch.column(c)[row].as_py(), dtype=np.int64) for c in KEY]
+    return pa.RecordBatch.from_arrays(
+        [*map(pa.array, keys), *(pa.array(c).cast(k) for c, k in zip(columns, kinds, strict=True))],
+        names=[*KEY, "first", "last", *NAME, last],
+    )
+
+
+def _emit_outer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row, *document in _per_document(batch):
+            if parts := list(_outer(*document)):
+                yield _window_rows(batch, row, parts, "offset", pa.int32())
 
 
-def _emit_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _emit_inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, tags = batch.column("id").to_numpy(), batch.column("tag").to_numpy()
-        runs, places = batch.column("runs"), batch.column("places")
-        run_ends, place_ends = runs.offsets.to_numpy(), places.offsets.to_numpy()
-        h, run_i, rank = (runs.values.field(c).to_numpy() for c in ("h", "i", "rank"))
-        i, pos, shape = (places.values.field(c).to_numpy() for c in ("i", "pos", "shape"))
-        for row in range(batch.num_rows):
-            r = slice(run_ends[row], run_ends[row + 1])
-            p = slice(place_ends[row], place_ends[row + 1])
-            order = np.argsort(i[p])
-            own = i[p][order].astype(np.int64)
-            ranks = _Ranks(h[r], run_i[r], rank[r], int(own[-1]) + 1)
-            parts = list(_segments(own, pos[p][order].astype(np.int64), shape[p][order], ranks))
-            if not parts:
-                continue
-            first, last, n, ra, rb, outer_n, outer_ra, outer_rb, offset = map(np.concatenate, zip(*parts, strict=True))
-            unknown = outer_n == 0
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(first), ids[row])), pa.array(np.full(len(first), tags[row])),
-                    *(pa.array(c.astype(np.int32)) for c in (first, last, n)), pa.array(ra), pa.array(rb),
-                    pa.array(outer_n.astype(np.int32), mask=unknown), pa.array(outer_ra, mask=unknown),
-                    pa.array(outer_rb, mask=unknown), pa.array(offset.astype(np.int32), mask=unknown),
-                ],
-                names=[*KEY, "first", "last", *INNER, *OUTER],
-            )
+        covered = batch.column("covered").to_pylist()
+        for row, *document in _per_document(batch):
+            spans = [(c["first"], c["last"], c["chosen"]) for c in covered[row] or ()]
+            if parts := list(_inner(*document, spans)):
+                yield _window_rows(batch, row, parts, "open", pa.bool_())
 
 
-def segments(level_0: DataFrame, levels: list[tuple[int, DataFrame]]) -> DataFrame:
-    """Window starts whose inner run is known to repeat, in runs of equal inner and outer run."""
-    rows = _by_document(level_0, levels).mapInArrow(_emit_segments, SEGMENT)
-    return settle(rows, "suffix-segments")
+def covered_windows(documents: DataFrame) -> DataFrame:
+    """(id, tag, first, last, chosen): windows of repeated outer runs; one of each run is chosen."""
+    outer = settle(documents.mapInArrow(_emit_outer, OUTER), "suffix-outer")
+    here, name = F.xxhash64(*KEY, "first"), [*NAME, "offset"]
+    again = outer.groupBy(*name).agg(F.count(F.lit(1)).alias("m"), F.min(here).alias("low"))
+    both = outer.join(again.where(F.col("m") > 1), name)
+    return settle(both.select(*KEY, "first", "last", (F.col("low") == here).alias("chosen")), "suffix-covered")
 
 
-def marked(segment_rows: DataFrame) -> DataFrame:
-    """Segments with `covered` (the outer run repeats) and `chosen` (one of each such outer run)."""
-    here = F.xxhash64(*KEY, "first")
-    outer = segment_rows.where(F.col("outer_n").isNotNull()).groupBy(*OUTER)
-    outer = outer.agg(F.count(F.lit(1)).alias("m"), F.min(here).alias("chosen")).where(F.col("m") > 1)
-    both = segment_rows.join(outer, OUTER, "left")
-    return settle(
-        both.select(
-            *KEY, "first", "last", *INNER, F.col("m").isNotNull().alias("covered"),
-            F.coalesce(F.col("chosen") == here, F.lit(False)).alias("chosen"),
-        ),
-        "suffix-marked",
-    )
+def inner_runs(documents: DataFrame, covered: DataFrame) -> DataFrame:
+    """(id, tag, first, last, n, ra, rb, open) of windows that are not covered, and of the chosen ones."""
+    spans = covered.groupBy(*KEY).agg(F.collect_list(F.struct("first", "last", "chosen")).alias("covered"))
+    rows = documents.join(spans, KEY, "left").mapInArrow(_emit_inner, INNER)
+    return settle(rows, "suffix-inner")
 
 
 def _emit_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,12 +342,13 @@ def _emit_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def edge_windows(docs: DataFrame, marks: DataFrame) -> DataFrame:
+def edge_windows(docs: DataFrame, inner: DataFrame) -> DataFrame:
     """Rows (id, tag, at): starts of windows that occur again, found one by one."""
-    is_open = F.sum((~F.col("covered")).cast("int"))
-    mixed_runs = marks.groupBy(*INNER).agg(is_open.alias("open"), F.count(F.lit(1)).alias("all"))
-    mixed_runs = mixed_runs.where((F.col("open") > 0) & (F.col("all") > 1)).select(*INNER)
-    wanted = marks.where(~F.col("covered") | F.col("chosen")).join(mixed_runs, INNER)
+    runs = inner.groupBy(*NAME).agg(
+        F.sum(F.col("open").cast("int")).alias("open"), F.count(F.lit(1)).alias("all")
+    )
+    runs = runs.where((F.col("open") > 0) & (F.col("all") > 1)).select(*NAME)
+    wanted = inner.join(runs, NAME)
     spans = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     rows = docs.join(settle(spans, "suffix-spans"), KEY).select(*KEY, "text", "spans")
     edges = settle(rows.mapInArrow(_emit_edges, EDGE), "suffix-edges")
@@ -365,10 +400,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and `kept`, the remaining bytes."""
     rows = _keyed(docs)
     level_0 = phrases(rows)
-    marks = marked(segments(level_0, doubled(level_0)))
-    edges = settle(edge_windows(rows, marks), "suffix-repeats")
-    spans = marks.where("covered").groupBy(*KEY)
-    spans = spans.agg(F.collect_list(F.struct("first", "last")).alias("covered"))
+    documents = _by_document(level_0, doubled(level_0))
+    covered = covered_windows(documents)
+    edges = settle(edge_windows(rows, inner_runs(documents, covered)), "suffix-repeats")
+    spans = covered.groupBy(*KEY).agg(F.collect_list(F.struct("first", "last")).alias("covered"))
     singles = edges.groupBy(*KEY).agg(F.collect_list("at").alias("edges"))
     equal = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_rows"))
     facts = spans.join(singles, KEY, "full").join(equal.where(F.col("n_rows") > 1), KEY, "full")
