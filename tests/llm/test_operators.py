@@ -10,7 +10,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from tests.llm.texts import SPACE, cases, prose, shingle_set
+import corpus_pipeline
+from tests.llm.texts import SPACE, cases, edited, prose, shingle_set
 from zonalake.llm import decontam, exact, lines, mixing, neardup, pages, quality, suffixes, tokens, warc
 from zonalake.llm.queries import tokenizer_path
 
@@ -79,6 +80,14 @@ def test_near_copies(documents):
     assert bag(found) == plain_components(cases())
 
 
+def test_one_row_of_each_group_stays(documents):
+    docs = documents(cases(), extra=True)
+    kept = neardup.first_of_groups(docs)
+    assert kept.columns == docs.columns
+    wanted = {row[2] for row in plain_components(cases())}
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(wanted)
+
+
 def test_near_copies_around_the_threshold(documents):
     base = prose(9, 200)
     rows = [(i, " ".join(base.split(" ")[: 130 + i]) + " " + prose(500 + i, i % 7)) for i in range(60)]
@@ -292,6 +301,43 @@ def test_encoder_equals_the_tokenizer_on_odd_texts():
     assert coder.encode(texts) == [np.array([*e.ids, 0], coder.dtype).tobytes() for e in plain]
 
 
+# -- the pipeline ---------------------------------------------------------------------------------
+def test_pipeline_takes_every_decision(spark, tmp_path):
+    """All stages against what the operators' plain forms say about the survivors of each."""
+    good = [(i, prose(i, 60 + i % 40), f"s{i % 3}") for i in range(240)]
+    junk = [(1000 + i, " ".join(w + "***" for w in prose(i, 60).split()), "s0") for i in range(120)]
+    copies = [(2000 + i, edited(good[i][1], i, 1), "s1") for i in range(0, 40, 2)]
+    item = prose(77_000, 30)
+    leaks = [(3000 + i, prose(4000 + i, 50) + " " + item + " " + prose(5000 + i, 50), "s2") for i in range(5)]
+    rows = [(i, t, "en", s, len(t)) for i, t, s in good + junk + copies + leaks]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    labels = [(r[0], int(r[0] < 1000), 0) for r in rows if r[0] < 2000]
+    spark.createDataFrame(labels, LABEL).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], ITEM).write.parquet(f"{tmp_path}/benchmark.parquet")
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert len(names) == 5
+    docs, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        docs.write.parquet(f"{tmp_path}/stage{len(seen)}")
+        docs = spark.read.parquet(f"{tmp_path}/stage{len(seen)}")
+        seen.append([tuple(r) for r in docs.collect()])
+    ids = [{r[0] for r in stage_rows} for stage_rows in seen]
+    assert not ids[0] & {r[0] for r in junk}
+    assert len(ids[0] & {r[0] for r in good}) >= 0.97 * len(good)
+    assert ids[1] == {c for _, n, c, _ in plain_components(seen[0])}
+    assert ids[2] == {r[0] for r in seen[1] if item not in r[1]} and len(ids[2]) < len(ids[1])
+    mixed_ids = Counter(r[0] for r in seen[3])
+    assert set(mixed_ids) <= ids[2] and max(mixed_ids.values()) <= 3
+    final = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in final) == mixed_ids
+    order = sorted(final, key=lambda r: r.start)
+    assert [r.doc_id for r in order] == sorted(mixed_ids.elements())
+
+
 # -- mixing ---------------------------------------------------------------------------------------
 def test_mixing(documents):
     rows = cases() + [(1000 + i, prose(i, 20 + i % 9), ["hot", None, "a"][i % 3]) for i in range(300)]

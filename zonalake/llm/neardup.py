@@ -258,8 +258,15 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 
 def first_of_groups(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay, one document of each component, with all columns."""
-    kept = near_components(docs).where("kept").select(F.col("doc_id").alias("__near_id")).distinct()
-    kept = settle(kept, "near-kept")
+    """The rows of `docs` that stay, one of each component, with all columns.
+
+    Where several rows carry the id that stays, one of them does.
+    """
+    kept = near_components(docs).where("kept").groupBy(F.col("doc_id").alias("__near_id"))
+    kept = settle(kept.agg(F.count(F.lit(1)).alias("__near_rows")), "near-kept")
     same = docs["doc_id"].cast("long").eqNullSafe(kept["__near_id"])
-    return docs.join(kept, same, "left_semi")
+    once = docs.join(kept.where(F.col("__near_rows") == 1), same, "left_semi")
+    several = kept.where(F.col("__near_rows") > 1)
+    if several.isEmpty():
+        return once
+    return once.unionByName(docs.join(several, same, "left_semi").dropDuplicates(["doc_id"]))
