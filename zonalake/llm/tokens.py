@@ -38,7 +38,7 @@ NO_ID = -(2**63)
 MAGIC = b"ZTOK0001"
 FOOTER = struct.Struct("<8sQQQQQQ")
 #: Words whose ids a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 #: Unknown words that are encoded in one call.
 AT_ONCE = 100
 TEXTS_AT_ONCE = 256
@@ -53,6 +53,20 @@ _UNUSUAL = re.compile(r"[^\n -~¡-ɏ‐-‧‰-⁞€]|[\xad²³¹¼½¾]|<\|")
 _PIECES = re.compile(r"[ \n]?[^\W\d_]+|(?:'[^\W\d_]*|[^\w' \n]|[\d_]|[ \n](?![^\W\d_]))+")
 
 
+#: Latin-1 bytes that the expression above passes.
+_USUAL = bytes(
+    b for b in range(256) if b == 10 or 32 <= b < 127 or (b > 160 and chr(b) not in "\xad²³¹¼½¾")
+)
+
+
+def _is_unusual(text: str) -> bool:
+    """Whether the text has to be encoded in one piece; quick for texts in Latin-1."""
+    try:
+        return bool(text.encode("latin-1").translate(None, _USUAL)) or "<|" in text
+    except UnicodeEncodeError:
+        return _UNUSUAL.search(text) is not None
+
+
 class Encoder:
     """A byte-level BPE tokenizer that remembers the ids of words.
 
@@ -112,21 +126,23 @@ class Encoder:
         Between single spaces a text is made of few different strings, which are looked up whole.
         """
         end = np.array([END_ID], dtype=self.dtype).tobytes()
-        whole = [_UNUSUAL.search(t) is not None for t in texts]
+        whole = [_is_unusual(t) for t in texts]
         spaced = [None if w or "  " in t else t.split(" ") for t, w in zip(texts, whole, strict=True)]
-        missing = {p for parts in spaced if parts for p in parts[1:] if p not in self.after_space}
+        tops = [parts.pop(0) if parts else "" if w else t for t, w, parts in zip(texts, whole, spaced, strict=True)]
+        wanted = set().union(*(parts for parts in spaced if parts))
+        missing = wanted.difference(self.after_space)
         if len(self.after_space) + len(missing) > REMEMBERED:
             self.after_space.clear()
-            missing = {p for parts in spaced if parts for p in parts[1:]}
+            missing = wanted
         new = sorted(missing)
         self.after_space.update(zip(new, self._by_pieces([f" {p}" for p in new]), strict=True))
-        tops = self._by_pieces([p[0] if p else "" if w else t for t, w, p in zip(texts, whole, spaced, strict=True)])
+        tops = self._by_pieces(tops)
         known, out = self.after_space.__getitem__, []
         for text, is_whole, parts, top in zip(texts, whole, spaced, tops, strict=True):
             if is_whole:
                 out.append(self._ids([text])[0].tobytes() + end)
             else:
-                out.append(top + b"".join(map(known, parts[1:] if parts else ())) + end)
+                out.append(top + b"".join(map(known, parts or ())) + end)
         return out
 
 
