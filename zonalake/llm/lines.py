@@ -9,7 +9,8 @@ earlier line is within `EDITS` = 1 edit (a code point inserted, deleted or repla
 2. `candidates`: of two lines within one edit, the first halves or the second halves are equal. Only
    lines that share a half with another line go on. A line has four such keys: two as the shorter or
    equally long one of a pair and two as the longer one.
-3. `nearest`: all variants of a candidate with one code point deleted, as hashed keys. Lines with the
+3. `nearest`: all variants of a candidate with one code point deleted outside the half it shares, as
+   hashed keys. Lines with the
    same variant deleted at the same place differ by a replacement; a line that is itself a variant
    of another differs by an insertion. Each group is answered by its earliest line, so groups make no
    pairs. What they answer is verified by the edit distance of the texts.
@@ -23,7 +24,7 @@ proportion to its length, their hashing to its square, for candidates only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonalake.session import settle
@@ -71,32 +72,39 @@ def distinct_lines(documents: DataFrame) -> DataFrame:
 
 
 def candidates(distinct: DataFrame, documents: DataFrame) -> DataFrame:
-    """(place, line) of the lines that share a half with another line."""
-    keyed = distinct.select(*HASH, "place", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
+    """(place, h1, line, first, second) of the lines that share their first or second half with another."""
+    keys = F.posexplode(F.array("k0", "k1", "k2", "k3")).alias("which", "key")
+    keyed = distinct.select(*HASH, "place", keys)
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 1).select("key")
-    chosen = keyed.join(shared, "key").select(*HASH, "place").distinct()
+    is_first = F.col("which") % 2 == 0
+    chosen = keyed.join(shared, "key").groupBy(*HASH, "place")
+    chosen = chosen.agg(F.max(is_first).alias("first"), F.max(~is_first).alias("second"))
     per = F.lit(LINES_PER_DOCUMENT).cast("decimal(20,0)")
     no = F.pmod("place", per).cast("int")
     document = ((F.col("place") - no) / per).cast("long")
-    chosen = settle(chosen.select(*HASH, "place", no.alias("no"), document.alias("id")), "line-candidates")
+    chosen = settle(chosen.select(*HASH, "place", "first", "second", no.alias("no"), document.alias("id")), "line-candidates")
     line = F.get("lines", F.col("no"))
-    texts = documents.join(chosen, "id").select("place", *HASH, line.alias("line"))
+    texts = documents.join(chosen, "id").select("place", *HASH, "first", "second", line.alias("line"))
     same = F.xxhash64("line") == F.col("h1")
-    return settle(texts.where(same).select("place", "h1", "line").dropDuplicates(["place", "h1"]), "line-texts")
+    return settle(texts.where(same).select("place", "h1", "line", "first", "second").dropDuplicates(["place", "h1"]), "line-texts")
 
 
 def nearest(texts: DataFrame) -> DataFrame:
     """(place, h1): lines that have an earlier line within one edit."""
-    at = F.explode(F.sequence(F.lit(1), F.length("line"))).alias("at")
-    spread = texts.select("place", "h1", "line", at)
+    n = F.length("line")
+    # where the first half is shared the edit lies behind it, and the other way round
+    low = F.when(F.col("second"), F.lit(1)).otherwise(F.floor((n - 1) / 2) + 1).cast("int")
+    high = F.when(F.col("first"), n).otherwise(F.floor(n / 2)).cast("int")
+    places = F.when(low <= high, F.sequence(low, high))
+    spread = texts.select("place", "h1", "line", F.explode(places).alias("at"))
     rest = F.concat(F.expr("substring(line, 1, at - 1)"), F.expr("substring(line, at + 1)"))
     variants = settle(spread.select("place", "h1", "at", F.xxhash64(rest).alias("key")), "line-variants")
 
-    groups = variants.groupBy("key", "at").agg(F.min("place").alias("low"), F.count(F.lit(1)).alias("m"))
-    groups = groups.where(F.col("m") > 1).drop("m")
-    replaced = variants.join(groups, ["key", "at"]).where(F.col("low") < F.col("place"))
+    # such a group has at most one line for each code point there is
+    group = Window.partitionBy("key", "at")
+    replaced = variants.withColumn("low", F.min("place").over(group)).where(F.col("low") < F.col("place"))
     whole = texts.select(F.col("h1").alias("key"), F.col("place").alias("there"))
-    inserted = variants.select("place", "h1", "key").distinct().join(whole, "key")
+    inserted = variants.select("place", "h1", "key").join(whole, "key").distinct()
     answers = (
         replaced.select("place", "h1", "low")
         .unionByName(
