@@ -38,7 +38,7 @@ NO_ID = -(2**63)
 MAGIC = b"ZTOK0001"
 FOOTER = struct.Struct("<8sQQQQQQ")
 #: Words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 #: Unknown words that are encoded in one call.
 AT_ONCE = 100
 TEXTS_AT_ONCE = 256
