@@ -201,6 +201,21 @@ def test_decontamination(spark, documents):
     assert bag([r.doc_id] for r in clean.collect()) == bag([r[0]] for r in rows if r[0] not in dirty)
 
 
+def test_short_items_in_long_documents(spark, documents):
+    items = [(i, prose(20_000 + i, 5 + i % 5)) for i in range(400)]
+    pieces = [prose(30_000 + i, 40) for i in range(60)]
+    rows = []
+    for i, wording in items:  # the whole item; for those of 8 words, with the last of four shingles broken
+        words = wording.split()
+        planted = " ".join([*words[:-1], "other"] if len(words) == 8 and i % 2 else words)
+        rows.append((i, " ".join([*pieces[i % 7 :], planted, *pieces[: i % 60]])))
+    wanted = {(i, i) for i, _ in items}
+    docs, tests = documents(rows), spark.createDataFrame(items, ITEM)
+    found = decontam.contained_items(docs, tests)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == wanted
+    assert decontam.clean_rows(docs, tests).count() == 0
+
+
 # -- quality --------------------------------------------------------------------------------------
 def test_quality(spark, documents):
     rows = [(i, prose(i, 60 + i)) for i in range(300)]
