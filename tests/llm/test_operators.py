@@ -284,6 +284,25 @@ def test_main_text(spark, documents):
     assert found == {k: (t, len(t)) for k, t in wanted.items()}
 
 
+def test_mirrored_pages_and_short_menus(spark, documents):
+    short = ["home", "our shop", "all news"]
+    menu = "".join(f"<div>{t}</div>" for t in short)
+    rows = [(i, f"http://k/{i}", f"{menu}<p>{prose(i, 30)}</p>{menu}") for i in range(6)]
+    rows += [(100 + i, f"http://k/again/{i}", html) for i, (_, _, html) in enumerate(rows[:3])]  # under two urls
+    rows += [(103, "http://k/0", rows[0][2])]  # and crawled again
+    # three versions of a page that differ in a few words, and two pages that quote one paragraph
+    rows += [(200 + i, f"http://k/v/{i}", f"{menu}<p>{prose(50, 60)}</p><p>version {i}</p>") for i in range(3)]
+    rows += [(300 + i, f"http://k/q/{i}", f"<p>{prose(60, 20)}</p><p>{prose(70 + i, 20)}</p>{menu}") for i in range(2)]
+    rows += [(400 + i, f"http://two/{i}", f"<p>{prose(80, 30)}</p>") for i in range(2)]  # nothing else on the host
+    frame = spark.createDataFrame(rows, PAGE)
+    plain = lambda i, n: " ".join(prose(i, n).split())
+    wanted = {i: plain(i, 30) for i in range(6)} | {100 + i: plain(i, 30) for i in range(3)} | {103: plain(0, 30)}
+    wanted |= {200 + i: f"{plain(50, 60)}\nversion {i}" for i in range(3)}
+    wanted |= {300 + i: f"{plain(60, 20)}\n{plain(70 + i, 20)}" for i in range(2)}
+    wanted |= {400 + i: plain(80, 30) for i in range(2)}
+    assert {r.page_id: r.text for r in pages.main_text(frame).collect()} == wanted
+
+
 # -- token shards ---------------------------------------------------------------------------------
 def test_token_shards(documents):
     from tokenizers import Tokenizer
