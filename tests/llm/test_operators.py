@@ -12,7 +12,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm.texts import SPACE, cases, edited, prose, shingle_set
-from zonalake.llm import decontam, exact, lines, mixing, neardup, pages, quality, suffixes, tokens, warc
+from zonalake.llm import decontam, exact, lines, markup, mixing, neardup, pages, quality, suffixes, tokens, warc
 from zonalake.llm.queries import tokenizer_path
 
 ITEM = "item_id long, text string"
@@ -303,6 +303,21 @@ def test_mirrored_pages_and_short_menus(spark, documents):
     assert {r.page_id: r.text for r in pages.main_text(frame).collect()} == wanted
 
 
+def test_elements_that_are_left_out():
+    text = lambda html: " ".join(t for _, t in markup.blocks(html))
+    icon = "<svg viewBox='0 0 1 1' class=\"a>b\"/>"
+    assert text(f"<p>one {icon} two</p><p>three") == "one two three"
+    assert text(f"<p>one {icon} two</p><svg><title>no</title>no</svg><p>three") == "one two three"
+    assert text("<p>one <svg class=x> two</p><svg><svg>no</svg>no</svg><p>three") == "one two three"
+    assert text("<p>one</p><audio-player src=x>two</audio-player><select-box/><p>three") == "one two three"
+    assert text("<p>one</p><iframe src=x><p>two<iframe src=http://y/>no</iframe> <title>three") == "one two three"
+    assert text("one<select><option>no</select> two<textarea><script></textarea> three") == "one two three"
+    assert text("one<script src=x /><p>two</p><script>no</script><p>three") == "one two three"
+    assert text("one<script>if (a <b) '</scripts>'</script> two<style>no") == "one two"
+    assert text(f"<p data-x=\"{'y' * 5000}>no\" title='{'>' * 9000}'>one</p><a href=\"x\"\">two</a> three") == "one two three"
+    assert text("<p title=\"never closed>one</p>") == "one"
+
+
 # -- token shards ---------------------------------------------------------------------------------
 def test_token_shards(documents):
     from tokenizers import Tokenizer
