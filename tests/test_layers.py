@@ -268,6 +268,19 @@ def test_refine_reports_and_drops_what_came_again(spark, lake):
             assert counts[f"{source}: {rule} failed"] == failed
 
 
+def test_refine_day_by_day_drops_what_came_on_an_earlier_date(spark, lake):
+    batch = raw_air(spark).drop(*DATE_KEYS).distinct()
+    for day in (DAY1, DAY2):
+        layers.ingest(batch, f"{lake}/daily/air", day)
+        layers.ingest(raw_traffic(spark).drop(*DATE_KEYS), f"{lake}/daily/traffic", day)
+    paths = (f"{lake}/daily/air", f"{lake}/daily/traffic")
+    first, second = (
+        layers.refine(spark, *paths, f"{lake}/s4", day=day, drop_duplicates=True) for day in (DAY1, DAY2)
+    )
+    assert first["air"] == valid_air(batch).count() and first["traffic"] > 0
+    assert second["air"] == second["traffic"] == 0
+
+
 def test_preview_and_files_follow_the_order(spark, tmp_path):
     mart = spark.range(5000).selectExpr(
         "concat('z', id) AS zone", "1 AS year", "1 AS month", "1 AS day",

@@ -29,6 +29,7 @@ from zonalake.schemas import RAW_AIR, RAW_TRAFFIC, SILVER_AIR, SILVER_TRAFFIC
 from zonalake.session import settle
 from zonalake.sinks import counted, write_day, write_lake
 from zonalake.sources import read_lake
+from zonalake.sources.files import on_date, until_date
 
 
 def ingest(df: DataFrame, path: str, day: date) -> int:
@@ -58,13 +59,16 @@ def refine(
     split writes one date, and no row is shuffled.
 
     `drop_duplicates` keeps of rows that were ingested on several dates those of the earliest; that
-    takes a shuffle and, with a date, sees that date only. `report` adds the rows that fail each rule,
+    takes a shuffle and, with a date, reads the earlier dates of raw too. A date ingested late does not
+    change the silver of later dates until these are refined again. `report` adds the rows that fail each rule,
     counted by the tasks that write; the rules then cannot reach the scan.
     """
-    raw_air = read_lake(spark, air_path, RAW_AIR, day)
-    raw_traffic = read_lake(spark, traffic_path, RAW_TRAFFIC, day)
     if drop_duplicates:
-        raw_air, raw_traffic = drop_reingested(raw_air), drop_reingested(raw_traffic)
+        raw_air = on_date(drop_reingested(until_date(read_lake(spark, air_path, RAW_AIR), day)), day)
+        raw_traffic = on_date(drop_reingested(until_date(read_lake(spark, traffic_path, RAW_TRAFFIC), day)), day)
+    else:
+        raw_air = read_lake(spark, air_path, RAW_AIR, day)
+        raw_traffic = read_lake(spark, traffic_path, RAW_TRAFFIC, day)
     failed = {}
     if report:
         raw_air, failed["air"] = rule_counts(raw_air, "air", AIR_RULES)
