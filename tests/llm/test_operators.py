@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,8 +12,10 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tests.llm.texts import SPACE, cases, edited, prose, shingle_set
-from zonalake.llm import decontam, exact, lines, markup, mixing, neardup, pages, quality, suffixes, tokens, warc
+from tests.llm.texts import LOWER, SPACE, WORD, cases, edited, prose, shingle_set
+from zonalake.llm import (
+    decontam, exact, lines, markup, mixing, neardup, pages, periodic, phrases, pieces, quality, suffixes, tokens, warc,
+)
 from zonalake.llm.queries import tokenizer_path
 
 ITEM = "item_id long, text string"
@@ -435,3 +438,180 @@ def test_empty_tables(spark, documents):
     ]
     for frame in results:
         assert frame.collect() == [] and frame.columns
+
+
+# -- periodic runs --------------------------------------------------------------------------------
+def plain_runs(words, least):
+    """All maximal repetitions by trying every period; a stretch's smallest period is the first found."""
+    n, found = len(words), {}
+    for p in range(1, n // 2 + 1):
+        i = 0
+        while i + p < n:
+            j = i
+            while j + p < n and words[j] == words[j + p]:
+                j += 1
+            if j - i >= p and j + p - i >= least:
+                found.setdefault((i, j + p - i), p)
+            i = max(j, i + 1)
+    return sorted(((a, length, p) for (a, length), p in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def plain_run_report(rows):
+    out = []
+    for doc_id, text, *_ in rows:
+        words, h = WORD.findall(text or ""), zlib.crc32(str(doc_id).encode())
+        n, g = len(words), h // 10
+        if doc_id is not None and h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        found = plain_runs(words, 12)
+        gone = {i for a, length, p in found for i in range(a + p, a + length)}
+        best = min(((-length, a, p) for a, length, p in found), default=None)
+        lines_of = "".join(f"{a},{length},{p}\n" for a, length, p in found)
+        collapsed = " ".join(w for i, w in enumerate(words) if i not in gone)
+        if not (doc_id is not None and h % 10 == 0) and text is None:
+            collapsed = ""
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (lines_of, collapsed)]
+        shown = (best[1], -best[0], best[2], -1000 * best[0] // best[2]) if best else (None,) * 4
+        out.append((doc_id, len(found), *shown, *digests))
+    return bag(out)
+
+
+def periodic_rows():
+    draw = np.random.default_rng(3)
+    rows = [(1000 + i, prose(i, 40 + i)) for i in range(60)]
+    for i in range(60):
+        cycle = [f"w{x}" for x in draw.integers(0, 4, draw.integers(1, 30))]
+        rows.append((2000 + i, " ".join((prose(i, 20).split() + cycle * 4)[: draw.integers(12, 120)]) + "\n" + prose(i, 9)))
+    rows += [(3000 + i, " ".join(f"{x}" for x in draw.integers(0, 2, 80))) for i in range(30)]
+    return rows
+
+
+def test_runs_of_numbers():
+    draw = np.random.default_rng(7)
+    for _ in range(400):
+        s = draw.integers(0, draw.integers(1, 4) + 1, draw.integers(1, 45))
+        assert [tuple(r) for r in periodic.runs_of(s, 2).tolist()] == plain_runs(s.tolist(), 2)
+
+
+def test_periodic_runs(documents):
+    rows = cases() + periodic_rows()
+    found = periodic.run_report(documents(rows, extra=True)).collect()
+    assert bag(found) == plain_run_report(rows)
+    assert sum(r.n_runs > 0 for r in found) > 60
+
+
+def test_periodic_text_of_some_megabytes(documents):
+    text = " ".join(["a", "b", "c", "a", "b"] * 30_000) + " " + "x" * 2_000_000
+    found = periodic.with_runs(documents([(1, text)])).first()
+    assert [tuple(r) for r in found.runs] == [(0, 150_000, 5)]
+    assert found.collapsed == "a b c a b " + "x" * 2_000_000
+
+
+# -- phrases --------------------------------------------------------------------------------------
+def plain_collocations(rows, top, threshold):
+    counts = defaultdict(Counter)
+    for _, text, lang in rows:
+        for piece in re.split("[.,;:!?\x0a-\x0d]", (text or "").translate(LOWER)):
+            words = re.findall("[^\x20\x09]+", piece)
+            for k in (1, 2, 3):
+                for i in range(len(words) - k + 1):
+                    counts[lang or "und"][tuple(words[i : i + k])] += 1
+    out = []
+    for lang, f in counts.items():
+        n, kept = sum(c for phrase, c in f.items() if len(phrase) == 1), []
+        for phrase, a in f.items():
+            if len(phrase) < 2 or a < threshold:
+                continue
+            over = [c for x, c in f.items() if len(x) == 3 and len(phrase) == 2 and c >= threshold and phrase in (x[:2], x[1:])]
+            if any(100 * c >= 50 * a for c in over):
+                continue
+            cuts = [(1_000_000 * a * a // (f[phrase[:k]] * f[phrase[k:]]), k) for k in range(1, len(phrase))]
+            score, k = min(cuts)
+            kept.append((-score, -a, " ".join(phrase).encode(), f[phrase[:k]], f[phrase[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(kept)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n, -score))
+    return bag(out)
+
+
+def phrase_rows():
+    draw = np.random.default_rng(11)
+    vocabulary = ["the", "Of", "new", "york", "é", "x-y", "a'b", "city"]
+    rows = [(None, None, None), (1, "", "en"), (2, ". , \n", "en"), (3, "one", None)]
+    for i in range(150):
+        words = draw.choice(vocabulary, draw.integers(1, 30), p=[0.3, 0.2, 0.1, 0.1, 0.1, 0.1, 0.05, 0.05])
+        text = "".join(w + str(draw.choice([" ", " ", "\t", ", ", "\n", "  "])) for w in words)
+        rows.append((i % 120, text, [None, "en", "a\nb c"][i % 3]))
+    rows += [(500 + i, "the new york city", "en") for i in range(30)] * 2
+    return rows
+
+
+@pytest.mark.parametrize(("shards", "bits"), [(1, 1 << 27), (2, 1 << 27), (5, 1 << 27), (3, 64)])
+def test_collocations(spark, documents, shards, bits):
+    """With a filter of 64 bits nearly all phrases are active at once; the counts stay right."""
+    rows = phrase_rows()
+    docs = documents([(1, "x")], extra=True).limit(0)
+    new = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    docs = docs.unionByName(new, allowMissingColumns=True)
+    found = phrases.collocations(docs, top=12, shards=shards, most_bits=bits).collect()
+    assert bag(found) == plain_collocations(rows, 12, 10)
+
+
+def test_scores_beyond_64_bits(spark):
+    big = 4_000_000_000
+    counts = spark.createDataFrame(
+        [("en", "a b", 2, big), ("en", "a", 1, big + 1), ("en", "b", 1, 3 * big)],
+        "lang string, phrase string, words int, n long",
+    )
+    assert phrases.scored(counts).first().score == 1_000_000 * big * big // ((big + 1) * 3 * big)
+
+
+# -- pieces ---------------------------------------------------------------------------------------
+def piece_texts():
+    draw = np.random.default_rng(5)
+    alphabet = list("aābeé ttinger  \n\t▁▁.,()'-0123😀漢字ßñ́­‍\x00")
+    odd = ["".join(draw.choice(alphabet, draw.integers(0, 60))) for _ in range(3_000)]
+    return odd + ["a" * 5_000, " " * 3_000, "▁" * 70 + "x", "ab" * 4_000, "<0x41></s><s>"] + [r[1] or "" for r in cases()]
+
+
+def test_pieces_equal_the_library():
+    model = pieces.pieces(tokenizer_path("piece_bpe_32k.model"))
+    texts = piece_texts()
+    expected = model.library.encode(texts, num_threads=1)
+    found = [np.frombuffer(ids, np.int32).tolist() for ids in model.encode(texts)]
+    assert found == expected
+
+
+def test_pieces_forget(monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 20)
+    model = pieces.Pieces(tokenizer_path("piece_bpe_32k.model"))
+    texts = piece_texts()[:300]
+    for at in range(0, 300, 30):
+        expected = model.library.encode(texts[at : at + 30], num_threads=1)
+        assert [np.frombuffer(i, np.int32).tolist() for i in model.encode(texts[at : at + 30])] == expected
+    assert len(model.recent) <= 40
+
+
+def test_piece_report(documents):
+    import sentencepiece
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    rows = cases() + [(900, "é x" * 700_000)]
+    wanted = []
+    for doc_id, text, *_ in rows:
+        ids = library.encode(text or "", num_threads=1)
+        sha = [hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), library.decode(ids))]
+        wanted.append((doc_id, len(ids), *sha))
+    docs = documents(rows, extra=True)
+    assert bag(pieces.piece_report(docs, path).collect()) == bag(wanted)
+    both = pieces.decoded(pieces.encoded(docs, path), path)
+    assert all(r.decoded == (r.text or "").replace("▁", " ") for r in both.collect())
+
+
+def test_new_operators_on_empty_tables(documents):
+    empty = documents([(1, "x")]).limit(0)
+    path = tokenizer_path("piece_bpe_32k.model")
+    for found in (periodic.run_report(empty), phrases.collocations(empty), pieces.piece_report(empty, path)):
+        assert found.collect() == []
