@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -48,12 +49,15 @@ COUNTS = "key string, words tinyint, start tinyint, n bigint"
 
 
 def text_hashes(values: pa.Array) -> np.ndarray:
-    """64-bit hashes of distinct strings."""
+    """64-bit hashes of strings without nulls."""
     values = values.cast(pa.large_string())
-    ends = np.concatenate(([0], np.cumsum(pc.binary_length(values).to_numpy(zero_copy_only=False))))
-    data = np.frombuffer("".join(values.to_pylist()).encode(), np.uint8)
-    ends = ends.astype(np.int64)
-    return substring_hashes(prefix_sums(data), ends[:-1], ends[1:]) if len(values) else np.zeros(0, U64)
+    if not len(values):
+        return np.zeros(0, U64)
+    _, ends, data = values.buffers()
+    ends = np.frombuffer(ends, np.int64)[values.offset : values.offset + len(values) + 1]
+    data = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data else np.zeros(0, np.uint8)
+    ends = ends - ends[0]
+    return substring_hashes(prefix_sums(data), ends[:-1], ends[1:])
 
 
 def _phrase_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -91,9 +95,11 @@ def _joined(*parts: pa.Array) -> pa.Array:
 
 
 def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A place of each distinct number, the number of each place's value, and counts."""
-    _, first, inverse, counts = np.unique(codes, return_index=True, return_inverse=True, return_counts=True)
-    return first, inverse, counts
+    """Where each distinct number stands first, the number of each place's value, and counts."""
+    numbers, values = pd.factorize(codes)
+    first = np.empty(len(values), np.int64)
+    first[numbers[::-1]] = np.arange(len(codes) - 1, -1, -1)
+    return first, numbers, np.bincount(numbers, minlength=len(values))
 
 
 def _count_group(batch: pa.RecordBatch, scan: int, shards: int, filters: Filters) -> pa.RecordBatch:
@@ -110,11 +116,11 @@ def _count_group(batch: pa.RecordBatch, scan: int, shards: int, filters: Filters
     # Phrases of one length at a time: `places` has where they begin and `code` numbers the distinct ones.
     many = len(words.known)
     first, code, counts = _counted(lang * many + words.codes)
-    hashes = _phrase_hash(text_hashes(langs.dictionary)[lang[first]], text_hashes(words.known)[words.codes[first]])
+    word_hashes = text_hashes(words.known)
+    hashes = _phrase_hash(text_hashes(langs.dictionary)[lang[first]], word_hashes[words.codes[first]])
     names = _joined(front.take(pa.array(lang[first])), words.known.take(pa.array(words.codes[first])), "")
     if scan < shards:
         out.append((names, 1, np.zeros(len(first), np.int64), counts))
-    word_hashes = text_hashes(words.known)
     places = np.arange(len(words.codes))
     for length in (2, 3):
         reached = filters.scans(length - 1, hashes)
