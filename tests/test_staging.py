@@ -155,8 +155,7 @@ def test_quality_report(spark):
 
 def test_infinite_and_nan_values_have_their_own_rule(spark):
     odd = spark.sql(
-        "SELECT inline(array(struct(double('NaN') AS pollution_value), struct(double('Infinity')), "
-        "struct(double('-Infinity')), struct(1d)))"
+        "SELECT * FROM VALUES (double('NaN')), (double('Infinity')), (double('-Infinity')), (1d) AS t(pollution_value)"
     )
     others = ("air_quality_index", "temperature", "humidity", "latitude")
     air = odd.withColumns({name: F.lit(1) for name in others})

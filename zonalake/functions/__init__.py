@@ -2,6 +2,7 @@
 
 from zonalake.functions.columns import (
     air_zone,
+    exact_sum,
     hour_label,
     hour_of_text,
     level_label,
@@ -14,6 +15,7 @@ from zonalake.functions.columns import (
 
 __all__ = [
     "air_zone",
+    "exact_sum",
     "hour_label",
     "hour_of_text",
     "level_label",

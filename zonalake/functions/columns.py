@@ -17,10 +17,33 @@ def rounded(value: Column, places: int = 2) -> Column:
     return F.round(value.cast("decimal(28,6)"), places).cast("double")
 
 
+def exact_sum(value: Column) -> Column:
+    """Aggregate: a sum of doubles that does not depend on the order or partitioning of the rows.
+
+    A value's 60 bits above and 60 bits below the point are cut into parts of 20 bits, which are added
+    as whole numbers; that is exact for 2^43 rows, and addition of longs in generated code. Bits further
+    down are rounded off. Values of 2^60 and more, infinities and NaN are added as doubles beside them.
+    """
+    number = value.cast("double")
+    size = F.abs(number)
+    fits = size < 2.0**60
+    sign = F.when(number < 0, -1).otherwise(1)
+    above = F.floor(F.when(fits, size))
+    below = F.rint((size - above) * 2.0**60).cast("long")
+    total = F.lit(0.0)
+    for bits, unit in ((below, 2.0**-60), (above, 1.0)):
+        for shift in (0, 20, 40):
+            part = F.shiftright(bits, shift)
+            part = part if shift == 40 else part.bitwiseAND(F.lit(0xFFFFF).cast("long"))
+            total = total + F.sum(part * sign).cast("double") * (unit * 2.0**shift)
+    rest = F.sum(F.when(~fits, number))
+    return F.coalesce(total + rest, total, rest)
+
+
 def weighted_mean(total: Column, count: Column, weight: Column) -> Column:
     """Aggregate: mean over groups given by their sum and count, each repeated `weight` times."""
     w = weight.cast("double")
-    return F.try_divide(F.sum(total * w), F.sum(count * w))
+    return F.try_divide(exact_sum(total * w), exact_sum(count * w))
 
 
 def hour_of_text(value: Column, pattern: str | None = None) -> Column:

@@ -6,7 +6,8 @@ and maxima over the pairs follow from sums, counts and maxima of the sides. All
 from cells; the pairs are never formed for it.
 
 Cells combine in the map tasks, so a hot zone or hour shuffles only one row per task. They are also
-additive over ingest dates, so a stored cell table needs only the new date's rows.
+additive over ingest dates, so a stored cell table needs only the new date's rows. Sums do not depend
+on the order of rows (`functions.exact_sum`), so equal rows give equal cells, bit by bit, in any run.
 """
 
 from __future__ import annotations
@@ -14,13 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonalake.functions import exact_sum
 from zonalake.schemas import AIR_METRICS, DATE_KEYS, ZONE_HOUR
 
 
 def _parts(name: str) -> list[Column]:
     value = F.col(name)
     return [
-        F.sum(value.cast("double")).alias(f"sum_{name}"),
+        exact_sum(value).alias(f"sum_{name}"),
         F.count(value).alias(f"n_{name}"),
         F.max(value).alias(f"max_{name}"),
     ]
@@ -47,7 +49,7 @@ def merge_traffic_cells(stored: DataFrame) -> DataFrame:
     """Cells stored by ingest date, combined to one row per zone and hour."""
     return stored.groupBy(*ZONE_HOUR).agg(
         F.sum("traffic_rows").alias("traffic_rows"),
-        F.sum("sum_debit_horaire").alias("sum_debit_horaire"),
+        exact_sum(F.col("sum_debit_horaire")).alias("sum_debit_horaire"),
         F.sum("n_debit_horaire").alias("n_debit_horaire"),
         F.max("max_debit_horaire").alias("max_debit_horaire"),
         F.min("min_debit_horaire").alias("min_debit_horaire"),
@@ -77,7 +79,7 @@ def cells_of_silver(silver: DataFrame) -> DataFrame:
         pairs.alias("air_rows"),
         *parts,
         F.lit(1).cast("bigint").alias("traffic_rows"),
-        (F.sum(count) / pairs).alias("sum_debit_horaire"),
+        (exact_sum(count) / pairs).alias("sum_debit_horaire"),
         (F.count(count) / pairs).alias("n_debit_horaire"),
         F.max(count).alias("max_debit_horaire"),
         F.min(count).alias("min_debit_horaire"),

@@ -25,11 +25,11 @@ from zonalake.operators.pairing import PAIRS_PER_BLOCK, silver_join
 from zonalake.operators.quality import rule_counts
 from zonalake.operators.staging import drop_reingested, stamp_ingest_date
 from zonalake.plans.gold import in_order, pollution_mart, traffic_mart, traffic_pollution_mart
-from zonalake.schemas import RAW_AIR, RAW_TRAFFIC, SILVER_AIR, SILVER_TRAFFIC
+from zonalake.plans.reingest import build_index, rows_of_day
+from zonalake.schemas import AIR_TIME, RAW_AIR, RAW_TRAFFIC, SILVER_AIR, SILVER_TRAFFIC, TRAFFIC_TIME
 from zonalake.session import settle
 from zonalake.sinks import counted, write_day, write_lake
 from zonalake.sources import read_lake
-from zonalake.sources.files import on_date, until_date
 
 
 def ingest(df: DataFrame, path: str, day: date) -> int:
@@ -58,25 +58,34 @@ def refine(
     and replaced; without one, all of silver is. Raw lies by date already, so a task that reads a
     split writes one date, and no row is shuffled.
 
-    `drop_duplicates` keeps of rows that were ingested on several dates those of the earliest; that
-    takes a shuffle and, with a date, reads the earlier dates of raw too. A date ingested late does not
-    change the silver of later dates until these are refined again. `report` adds the rows that fail each rule,
+    `drop_duplicates` keeps of rows that were ingested on several dates those of the earliest. Without a
+    date that groups all of raw, and the index of row hashes under the silver folder is built anew. With
+    one, the day's rows are held against that index (`plans.reingest`); later dates that keep other rows
+    because of it are written too. `report` adds the rows of the date that fail each rule,
     counted by the tasks that write; the rules then cannot reach the scan.
     """
-    if drop_duplicates:
-        raw_air = on_date(drop_reingested(until_date(read_lake(spark, air_path, RAW_AIR), day)), day)
-        raw_traffic = on_date(drop_reingested(until_date(read_lake(spark, traffic_path, RAW_TRAFFIC), day)), day)
-    else:
-        raw_air = read_lake(spark, air_path, RAW_AIR, day)
-        raw_traffic = read_lake(spark, traffic_path, RAW_TRAFFIC, day)
-    failed = {}
-    if report:
-        raw_air, failed["air"] = rule_counts(raw_air, "air", AIR_RULES)
-        raw_traffic, failed["traffic"] = rule_counts(raw_traffic, "traffic", TRAFFIC_RULES)
-    rows = {
-        "air": _write(conform_air(raw_air), f"{silver_path}/air", day),
-        "traffic": _write(conform_traffic(raw_traffic, mapping), f"{silver_path}/traffic", day),
+    sides = {
+        "air": (air_path, RAW_AIR, AIR_RULES, conform_air, AIR_TIME),
+        "traffic": (traffic_path, RAW_TRAFFIC, TRAFFIC_RULES, lambda raw: conform_traffic(raw, mapping), TRAFFIC_TIME),
     }
+    rows, failed = {}, {}
+    for side, (path, schema, rules, conform, time) in sides.items():
+        commit = None
+        raw = read_lake(spark, path, schema, day)
+        kept = {day: raw}
+        if drop_duplicates and day:
+            found = rows_of_day(spark, path, f"{silver_path}/{side}_index", schema, time, day)
+            kept, commit = found.kept, found.commit
+        elif drop_duplicates:
+            kept = {None: drop_reingested(raw)}
+            build_index(raw, f"{silver_path}/{side}_index", time)
+        for date_kept, own in kept.items():
+            if report and date_kept == day:
+                own, failed[side] = rule_counts(own, side, rules)
+            written = _write(conform(own), f"{silver_path}/{side}", date_kept)
+            rows[side] = rows.get(side, 0) + written
+        if commit:
+            commit()
     for side, counts in failed.items():
         rows |= {f"{side}: {rule} failed": n for rule, n in counts.get.items()}
     return rows

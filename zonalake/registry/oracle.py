@@ -181,6 +181,9 @@ def oracle_sql() -> dict[str, str]:
         "stamp_ingest_date": f"SELECT *, {INGEST_DATE} FROM ({TRAFFIC_CSV})",
         "dedup_air": f"""SELECT DISTINCT * EXCLUDE (year, month, day), {INGEST_DATE}
             FROM ({RAW_AIR})""",
+        "dedup_by_index": f"""SELECT DISTINCT * EXCLUDE (year, month, day), 2024 AS year, 1 AS month,
+            CASE air_quality_index % 3 WHEN 0 THEN 1 WHEN 1 THEN 4 ELSE 3 END AS day
+            FROM ({RAW_AIR}) WHERE air_quality_index IS NOT NULL""",
         "air_hour": """SELECT event_type AS station, strftime(ts, '%d/%m/%Y %H:%M') AS datetime,
             CAST(hour(ts) AS INTEGER) AS hour FROM events""",
         "traffic_hour": f"""SELECT libelle, date_et_heure_de_comptage,

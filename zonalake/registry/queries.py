@@ -12,8 +12,8 @@ from zonalake.fixed_values import HIGH, MEDIUM
 from zonalake.functions import rounded, traffic_level
 from zonalake.operators import cells as cell_ops
 from zonalake.operators import conform, pairing, quality, rolling, staging
-from zonalake.plans import dashboard, gold, metrics, pages, summaries
-from zonalake.schemas import RAW_AIR, RAW_TRAFFIC, SILVER, TRAFFIC_CSV
+from zonalake.plans import dashboard, gold, layers, metrics, pages, reingest, summaries
+from zonalake.schemas import AIR_TIME, RAW_AIR, RAW_TRAFFIC, SILVER, TRAFFIC_CSV
 from zonalake.session import settle, work_path
 from zonalake.sinks import write_lake
 from zonalake.sources import read_lake, read_traffic_csv
@@ -105,6 +105,18 @@ def dedup_air(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.drop_reingested(days[1].unionByName(days[0]))
 
 
+def dedup_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches ingested on several dates, one of them late and one again without a batch, with
+    rows that came again removed a date at a time against the index of row hashes."""
+    raw, index, kept = (work_path(spark, name) for name in ("dated-air", "air-index", "first-air"))
+    rows = standin.raw_air(spark, sf_dir).drop("year", "month", "day")
+    batch = F.col("air_quality_index") % 3
+    for day, batches in standin.AIR_BATCHES:
+        layers.ingest(rows.filter(batch.isin(batches)), raw, day)
+        reingest.refresh_first_rows(spark, raw, index, kept, RAW_AIR, AIR_TIME, day)
+    return read_lake(spark, kept, RAW_AIR)
+
+
 # --- staging
 
 
@@ -228,6 +240,7 @@ def queries() -> dict[str, Query]:
         "scan_raw_traffic": scan_raw_traffic,
         "stamp_ingest_date": stamp_ingest_date,
         "dedup_air": dedup_air,
+        "dedup_by_index": dedup_by_index,
         "air_hour": air_hour,
         "traffic_hour": traffic_hour,
         "air_zone": air_zone,

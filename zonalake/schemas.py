@@ -6,6 +6,8 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 
 DATE_KEYS = ["year", "month", "day"]
 ZONE_HOUR = ["zone", "hour"]
+#: When a raw row was observed, as text.
+AIR_TIME, TRAFFIC_TIME = "datetime", "date_et_heure_de_comptage"
 AIR_METRICS = ["pollution_value", "air_quality_index", "temperature", "humidity"]
 
 

@@ -32,15 +32,6 @@ def on_date(df: DataFrame, day: date | None) -> DataFrame:
     )
 
 
-def until_date(df: DataFrame, day: date | None) -> DataFrame:
-    """The partitions up to one ingest date; every date when `day` is None."""
-    if day is None:
-        return df
-    year, month = F.col("year"), F.col("month")
-    same_month = (year == day.year) & (month == day.month) & (F.col("day") <= day.day)
-    return df.filter((year < day.year) | ((year == day.year) & (month < day.month)) | same_month)
-
-
 def read_lake(
     spark: SparkSession, path: str, schema: StructType | None = None, day: date | None = None
 ) -> DataFrame:

@@ -25,6 +25,16 @@ ZONES = ["error", "click", "view", "purchase"]
 TRAFFIC_INGEST_DATE = date(2024, 1, 31)
 AIR_INGEST_DATES = (date(2024, 1, 31), date(2024, 2, 1))
 
+# Dates in the order of their ingestion, with the batches (by air quality index modulo 3) that each brings:
+# the third of January comes late, the second comes again without a batch.
+AIR_BATCHES = (
+    (date(2024, 1, 1), [0]),
+    (date(2024, 1, 2), [0, 1]),
+    (date(2024, 1, 4), [1, 2]),
+    (date(2024, 1, 3), [0, 2]),
+    (date(2024, 1, 2), [0]),
+)
+
 # The columns used, so that reading needs no job to look up the schema.
 EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
