@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from fixtures import bag, silver_air, silver_traffic
@@ -10,6 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from zonalake.functions import exact_sum
 from zonalake.operators.cells import (
     air_cells,
     cells_of,
@@ -29,6 +31,7 @@ from zonalake.operators.pairing import (
 )
 from zonalake.operators.rolling import rolling_by_hour, rolling_over_rows
 from zonalake.plans import gold
+from zonalake.sinks import silver_view_sql
 
 AIR = [
     ("a", 7, 10.0, 1, 5.0, 50.0, 1),
@@ -318,3 +321,62 @@ def test_results_do_not_depend_on_broadcasts(spark):
 
 def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+# -- the view's grid, and sums in any order -------------------------------------------------------
+def _hot_sides(spark):
+    air = [("hot", 7, float(i), i % 90, 1.5 * (i % 7), 40.0, 1 + i % 3) for i in range(60)]
+    air += [("cold", h, 1.0 * h, 1, 2.0, 3.0, 1) for h in range(5)] + [(None, 7, 1.0, 1, 2.0, 3.0, 1)]
+    traffic = [("hot", 7, float(i)) for i in range(50)] + [("cold", 2, 5.0), ("hot", None, 1.0)]
+    return silver_air(spark, air), silver_traffic(spark, traffic)
+
+
+def test_view_joins_a_hot_key_in_many_tasks(spark):
+    air, traffic = _hot_sides(spark)
+    air.createOrReplaceTempView("grid_air")
+    traffic.createOrReplaceTempView("grid_traffic")
+    columns = ["zone", "hour", "pollution_value", "day", "debit_horaire"]
+    expected = bag(plain_join(air, traffic), columns)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        tasks = {}
+        for pairs in (10**6, 50, 1):
+            rows = spark.sql(silver_view_sql("grid_air", "grid_traffic", pairs))
+            assert bag(rows, columns) == expected
+            tasks[pairs] = rows.filter("zone = 'hot'").select(F.spark_partition_id()).distinct().count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert tasks[10**6] == 1 and tasks[50] > 4 and tasks[1] > 4
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_marts_are_equal_bit_by_bit_in_any_order(spark, seed):
+    draw = random.Random(seed)
+    wild = [0.1, 1e13 + 0.3, -1e13, 1e-9, 3.3333333, 1e14, -1e14]
+    value = lambda: draw.choice(wild) if draw.random() < 0.2 else draw.uniform(-50, 1000)
+    air_rows = [("z", i % 3, value(), i % 90, value(), value(), 1 + i % 2) for i in range(400)]
+    traffic_rows = [("z", i % 3, value()) for i in range(300)]
+    found = []
+    for parts in (1, 3, 8):
+        draw.shuffle(air_rows)
+        draw.shuffle(traffic_rows)
+        air = silver_air(spark, air_rows).repartition(parts)
+        traffic = silver_traffic(spark, traffic_rows).repartition(parts)
+        cells = cells_of(air, traffic)
+        rolled = rolling_by_hour(pair_cells(air_cells(air, by_date=False), traffic_cells(traffic)))
+        tables = [cells, rolled, gold.hourly_traffic(cells), gold.pollution_mart(cells), gold.traffic_pollution_mart(cells)]
+        found.append([sorted(map(repr, table.collect())) for table in tables])
+    assert found[0] == found[1] == found[2]
+
+
+def test_exact_sum(spark):
+    for values in ([0.1] * 10, [1e17, 1.0, -1e17, 0.5], [None, -0.3, 0.1], [2.0**59, 2.0**-60], [-7.25, 0.0]):
+        rows = spark.createDataFrame([(v,) for v in values], "v double")
+        total = rows.agg(exact_sum(F.col("v")).alias("s")).first().s
+        assert total == pytest.approx(math.fsum(v for v in values if v is not None), rel=1e-15)
+    for values, expected in (([None], None), ([1e300, 1.0], 1e300), ([float("inf"), 1.0], float("inf"))):
+        assert spark.createDataFrame([(v,) for v in values], "v double").agg(exact_sum(F.col("v"))).first()[0] == expected

@@ -206,6 +206,7 @@ def oracle_sql() -> dict[str, str]:
             WHERE CAST(debit_horaire AS DOUBLE) >= 0 AND etat_arc = 'Ouvert'""",
         "quality_report": QUALITY,
         "silver_join": f"{SILVER} SELECT * FROM s",
+        "silver_view": f"{SILVER} SELECT * FROM s",
         "silver_digest": f"""{SILVER} SELECT zone, hour, CAST(count(*) AS DECIMAL(38,0)) AS pairs,
             max(pollution_value) AS max_pollution, min(debit_horaire) AS min_traffic,
             max(debit_horaire) AS max_traffic FROM s GROUP BY zone, hour""",

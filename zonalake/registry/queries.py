@@ -15,7 +15,7 @@ from zonalake.operators import conform, pairing, quality, rolling, staging
 from zonalake.plans import dashboard, gold, layers, metrics, pages, reingest, summaries
 from zonalake.schemas import AIR_TIME, RAW_AIR, RAW_TRAFFIC, SILVER, TRAFFIC_CSV
 from zonalake.session import settle, work_path
-from zonalake.sinks import write_lake
+from zonalake.sinks import silver_view_sql, write_lake
 from zonalake.sources import read_lake, read_traffic_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,8 @@ ZONES = standin.ZONES
 SOME_ZONES = ["click", "error", "view"]
 HOURS = (6, 20)
 LEVELS = [MEDIUM, HIGH]
+# Pairs of a block of the view, few enough for keys of these tables to be split.
+VIEW_PAIRS = 2_000
 
 
 def _air(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,6 +170,16 @@ def silver_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.drop("rolling_avg_pollution")
 
 
+def silver_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view over both stored sides, each key joined as a grid of blocks."""
+    sides = {"air": _air(spark, sf_dir), "traffic": _traffic(spark, sf_dir)}
+    for side, rows in sides.items():
+        write_lake(rows, path := work_path(spark, f"view-{side}"), whole=True)
+        read_lake(spark, path, rows.schema).createOrReplaceTempView(f"zonalake_view_{side}")
+    sql = silver_view_sql("zonalake_view_air", "zonalake_view_traffic", VIEW_PAIRS)
+    return spark.sql(sql).drop("rolling_avg_pollution")
+
+
 def rolling_avg_pollution(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_hour = cell_ops.air_cells(_air(spark, sf_dir), by_date=False)
     cells = cell_ops.pair_cells(by_hour, cell_ops.traffic_cells(_traffic(spark, sf_dir)))
@@ -250,6 +262,7 @@ def queries() -> dict[str, Query]:
         "validate_traffic": validate_traffic,
         "quality_report": quality_report,
         "silver_join": silver_join,
+        "silver_view": silver_view,
         "silver_digest": _over(_cells, gold.silver_digest),
         "rolling_avg_pollution": rolling_avg_pollution,
         "silver_roundtrip": silver_roundtrip,

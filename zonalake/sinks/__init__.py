@@ -1,6 +1,6 @@
 """Sinks: Parquet by ingest date, catalog tables and views, JDBC tables."""
 
-from zonalake.sinks.catalog import create_silver_view, is_view, register_table
+from zonalake.sinks.catalog import create_silver_view, is_view, register_table, silver_view_sql
 from zonalake.sinks.files import counted, write_day, write_lake
 from zonalake.sinks.jdbc import jdbc_write_options, write_jdbc
 
@@ -10,6 +10,7 @@ __all__ = [
     "is_view",
     "jdbc_write_options",
     "register_table",
+    "silver_view_sql",
     "write_day",
     "write_jdbc",
     "write_lake",

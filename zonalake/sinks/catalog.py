@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import is_remote
 
+from zonalake.operators.pairing import PAIRS_PER_BLOCK
 from zonalake.schemas import AIR_METRICS, DATE_KEYS
 
 
@@ -52,34 +53,62 @@ def register_table(spark: SparkSession, name: str, path: str, schema: StructType
     spark.catalog.refreshTable(name)
 
 
-def create_silver_view(spark: SparkSession, name: str, air_table: str, traffic_table: str) -> None:
-    """View with the rows and columns of the joined silver table.
+def _blocks(own: str, other: str, pairs: int) -> str:
+    """Into how many blocks a key's rows of one side are split (as in `operators.pairing`)."""
+    side = f"least(CAST({other} AS DOUBLE), sqrt({pairs}D))"
+    return f"CAST(greatest(1, ceil(CAST({own} AS DOUBLE) * {side} / {pairs}D)) AS INT)"
+
+
+def silver_view_sql(air_table: str, traffic_table: str, pairs_per_block: int = PAIRS_PER_BLOCK) -> str:
+    """A query with the rows and columns of the joined silver table.
 
     The join repeats each air row for every traffic row of its zone and hour, so stored it grows
     with the square of the history. As a view it costs nothing until queried; filters on zone and
     hour reach both tables, filters on the date reach the air rows.
+
+    Each key is a grid of blocks, so that a hot key is joined by many tasks: a row falls in one block of
+    its own side by its content, and is repeated for each block of the other side. The number of blocks
+    follows from a table of both sides' rows per key. Keys of few pairs are one block.
     """
-    _drop(spark, name)
     metrics = ", ".join(f"a.{m}" for m in AIR_METRICS)
     dates = ", ".join(f"a.{d}" for d in DATE_KEYS)
-    spark.sql(f"""
-        CREATE VIEW {name} AS
+    return f"""
         WITH air AS (
-          SELECT zone, hour, sum(pollution_value) AS total, count(pollution_value) AS n
+          SELECT zone, hour, sum(pollution_value) AS total, count(pollution_value) AS n, count(*) AS air_rows
           FROM {air_table} GROUP BY zone, hour
         ), traffic AS (
           SELECT zone, hour, count(*) AS n FROM {traffic_table} GROUP BY zone, hour
-        ), rolling AS (
+        ), keys AS (
           SELECT zone, hour,
+                 {_blocks("air.air_rows", "traffic.n", pairs_per_block)} AS air_blocks,
+                 {_blocks("traffic.n", "air.air_rows", pairs_per_block)} AS traffic_blocks,
                  try_divide(
                    sum(air.total * CAST(traffic.n AS DOUBLE)) OVER upto,
                    sum(air.n * CAST(traffic.n AS DOUBLE)) OVER upto
                  ) AS rolling_avg_pollution
           FROM air JOIN traffic USING (zone, hour)
           WINDOW upto AS (PARTITION BY zone ORDER BY hour)
+        ), air_grid AS (
+          SELECT a.zone, a.hour, {metrics}, {dates}, k.rolling_avg_pollution,
+                 pmod(xxhash64({metrics}, {dates}), k.air_blocks) AS air_block,
+                 explode(sequence(0, k.traffic_blocks - 1)) AS traffic_block
+          FROM {air_table} a JOIN keys k ON a.zone = k.zone AND a.hour = k.hour
+        ), traffic_grid AS (
+          SELECT t.zone, t.hour, t.debit_horaire,
+                 explode(sequence(0, k.air_blocks - 1)) AS air_block,
+                 pmod(xxhash64(t.debit_horaire, t.year, t.month, t.day), k.traffic_blocks) AS traffic_block
+          FROM {traffic_table} t JOIN keys k ON t.zone = k.zone AND t.hour = k.hour
         )
-        SELECT a.zone, a.hour, {metrics}, {dates}, t.debit_horaire, r.rolling_avg_pollution
-        FROM {air_table} a
-        JOIN rolling r ON a.zone = r.zone AND a.hour = r.hour
-        JOIN {traffic_table} t ON a.zone = t.zone AND a.hour = t.hour
-    """)
+        SELECT a.zone, a.hour, {metrics}, {dates}, t.debit_horaire, a.rolling_avg_pollution
+        FROM air_grid a
+        JOIN traffic_grid t ON a.zone = t.zone AND a.hour = t.hour
+          AND a.air_block = t.air_block AND a.traffic_block = t.traffic_block
+    """
+
+
+def create_silver_view(
+    spark: SparkSession, name: str, air_table: str, traffic_table: str, pairs_per_block: int = PAIRS_PER_BLOCK
+) -> None:
+    """View of `silver_view_sql` over two catalog tables."""
+    _drop(spark, name)
+    spark.sql(f"CREATE VIEW {name} AS {silver_view_sql(air_table, traffic_table, pairs_per_block)}")
