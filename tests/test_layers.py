@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from zonalake import job, session
 from zonalake.operators.conform import conform_air, conform_traffic
 from zonalake.operators.pairing import plain_join
-from zonalake.operators.quality import quality_report, valid_air, valid_traffic
+from zonalake.fixed_values import AIR_RULES, TRAFFIC_RULES
+from zonalake.operators.quality import quality_report, rules_of_mask, valid_air, valid_traffic
 from zonalake.operators.rolling import rolling_over_rows
 from zonalake.operators.staging import cast_known, drop_reingested
 from zonalake.plans import gold, layers, reingest
@@ -405,3 +406,36 @@ def test_a_date_refined_late_renews_later_dates(spark, lake):
     for side in ("air", "traffic"):
         expected = read_lake(spark, f"{lake}/s6/{side}")
         assert bag(read_lake(spark, f"{silver}/{side}", expected.schema)) == bag(expected)
+
+
+def test_quarantine_keeps_every_row(spark, lake):
+    paths, silver = (f"{lake}/q/air", f"{lake}/q/traffic"), f"{lake}/s7"
+    for day, part in ((DAY1, "day = 1"), (DAY2, "day = 2")):
+        layers.ingest(raw_air(spark).filter(part).drop(*DATE_KEYS), paths[0], day)
+        layers.ingest(raw_traffic(spark).filter(part).drop(*DATE_KEYS), paths[1], day)
+    layers.refine(spark, *paths, f"{lake}/s8")
+    plain = [bag(df) for df in layers.silver_sides(spark, f"{lake}/s8")]
+    layers.refine_with_quarantine(spark, *paths, silver)
+    for day in (DAY2, DAY1, DAY1):  # again by date, over what is there
+        layers.refine_with_quarantine(spark, *paths, silver, day)
+    assert [bag(df) for df in layers.silver_sides(spark, silver, quarantine=True)] == plain
+    sides = zip(("air", "traffic"), (RAW_AIR, RAW_TRAFFIC), (AIR_RULES, TRAFFIC_RULES), paths, strict=True)
+    for side, schema, rules, path in sides:
+        rejected = layers.rejected_rows(spark, silver, side).collect()
+        accepted = layers.accepted_rows(spark, silver, side).count()
+        raw = read_lake(spark, path, schema)
+        assert accepted + len(rejected) == raw.count()
+        for number, (name, rule) in enumerate(rules.items()):
+            failing = raw.filter(f"NOT coalesce({rule}, false)")
+            named = [r for r in rejected if name in rules_of_mask(r.failed_rules, rules)]
+            assert sorted(repr(tuple(r)[:-1]) for r in named) == sorted(repr(tuple(r)) for r in failing.collect())
+            assert all(r.failed_rules >> number & 1 for r in named)
+
+
+def test_quarantine_reads_raw_once_and_its_rows_apart(spark, lake):
+    raws = [read_lake(spark, f"{lake}/raw/{s}", x) for s, x in (("air", RAW_AIR), ("traffic", RAW_TRAFFIC))]
+    for df in layers.checked_sides(*raws).values():
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    layers.refine_with_quarantine(spark, f"{lake}/raw/air", f"{lake}/raw/traffic", f"{lake}/s9")
+    plan = layers.accepted_rows(spark, f"{lake}/s9", "air")._jdf.queryExecution().executedPlan().toString()
+    assert "raw_row" not in plan and re.search(r"PartitionFilters: \[.*NOT rejected", plan)

@@ -54,6 +54,9 @@ def parser() -> argparse.ArgumentParser:
     step.add_argument(
         "--report_rules", action="store_true", help="count the rows that fail each rule"
     )
+    step.add_argument(
+        "--quarantine", action="store_true", help="keep rejected rows, with the rules they fail"
+    )
     step.add_argument(
         "--join_rows", action="store_true", help="store the row-level join instead of a view"
     )
@@ -63,6 +66,9 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--silver_input", help="folder that refine wrote")
     source.add_argument("--silver_table", help="catalog name given to refine")
     step.add_argument("--gold_output", required=True)
+    step.add_argument(
+        "--quarantine", action="store_true", help="the folder was refined with --quarantine"
+    )
     step.add_argument("--ingest_date", type=date.fromisoformat, default=None)
     step.add_argument("--jdbc_url", help="database that gets the marts as tables too")
     step.add_argument("--jdbc_driver", default="org.mariadb.jdbc.Driver")
@@ -100,6 +106,12 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
 
 def run_refine(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     folder = args.silver_output
+    if args.quarantine:
+        if args.drop_duplicates or args.report_rules or args.join_rows or args.silver_table:
+            raise ValueError("--quarantine writes the two sides only")
+        return layers.refine_with_quarantine(
+            spark, args.air_input, args.traffic_input, folder, args.ingest_date
+        )
     rows = layers.refine(
         spark,
         args.air_input,
@@ -137,7 +149,7 @@ def run_marts(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
         if name:
             sides = [read_table(spark, f"{name}_{side}", day) for side in ("air", "traffic")]
         else:
-            sides = layers.silver_sides(spark, args.silver_input, day)
+            sides = layers.silver_sides(spark, args.silver_input, day, args.quarantine)
         layers.refresh_cells(*sides, args.gold_output, day)
         cells = layers.stored_cells(spark, args.gold_output)
     log.info("mean traffic per hour: %s", gold.hourly_traffic(cells).orderBy("hour").collect())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -64,16 +64,19 @@ def map_zones(df: DataFrame, mapping: Mapping[str, str] | DataFrame = ZONE_MAPPI
     )
 
 
-def conform_air(raw: DataFrame, rules: Mapping[str, str] = AIR_RULES) -> DataFrame:
-    """Valid air rows with zone and hour, in the nine silver columns."""
+def conform_air(
+    raw: DataFrame, rules: Mapping[str, str] = AIR_RULES, carried: Sequence[str] = ()
+) -> DataFrame:
+    """Valid air rows with zone and hour, in the nine silver columns, with columns to be carried."""
     staged = with_air_zone(with_air_hour(valid_air(raw, rules)))
-    return staged.select("zone", "hour", *AIR_METRICS, *DATE_KEYS)
+    return staged.select("zone", "hour", *AIR_METRICS, *carried, *DATE_KEYS)
 
 
 def conform_traffic(
     raw: DataFrame,
     mapping: Mapping[str, str] | DataFrame = ZONE_MAPPING,
     rules: Mapping[str, str] = TRAFFIC_RULES,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """Valid traffic rows with mapped zone, hour and a numeric count. The ingest date is kept for
     partitioning only; the silver join does not use it."""
@@ -82,5 +85,6 @@ def conform_traffic(
         "zone",
         "hour",
         F.col("debit_horaire").try_cast("double").alias("debit_horaire"),
+        *carried,
         *DATE_KEYS,
     )

@@ -71,3 +71,27 @@ def rule_counts(raw: DataFrame, name: str, rules: Mapping[str, str]) -> tuple[Da
         for rule_name, rule in rules.items()
     ]
     return raw.observe(metric, *failed), metric
+
+
+#: What a checked table holds besides its own columns.
+FAILED, RAW_ROW, REJECTED = "failed_rules", "raw_row", "rejected"
+
+
+def failed_rules(rules: Mapping[str, str]) -> Column:
+    """A bit for each rule, in their order, that is set where the rule is not true."""
+    mask = F.lit(0).cast("long")
+    for bit, rule in enumerate(rules.values()):
+        mask = mask.bitwiseOR(F.when(F.coalesce(F.expr(rule), F.lit(False)), 0).otherwise(1 << bit).cast("long"))
+    return mask
+
+
+def rules_of_mask(mask: int, rules: Mapping[str, str]) -> list[str]:
+    return [name for bit, name in enumerate(rules) if mask >> bit & 1]
+
+
+def checked(raw: DataFrame, rules: Mapping[str, str]) -> DataFrame:
+    """All rows with the mask of rules they fail; rejected ones carry themselves as they were."""
+    rejected = F.col(FAILED) != 0
+    return raw.withColumn(FAILED, failed_rules(rules)).withColumns(
+        {REJECTED: rejected, RAW_ROW: F.when(rejected, F.struct(*raw.columns))}
+    )

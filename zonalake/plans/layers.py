@@ -11,6 +11,8 @@ from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from zonalake.fixed_values import AIR_RULES, TRAFFIC_RULES, ZONE_MAPPING
 from zonalake.operators.cells import (
@@ -22,11 +24,11 @@ from zonalake.operators.cells import (
 )
 from zonalake.operators.conform import conform_air, conform_traffic
 from zonalake.operators.pairing import PAIRS_PER_BLOCK, silver_join
-from zonalake.operators.quality import rule_counts
+from zonalake.operators.quality import FAILED, RAW_ROW, REJECTED, checked, rule_counts
 from zonalake.operators.staging import drop_reingested, stamp_ingest_date
 from zonalake.plans.gold import in_order, pollution_mart, traffic_mart, traffic_pollution_mart
 from zonalake.plans.reingest import build_index, rows_of_day
-from zonalake.schemas import AIR_TIME, RAW_AIR, RAW_TRAFFIC, SILVER_AIR, SILVER_TRAFFIC, TRAFFIC_TIME
+from zonalake.schemas import AIR_TIME, DATE_KEYS, RAW_AIR, RAW_TRAFFIC, SILVER_AIR, SILVER_TRAFFIC, TRAFFIC_TIME
 from zonalake.session import settle
 from zonalake.sinks import counted, write_day, write_lake
 from zonalake.sources import read_lake
@@ -91,9 +93,70 @@ def refine(
     return rows
 
 
+def checked_path(silver_path: str, side: str) -> str:
+    """Where `refine_with_quarantine` keeps a side: by ingest date, and in it by whether a row was rejected."""
+    return f"{silver_path}/{side}_checked"
+
+
+def checked_sides(
+    raw_air: DataFrame, raw_traffic: DataFrame, mapping: Mapping[str, str] | DataFrame = ZONE_MAPPING
+) -> dict[str, DataFrame]:
+    """Both conformed sides with all their rows: each has the mask of failed rules, and rejected ones the
+    raw row."""
+    carried = (FAILED, RAW_ROW, REJECTED)
+    return {
+        "air": conform_air(checked(raw_air, AIR_RULES), {}, carried),
+        "traffic": conform_traffic(checked(raw_traffic, TRAFFIC_RULES), mapping, {}, carried),
+    }
+
+
+def refine_with_quarantine(
+    spark: SparkSession,
+    air_path: str,
+    traffic_path: str,
+    silver_path: str,
+    day: date | None = None,
+    mapping: Mapping[str, str] | DataFrame = ZONE_MAPPING,
+) -> dict[str, int]:
+    """As `refine`, but rows that fail a rule are kept beside the good ones, by one write of one scan.
+
+    The rules cannot reach the scan then. `accepted_rows` and `rejected_rows` read the two kinds.
+    """
+    raws = read_lake(spark, air_path, RAW_AIR, day), read_lake(spark, traffic_path, RAW_TRAFFIC, day)
+    rows = {}
+    for side, df in checked_sides(*raws, mapping).items():
+        path = checked_path(silver_path, side)
+        if day:
+            rows[side] = write_day(df, path, day, [REJECTED])
+        else:
+            rows[side] = write_lake(df, path, keys=[*DATE_KEYS, REJECTED], whole=True)
+    return rows
+
+
+def _by_kind(spark: SparkSession, silver_path: str, side: str, day: date | None, rejected: bool) -> DataFrame:
+    silver, raw = (SILVER_AIR, RAW_AIR) if side == "air" else (SILVER_TRAFFIC, RAW_TRAFFIC)
+    schema = StructType([*silver.fields]).add(FAILED, "long").add(RAW_ROW, raw).add(REJECTED, "boolean")
+    kind = F.col(REJECTED) if rejected else ~F.col(REJECTED)
+    return read_lake(spark, checked_path(silver_path, side), schema, day).filter(kind)
+
+
+def accepted_rows(spark: SparkSession, silver_path: str, side: str, day: date | None = None) -> DataFrame:
+    """The rows of a silver side (`air` or `traffic`); files of rejected rows are not read."""
+    silver = SILVER_AIR if side == "air" else SILVER_TRAFFIC
+    return _by_kind(spark, silver_path, side, day, False).select(*silver.fieldNames())
+
+
+def rejected_rows(spark: SparkSession, silver_path: str, side: str, day: date | None = None) -> DataFrame:
+    """Raw rows that failed a rule, with the mask of the rules (see `quality.rules_of_mask`)."""
+    return _by_kind(spark, silver_path, side, day, True).select(f"{RAW_ROW}.*", FAILED)
+
+
 def silver_sides(
-    spark: SparkSession, silver_path: str, day: date | None = None
+    spark: SparkSession, silver_path: str, day: date | None = None, quarantine: bool = False
 ) -> tuple[DataFrame, DataFrame]:
+    """Both sides; with `quarantine` the accepted rows of what `refine_with_quarantine` wrote."""
+    if quarantine:
+        return tuple(accepted_rows(spark, silver_path, side, day) for side in ("air", "traffic"))
     return (
         read_lake(spark, f"{silver_path}/air", SILVER_AIR, day),
         read_lake(spark, f"{silver_path}/traffic", SILVER_TRAFFIC, day),

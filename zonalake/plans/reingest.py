@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -27,7 +26,7 @@ from zonalake.operators.rowindex import (
     number_of,
 )
 from zonalake.schemas import DATE_KEYS
-from zonalake.session import settle
+from zonalake.session import path_exists, settle
 from zonalake.sinks import write_day, write_lake
 from zonalake.sources import read_lake
 from zonalake.sources.files import on_date
@@ -44,12 +43,9 @@ class DayRows:
 
 
 def _read(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _files(df: DataFrame) -> Iterable[tuple[date, int]]:

@@ -204,6 +204,14 @@ def oracle_sql() -> dict[str, str]:
             AND humidity BETWEEN 0 AND 100 AND latitude BETWEEN -90 AND 90""",
         "validate_traffic": f"""SELECT *, {INGEST_DATE} FROM ({TRAFFIC_CSV})
             WHERE CAST(debit_horaire AS DOUBLE) >= 0 AND etat_arc = 'Ouvert'""",
+        "rejected_air": f"""SELECT * FROM (SELECT *, CAST(
+              (CASE WHEN pollution_value IS NOT NULL THEN 0 ELSE 1 END)
+              + (CASE WHEN coalesce(isfinite(pollution_value), true) THEN 0 ELSE 2 END)
+              + (CASE WHEN air_quality_index >= 0 THEN 0 ELSE 4 END)
+              + (CASE WHEN temperature BETWEEN -50 AND 60 THEN 0 ELSE 8 END)
+              + (CASE WHEN humidity BETWEEN 0 AND 100 THEN 0 ELSE 16 END)
+              + (CASE WHEN latitude BETWEEN -90 AND 90 THEN 0 ELSE 32 END) AS BIGINT) AS failed_rules
+            FROM ({RAW_AIR})) WHERE failed_rules <> 0""",
         "quality_report": QUALITY,
         "silver_join": f"{SILVER} SELECT * FROM s",
         "silver_view": f"{SILVER} SELECT * FROM s",
@@ -235,6 +243,8 @@ def oracle_sql() -> dict[str, str]:
             ORDER BY avg_pollution DESC, zone, year, month, day LIMIT 10 OFFSET 10""",
         "traffic_page": f"""{MARTS} SELECT * FROM m WHERE zone = 'click'
             ORDER BY avg_traffic DESC, zone, hour, year, month, day LIMIT 20 OFFSET 20""",
+        "traffic_page_after": f"""{MARTS} SELECT * FROM m WHERE zone = 'click'
+            ORDER BY avg_traffic DESC, zone, hour, year, month, day LIMIT 20 OFFSET 20""",
         "traffic_pollution_page": f"""{MARTS} SELECT * FROM b WHERE traffic_level = 'High Traffic'
             ORDER BY avg_traffic DESC, zone, hour, year, month, day LIMIT 50 OFFSET 100""",
         "pollution_summary": f"""{MARTS} SELECT zone, {_mean("avg_pollution")},

@@ -13,7 +13,7 @@ from zonalake.functions import rounded, traffic_level
 from zonalake.operators import cells as cell_ops
 from zonalake.operators import conform, pairing, quality, rolling, staging
 from zonalake.plans import dashboard, gold, layers, metrics, pages, reingest, summaries
-from zonalake.schemas import AIR_TIME, RAW_AIR, RAW_TRAFFIC, SILVER, TRAFFIC_CSV
+from zonalake.schemas import AIR_TIME, DATE_KEYS, RAW_AIR, RAW_TRAFFIC, SILVER, TRAFFIC_CSV
 from zonalake.session import settle, work_path
 from zonalake.sinks import silver_view_sql, write_lake
 from zonalake.sources import read_lake, read_traffic_csv
@@ -162,6 +162,16 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rejected_air(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that validation rejects, read back from the quarantine that one write filled."""
+    path = work_path(spark, "quarantine")
+    air = layers.checked_sides(
+        standin.raw_air(spark, sf_dir), standin.raw_traffic(spark, sf_dir), standin.MAPPING
+    )["air"]
+    write_lake(air, layers.checked_path(path, "air"), keys=[*DATE_KEYS, quality.REJECTED], rebalance=True)
+    return layers.rejected_rows(spark, path, "air")
+
+
 # --- silver
 
 
@@ -206,6 +216,18 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- pages
+
+
+def traffic_page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second page by the cursor of the first."""
+    mart = settle(_traffic_mart(spark, sf_dir), "traffic")
+    first = pages.cursor_reply(pages.traffic_page(mart, zone="click"), pages.TRAFFIC_ORDER, 20)
+    if first["next"] is None:
+        return mart.limit(0)
+    return pages.traffic_page(mart, zone="click", after=first["next"])
+
+
 # --- gold
 
 
@@ -261,6 +283,7 @@ def queries() -> dict[str, Query]:
         "validate_air": validate_air,
         "validate_traffic": validate_traffic,
         "quality_report": quality_report,
+        "rejected_air": rejected_air,
         "silver_join": silver_join,
         "silver_view": silver_view,
         "silver_digest": _over(_cells, gold.silver_digest),
@@ -278,6 +301,7 @@ def queries() -> dict[str, Query]:
         "traffic_page": _over(
             _traffic_mart, lambda mart: pages.traffic_page(mart, page=2, zone="click")
         ),
+        "traffic_page_after": traffic_page_after,
         "traffic_pollution_page": _over(
             _traffic_pollution,
             lambda mart: pages.traffic_pollution_page(

@@ -45,6 +45,12 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, asked of the file system that Spark writes to."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark._jsc.hadoopConfiguration()).exists(own)
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder. Its parent is deleted when the session's JVM ends."""
     parent = f"{shared_root(spark)}/zonalake-{label}-{uuid.uuid4().hex}"

@@ -42,10 +42,10 @@ def write_lake(
     return metric.get.get("rows", 0)
 
 
-def write_day(df: DataFrame, path: str, day: date) -> int:
-    """Replace the partition of one ingest date and return the rows written. Needs no shuffle, and
-    a batch without rows empties the partition rather than leaving old rows in it."""
+def write_day(df: DataFrame, path: str, day: date, keys: list[str] | None = None) -> int:
+    """Replace the partition of one ingest date, laid out by `keys` inside, and return the rows written.
+    Needs no shuffle, and a batch without rows empties the partition rather than leaving old rows in it."""
     out, metric = counted(df.drop(*DATE_KEYS))
     partition = f"{path}/year={day.year}/month={day.month}/day={day.day}"
-    out.write.mode("overwrite").parquet(partition)
+    out.write.mode("overwrite").partitionBy(*keys or ()).parquet(partition)
     return metric.get.get("rows", 0)
