@@ -83,6 +83,19 @@ def test_near_copies(documents):
     assert bag(found) == plain_components(cases())
 
 
+def test_rows_of_one_id_are_one_document(documents):
+    """An id that stands in two groups joins them, whichever of its rows comes first."""
+    a, b = prose(41, 40), prose(42, 40)
+    rows = [(1, a), (2, b), (3, a), (3, b), (4, prose(43, 40)), (5, prose(43, 40)), (5, prose(44, 9))]
+    assert bag(neardup.near_components(documents(rows)).collect()) == plain_components(rows)
+
+
+def test_the_row_that_stays_does_not_depend_on_order(documents):
+    rows = [(1, prose(i, 30)) for i in range(8)] + [(1, None)]
+    found = {neardup.first_of_groups(documents(rows[i:] + rows[:i])).first().text for i in range(3)}
+    assert len(found) == 1
+
+
 def test_one_row_of_each_group_stays(documents):
     docs = documents(cases(), extra=True)
     kept = neardup.first_of_groups(docs)
@@ -615,3 +628,47 @@ def test_new_operators_on_empty_tables(documents):
     path = tokenizer_path("piece_bpe_32k.model")
     for found in (periodic.run_report(empty), phrases.collocations(empty), pieces.piece_report(empty, path)):
         assert found.collect() == []
+
+
+# -- tasks that read what others wrote ------------------------------------------------------------
+def test_packages_and_shards_are_read_by_as_many_tasks(spark, documents):
+    pages_of = spark.createDataFrame([(i, "http://h/", f"<p>{i}</p>") for i in range(40)], PAGE).repartition(5)
+    packages = warc.write_packages(pages_of)
+    read = warc.read_packages(packages)
+    assert packages.count() == 5 == read.rdd.getNumPartitions() and read.count() == 40
+    docs = documents([(i, prose(i, 5)) for i in range(40)])
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shards = tokens.write_shards(docs, tokenizer_path())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert shards.count() > 4
+    found = tokens.read_shards(shards)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert f"{shards.count()}), REPARTITION_BY_NUM" in plan and found.count() == 40
+
+
+def test_encoder_forgets_and_looks_at_the_pre_tokenizer(monkeypatch, tmp_path):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 30)
+    texts = [prose(i, 40) for i in range(40)] + ["don't  stop\n\nnow", "y" * 300]
+    spaced = Tokenizer.from_file(tokenizer_path()).to_str().replace('"add_prefix_space":false', '"add_prefix_space":true')
+    (tmp_path / "spaced.json").write_text(spaced)
+    for path in (tokenizer_path(), str(tmp_path / "spaced.json"), tokenizer_path("word_bpe_49k.json")):
+        coder, plain = tokens.Encoder(path), Tokenizer.from_file(path)
+        for at in range(0, len(texts), 7):
+            wanted = [e.ids + [0] for e in plain.encode_batch(texts[at : at + 7], add_special_tokens=False)]
+            found = [np.frombuffer(ids, coder.dtype).tolist() for ids in coder.encode(texts[at : at + 7])]
+            assert found == wanted
+        assert len(coder.pieces.recent) < 400
+
+
+def test_powers_of_long_texts_are_not_kept():
+    from zonalake.llm import hashing
+
+    hashing.powers(0, hashing.KEPT + 5)
+    up, down = hashing.powers(0, 100)
+    assert all(len(x) <= hashing.KEPT for tables in hashing._powers.values() for x in tables)
+    assert (up * down == 1).all()

@@ -14,6 +14,8 @@ import numpy as np
 
 U64 = np.uint64
 SHINGLE = 5
+#: Powers of a base that a worker keeps: 16 MB for each base.
+KEPT = 1 << 20
 
 _rng = np.random.default_rng(20240611)
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -33,16 +35,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+def _tables(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    tables = []
+    for value in (_BASES[base], pow(_BASES[base], -1, 2**64)):
+        steps = np.full(size, U64(value))
+        steps[0] = 1
+        tables.append(np.cumprod(steps))
+    return tables[0], tables[1]
+
+
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first `n` powers of a base and of its inverse; the tables grow as needed."""
+    """The first `n` powers of a base and of its inverse. Tables of up to KEPT powers stay in the worker;
+    those for a longer text go with it."""
+    if n > KEPT:
+        return _tables(base, n)
     if base not in _powers or len(_powers[base][0]) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
-        tables = []
-        for value in (_BASES[base], pow(_BASES[base], -1, 2**64)):
-            steps = np.full(size, U64(value))
-            steps[0] = 1
-            tables.append(np.cumprod(steps))
-        _powers[base] = (tables[0], tables[1])
+        _powers[base] = _tables(base, max(1 << 16, 1 << (n - 1).bit_length()))
     up, down = _powers[base]
     return up[:n], down[:n]
 

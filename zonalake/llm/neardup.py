@@ -242,7 +242,11 @@ def near_components(docs: DataFrame) -> DataFrame:
     apart &= F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
     apart &= _is_link(F.col("x.shingles"), F.col("y.shingles"))
     last = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    final = settle(components(links.unionByName(last)), "near-components")
+    # Rows of one id are one document, so the classes that it stands in belong together.
+    shared = rows.groupBy(F.col("id").alias("own")).agg(F.min("node").alias("a"), F.max("node").alias("top"))
+    shared = shared.where(F.col("a") < F.col("top")).join(rows, F.col("own") == F.col("id"))
+    shared = shared.where(F.col("a") < F.col("node")).select("a", F.col("node").alias("b")).distinct()
+    final = settle(components(links.unionByName(last).unionByName(shared)), "near-components")
 
     own = rows.join(final, "node", "left").select(
         "id", "n", F.coalesce("component", "node", "id").alias("component")
@@ -260,7 +264,7 @@ def near_components(docs: DataFrame) -> DataFrame:
 def first_of_groups(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, one of each component, with all columns.
 
-    Where several rows carry the id that stays, one of them does.
+    Where several rows carry the id that stays, the one whose columns have the smallest hash does.
     """
     kept = near_components(docs).where("kept").groupBy(F.col("doc_id").alias("__near_id"))
     kept = settle(kept.agg(F.count(F.lit(1)).alias("__near_rows")), "near-kept")
@@ -269,4 +273,7 @@ def first_of_groups(docs: DataFrame) -> DataFrame:
     several = kept.where(F.col("__near_rows") > 1)
     if several.isEmpty():
         return once
-    return once.unionByName(docs.join(several, same, "left_semi").dropDuplicates(["doc_id"]))
+    marked = [x for c in docs.columns for x in (F.col(c), F.col(c).isNull())]
+    first = F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64(*marked), "text")).alias("row")
+    rest = docs.join(several, same, "left_semi").groupBy("doc_id").agg(first).select("row.*")
+    return once.unionByName(rest)

@@ -173,9 +173,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         best = usable.where(F.col("good") == label).orderBy(digest, "id").limit(ROWS_PER_CLASS)
         chosen = best if chosen is None else chosen.unionByName(best)
     chosen = settle(chosen.withColumn("half", F.pmod(digest, F.lit(2))), "quality-sample")
-    # At most 2 * ROWS_PER_CLASS ids go out; one row of each id is enough.
+    # At most 2 * ROWS_PER_CLASS ids go out; of the rows of an id that with the smallest hash learns.
     texts = docs.select(key.alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    texts = texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"])
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
+    texts = texts.join(F.broadcast(chosen), "id").groupBy("id", "good", "half").agg(first)
+    texts = texts.select("id", "good", "half", "first.text")
     texts = settle(texts, "quality-texts")
 
     for_dictionaries = texts.where(F.col("half") == 0).select("id", "good", "text")

@@ -18,10 +18,11 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,17 +32,20 @@ from pyspark.sql import functions as F
 
 from zonalake.llm.files import new_file, ranges, shared_folder
 from zonalake.llm.hashing import U64, mixed
+from zonalake.llm.wordcodes import groups
 from zonalake.session import settle
 
 END_ID = 0
 NO_ID = -(2**63)
 MAGIC = b"ZTOK0001"
 FOOTER = struct.Struct("<8sQQQQQQ")
-#: Words whose ids a worker remembers.
-REMEMBERED = 300_000
-#: Unknown words that are encoded in one call.
+#: Words whose ids a worker remembers, in each of two generations.
+REMEMBERED = 200_000
+#: The longest word that is remembered beyond its group of texts, in characters.
+LONGEST = 64
+#: Unknown words that are encoded in one call, and bytes of texts that are encoded at once.
 AT_ONCE = 100
-TEXTS_AT_ONCE = 256
+BYTES_AT_ONCE = 1 << 20
 MANIFEST = "shard int, path string, n_docs bigint, n_ids bigint"
 READ = "shard int, slot bigint, doc_id bigint, first bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -67,6 +71,45 @@ def _is_unusual(text: str) -> bool:
         return _UNUSUAL.search(text) is not None
 
 
+def _cuts_at_words(path: str) -> bool:
+    """Whether the tokenizer of this file cuts texts as `Encoder` assumes: byte-level with its own
+    expression, no space put before a text, and no normalisation."""
+    with open(path, encoding="utf-8") as file:
+        own = json.load(file)
+    cut = own.get("pre_tokenizer") or {}
+    return (
+        own.get("normalizer") is None
+        and own["model"]["type"] == "BPE"
+        and cut.get("type") == "ByteLevel"
+        and not cut.get("add_prefix_space")
+        and cut.get("use_regex", True)
+    )
+
+
+class Memory:
+    """Ids of words in two generations: a word that is used again goes into the recent one. When that is
+    full it becomes the older one, so that only what has not been used for a while is forgotten."""
+
+    def __init__(self, most: int):
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.most = most
+
+    def missing(self, wanted: set[str]) -> set[str]:
+        """Wanted words whose ids are not known; all others are in `recent` from here on."""
+        if len(self.recent) > self.most:
+            self.older, self.recent = self.recent, {}
+        new, older = wanted.difference(self.recent), self.older
+        back = [word for word in new if word in older]
+        self.recent.update((word, older[word]) for word in back)
+        return new.difference(back)
+
+    def forget_long(self, words: Iterable[str]) -> None:
+        for word in words:
+            if len(word) > LONGEST:
+                self.recent.pop(word, None)
+
+
 class Encoder:
     """A byte-level BPE tokenizer that remembers the ids of words.
 
@@ -83,8 +126,9 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
         self.line_end = self._ids(["\n"])[0]
-        self.known: dict[str, bytes] = {}  # pieces
-        self.after_space: dict[str, bytes] = {}  # what stands between two spaces
+        self.pieces = Memory(REMEMBERED)
+        self.after_space = Memory(REMEMBERED)  # what stands between two spaces
+        self.by_words = _cuts_at_words(path)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -92,9 +136,10 @@ class Encoder:
 
     def _learn(self, pieces: list[str]) -> None:
         """Words go through the tokenizer as lines of one text, other pieces one by one."""
+        known = self.pieces.recent
         lines = [p for p in pieces if p[0] == "\n" and p[1:].isalpha()]
         words = {p for p in pieces if p[0] != "\n" and p.lstrip(" ").isalpha()}
-        words = sorted(words | {p[1:] for p in lines if p[1:] not in self.known})
+        words = sorted(words | {p[1:] for p in lines if p[1:] not in known})
         for begin in range(0, len(words), AT_ONCE):
             part = words[begin : begin + AT_ONCE]
             ids = self._ids(["\n" + "\n".join(part)])[0]
@@ -103,22 +148,22 @@ class Encoder:
                 ends = np.append(cuts[1:], len(ids))
                 data, width = ids.tobytes(), self.width
                 for word, a, b in zip(part, (cuts + 1).tolist(), ends.tolist(), strict=True):
-                    self.known[word] = data[a * width : b * width]
+                    known[word] = data[a * width : b * width]
         for line in lines:
-            if line[1:] in self.known:
-                self.known[line] = self.line_end.tobytes() + self.known[line[1:]]
-        rest = [p for p in pieces if p not in self.known]
-        self.known.update(zip(rest, (i.tobytes() for i in self._ids(rest)), strict=True))
+            if line[1:] in known:
+                known[line] = self.line_end.tobytes() + known[line[1:]]
+        rest = [p for p in pieces if p not in known]
+        known.update(zip(rest, (i.tobytes() for i in self._ids(rest)), strict=True))
 
     def _by_pieces(self, texts: list[str]) -> list[bytes]:
         cut = [_PIECES.findall(t) for t in texts]
-        missing = {p for pieces in cut for p in pieces if p not in self.known}
-        if len(self.known) + len(missing) > REMEMBERED:
-            self.known.clear()
-            missing = {p for pieces in cut for p in pieces}
-        self._learn(sorted(missing))
-        known = self.known.__getitem__
-        return [b"".join(map(known, pieces)) for pieces in cut]
+        wanted = set().union(*cut)
+        new = self.pieces.missing(wanted)
+        self._learn(sorted(new))
+        known = self.pieces.recent.__getitem__
+        out = [known(pieces[0]) if len(pieces) == 1 else b"".join(map(known, pieces)) for pieces in cut]
+        self.pieces.forget_long(new)
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with the end id, as bytes.
@@ -126,23 +171,20 @@ class Encoder:
         Between single spaces a text is made of few different strings, which are looked up whole.
         """
         end = np.array([END_ID], dtype=self.dtype).tobytes()
-        whole = [_is_unusual(t) for t in texts]
+        whole = [not self.by_words or _is_unusual(t) for t in texts]
         spaced = [None if w or "  " in t else t.split(" ") for t, w in zip(texts, whole, strict=True)]
         tops = [parts.pop(0) if parts else "" if w else t for t, w, parts in zip(texts, whole, spaced, strict=True)]
         wanted = set().union(*(parts for parts in spaced if parts))
-        missing = wanted.difference(self.after_space)
-        if len(self.after_space) + len(missing) > REMEMBERED:
-            self.after_space.clear()
-            missing = wanted
-        new = sorted(missing)
-        self.after_space.update(zip(new, self._by_pieces([f" {p}" for p in new]), strict=True))
+        new = sorted(self.after_space.missing(wanted))
+        self.after_space.recent.update(zip(new, self._by_pieces([f" {p}" for p in new]), strict=True))
         tops = self._by_pieces(tops)
-        known, out = self.after_space.__getitem__, []
+        known, out = self.after_space.recent.__getitem__, []
         for text, is_whole, parts, top in zip(texts, whole, spaced, tops, strict=True):
             if is_whole:
                 out.append(self._ids([text])[0].tobytes() + end)
             else:
                 out.append(top + b"".join(map(known, parts or ())) + end)
+        self.after_space.forget_long(new)
         return out
 
 
@@ -313,8 +355,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             writer = ShardWriter(out, coder.width)
             batch = first
             while batch is not None:
-                for begin in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                    part = batch.slice(begin, TEXTS_AT_ONCE)
+                for part in groups(batch, most=BYTES_AT_ONCE):
                     texts = [t or "" for t in part.column("text").to_pylist()]
                     keys = part.column("id").to_pylist()
                     for key, ids in zip(keys, coder.encode(texts), strict=True):
@@ -363,7 +404,9 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
     placed = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
     bases = settle(placed, "token-bases")
-    found = bases.select("shard", "path").repartition("shard").mapInArrow(_read_shards, READ)
+    # As many tasks as shards; their number is given, as a few paths would else be put into one task.
+    paths = bases.select("shard", "path")
+    found = paths.repartition(max(1, paths.count()), "shard").mapInArrow(_read_shards, READ)
     return found.join(bases.select("shard", "base"), "shard").select(
         F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"),
         (F.col("base") + F.col("first")).alias("start"),

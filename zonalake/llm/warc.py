@@ -198,8 +198,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_packages(packages: DataFrame) -> DataFrame:
-    """Every record of the packages, its payload checked against its digest."""
-    return packages.select("path").repartition("path").mapInArrow(_read, RECORD)
+    """Every record of the packages, its payload checked against its digest. There are as many tasks as
+    packages; their number is given, as a few paths would else be put into one task."""
+    paths = packages.select("path")
+    return paths.repartition(max(1, paths.count()), "path").mapInArrow(_read, RECORD)
 
 
 def warc_report(pages: DataFrame) -> DataFrame:
