@@ -672,3 +672,26 @@ def test_powers_of_long_texts_are_not_kept():
     up, down = hashing.powers(0, 100)
     assert all(len(x) <= hashing.KEPT for tables in hashing._powers.values() for x in tables)
     assert (up * down == 1).all()
+
+
+# -- attributes and nested articles ---------------------------------------------------------------
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ("<p title='hidden gems of Paris'>one</p>", "one"),
+        ("<p data-hidden='false'>one</p><p hidden>no</p><p aria-hidden=true>no</p>", "one"),
+        ("<div data-id='related'>one</div><div id=related>no</div>", "one"),
+        ("<p>see <a alt='aria hidden' href=x>link</a> here</p>", "see link here"),
+        ("<p>one</p><aside><article>related card</article></aside>", "one"),
+        ("<main>one</main><div class='sidebar'><article>teaser</article></div>", "one"),
+        ("<div class='content-share-of-market'><p>one</p></div>", "one"),
+        ("<div id='notice-of-meeting'><p>one</p></div><div class='cookie-notice'>no</div>", "one"),
+        ("<header><nav>menu<article><p>one</p></article>", "one"),
+        ("<div class='widget-box'><article>one</article></div>", "one"),
+        ("<article><p>one</p><div class=site-footer>no</div></article>", "one"),
+    ],
+)
+def test_attributes_and_nested_articles(html, expected):
+    found = markup.blocks(html)
+    best = markup.best_zone(found)
+    assert "\n".join(text for zone, text in found if zone == best) == expected
