@@ -366,6 +366,20 @@ def test_encoder_equals_the_tokenizer_on_odd_texts():
     assert coder.encode(texts) == [np.array([*e.ids, 0], coder.dtype).tobytes() for e in plain]
 
 
+def test_encoder_equals_the_tokenizer_on_random_strings():
+    """What stands at cuts: apostrophes, white space of all kinds, letters and numbers beyond ASCII."""
+    import random
+
+    some = ["a", "B", "zé", "é", "1", "23", "½", "'", "'s", "'ll", "'T", " ", "  ", "\n", "\n\n", " \n", "\t", "\r\n"]
+    some += [".", "!?", "(", "\u00a0", "\u2003", "\u3000", "\x85", "\u2028", "р", "а", "中", "文", "\u0301", "😀", "<|"]
+    some += ["<|endoftext|>", "_", "-", "\x1c", "\x00", "’", "“", " the", "word", "²", "x" * 5_000]
+    coder, draw = tokens.Encoder(tokenizer_path()), random.Random(11)
+    for _ in range(20):
+        texts = ["".join(draw.choice(some) for _ in range(draw.randint(0, 14))) for _ in range(200)]
+        plain = coder.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert coder.encode(texts) == [np.array([*e.ids, 0], coder.dtype).tobytes() for e in plain]
+
+
 # -- the pipeline ---------------------------------------------------------------------------------
 def test_pipeline_takes_every_decision(spark, tmp_path):
     """All stages against what the operators' plain forms say about the survivors of each."""

@@ -19,7 +19,6 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 import json
-import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -39,36 +38,62 @@ END_ID = 0
 NO_ID = -(2**63)
 MAGIC = b"ZTOK0001"
 FOOTER = struct.Struct("<8sQQQQQQ")
-#: Words whose ids a worker remembers, in each of two generations.
+#: Pieces whose ids a worker remembers, in each of two generations.
 REMEMBERED = 200_000
-#: The longest word that is remembered beyond its group of texts, in characters.
+#: The longest piece that is remembered beyond its group of texts, in bytes.
 LONGEST = 64
-#: Unknown words that are encoded in one call, and bytes of texts that are encoded at once.
+#: Unknown pieces that are encoded in one call, and bytes of texts that are encoded at once.
 AT_ONCE = 100
-BYTES_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 4 << 20
 MANIFEST = "shard int, path string, n_docs bigint, n_ids bigint"
 READ = "shard int, slot bigint, doc_id bigint, first bigint, n_tokens bigint, ids_crc32 bigint"
 
-#: What a text must not hold to be encoded by words: white space other than spaces and line ends, letters
-#: beyond the Latin blocks, numbers that are no digits, and what may be a special token.
-_UNUSUAL = re.compile(r"[^\n -~¡-ɏ‐-‧‰-⁞€]|[\xad²³¹¼½¾]|<\|")
-#: A word with the space or line end before it; or what stands between words. An apostrophe stays with what
-#: follows.
-_PIECES = re.compile(r"[ \n]?[^\W\d_]+|(?:'[^\W\d_]*|[^\w' \n]|[\d_]|[ \n](?![^\W\d_]))+")
+#: What bytes of UTF-8 stand for at a cut. BEHIND is the last byte of characters that are certainly no white
+#: space (no white space beyond ASCII ends in such a byte); no cut is made at the bytes left OPEN.
+OPEN, LETTER, DIGIT, SIGN, APOSTROPHE, BLANK, LINE, BEHIND = range(8)
 
 
-#: Latin-1 bytes that the expression above passes.
-_USUAL = bytes(
-    b for b in range(256) if b == 10 or 32 <= b < 127 or (b > 160 and chr(b) not in "\xad²³¹¼½¾")
-)
+def _classes() -> np.ndarray:
+    table = np.zeros(256, np.uint8)
+    table[0x21:0x7F] = SIGN
+    table[list(range(0x41, 0x5B)) + list(range(0x61, 0x7B))] = LETTER
+    table[0x30:0x3A] = DIGIT
+    table[0x27], table[0x20], table[0x0A] = APOSTROPHE, BLANK, LINE
+    white = {chr(c).encode()[-1] for c in range(0x80, 0x10000) if chr(c).isspace()}
+    table[[b for b in range(0x80, 0xC0) if b not in white]] = BEHIND
+    return table
 
 
-def _is_unusual(text: str) -> bool:
-    """Whether the text has to be encoded in one piece; quick for texts in Latin-1."""
-    try:
-        return bool(text.encode("latin-1").translate(None, _USUAL)) or "<|" in text
-    except UnicodeEncodeError:
-        return _UNUSUAL.search(text) is not None
+def _cut_table() -> np.ndarray:
+    """Whether the tokenizer cuts between bytes of two classes, wherever they stand, at 8 * first + second.
+
+    It cuts before white space that follows anything else, and where a run of letters, digits or signs
+    ends; an apostrophe may go with the letters or signs around it.
+    """
+    table = np.zeros(64, bool)
+    for first in (LETTER, DIGIT, SIGN, APOSTROPHE, BEHIND):
+        table[[8 * first + BLANK, 8 * first + LINE]] = True
+    table[[8 * LETTER + x for x in (DIGIT, SIGN, APOSTROPHE)]] = True
+    table[[8 * DIGIT + x for x in (LETTER, SIGN, APOSTROPHE)]] = True
+    table[[8 * SIGN + x for x in (LETTER, DIGIT)]] = True
+    table[8 * APOSTROPHE + DIGIT] = True
+    return table
+
+
+_CLASS, _CUT = _classes(), _cut_table()
+
+
+def piece_starts(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where pieces begin that can be encoded one by one, in the UTF-8 of texts that begin at `texts`."""
+    kind = _CLASS[data]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = _CUT[(kind[:-1] << 3) | kind[1:]]
+    # A single line end between two pieces is one of its own.
+    line = np.flatnonzero(cut[:-1] & (kind[:-1] == LINE))
+    after = kind[line + 1]
+    cut[line[(after >= LETTER) & (after <= APOSTROPHE)] + 1] = True
+    cut[texts[texts < len(data)]] = True
+    return np.flatnonzero(cut)
 
 
 def _cuts_at_words(path: str) -> bool:
@@ -86,37 +111,47 @@ def _cuts_at_words(path: str) -> bool:
     )
 
 
+def _is_line(piece: bytes) -> bool:
+    """Whether the piece has no white space but one space in front."""
+    bare = piece.removeprefix(b" ")
+    return bare.isalnum() or bare.decode().split() == [bare.decode()]
+
+
 class Memory:
-    """Ids of words in two generations: a word that is used again goes into the recent one. When that is
+    """Ids of pieces in two generations: a piece that is used again goes into the recent one. When that is
     full it becomes the older one, so that only what has not been used for a while is forgotten."""
 
     def __init__(self, most: int):
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.most = most
 
-    def missing(self, wanted: set[str]) -> set[str]:
-        """Wanted words whose ids are not known; all others are in `recent` from here on."""
+    def missing(self, wanted: list[bytes]) -> list[bytes]:
+        """Wanted pieces whose ids are not known; all others are in `recent` from here on."""
         if len(self.recent) > self.most:
             self.older, self.recent = self.recent, {}
-        new, older = wanted.difference(self.recent), self.older
-        back = [word for word in new if word in older]
-        self.recent.update((word, older[word]) for word in back)
-        return new.difference(back)
+        recent, older, new = self.recent, self.older, []
+        for piece in wanted:
+            if piece not in recent:
+                if piece in older:
+                    recent[piece] = older[piece]
+                else:
+                    new.append(piece)
+        return new
 
-    def forget_long(self, words: Iterable[str]) -> None:
-        for word in words:
-            if len(word) > LONGEST:
-                self.recent.pop(word, None)
+    def forget_long(self, pieces: Iterable[bytes]) -> None:
+        for piece in pieces:
+            if len(piece) > LONGEST:
+                self.recent.pop(piece, None)
 
 
 class Encoder:
-    """A byte-level BPE tokenizer that remembers the ids of words.
+    """A byte-level BPE tokenizer that remembers the ids of pieces.
 
-    Such a tokenizer first cuts a text before a word, with the space that precedes it, and after a word,
-    except behind an apostrophe; it never merges across a cut. A line end before a word is a piece of its
-    own to it. So a text's ids are those of its pieces.
-    Where that is not certain the text is encoded as a whole.
+    Such a tokenizer first cuts a text and never merges across a cut. `piece_starts` finds most of its cuts
+    from the bytes on either side, for a group of texts at once; the distinct pieces between them are
+    encoded by the library, and the ids of all pieces are gathered by their numbers. Texts with a special
+    token, and all texts of another tokenizer, are encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -127,65 +162,86 @@ class Encoder:
         self.dtype = np.dtype(f"<u{self.width}")
         self.line_end = self._ids(["\n"])[0]
         self.pieces = Memory(REMEMBERED)
-        self.after_space = Memory(REMEMBERED)  # what stands between two spaces
-        self.by_words = _cuts_at_words(path)
+        self.by_pieces = _cuts_at_words(path)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [token.content.encode() for token in added if token.content]
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype) for e in found]
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Words go through the tokenizer as lines of one text, other pieces one by one."""
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Pieces go through the tokenizer as lines of one text, those with white space inside one by one."""
         known = self.pieces.recent
-        lines = [p for p in pieces if p[0] == "\n" and p[1:].isalpha()]
-        words = {p for p in pieces if p[0] != "\n" and p.lstrip(" ").isalpha()}
-        words = sorted(words | {p[1:] for p in lines if p[1:] not in known})
+        words = [p for p in pieces if _is_line(p)]
         for begin in range(0, len(words), AT_ONCE):
             part = words[begin : begin + AT_ONCE]
-            ids = self._ids(["\n" + "\n".join(part)])[0]
+            ids = self._ids(["\n" + b"\n".join(part).decode()])[0]
             cuts = np.flatnonzero(ids == self.line_end[0])
             if len(self.line_end) == 1 and len(cuts) == len(part):
                 ends = np.append(cuts[1:], len(ids))
                 data, width = ids.tobytes(), self.width
                 for word, a, b in zip(part, (cuts + 1).tolist(), ends.tolist(), strict=True):
                     known[word] = data[a * width : b * width]
-        for line in lines:
-            if line[1:] in known:
-                known[line] = self.line_end.tobytes() + known[line[1:]]
         rest = [p for p in pieces if p not in known]
-        known.update(zip(rest, (i.tobytes() for i in self._ids(rest)), strict=True))
-
-    def _by_pieces(self, texts: list[str]) -> list[bytes]:
-        cut = [_PIECES.findall(t) for t in texts]
-        wanted = set().union(*cut)
+        for begin in range(0, len(rest), 100 * AT_ONCE):
+            part = rest[begin : begin + 100 * AT_ONCE]
+            known.update(zip(part, (i.tobytes() for i in self._ids([p.decode() for p in part])), strict=True))
+
+    def _of_pieces(self, column: pa.LargeStringArray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and where each text's ids begin and end."""
+        _, offsets, data = column.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + n + 1]
+        if offsets[-1] == offsets[0]:
+            return np.zeros(0, self.dtype), np.zeros(n + 1, np.int64)
+        data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        starts = piece_starts(data, offsets[:-1])
+        places = np.append(starts, len(data))
+        pieces = pa.Array.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data)]
+        ).dictionary_encode()
+        wanted = pieces.dictionary.to_pylist()
         new = self.pieces.missing(wanted)
-        self._learn(sorted(new))
-        known = self.pieces.recent.__getitem__
-        out = [known(pieces[0]) if len(pieces) == 1 else b"".join(map(known, pieces)) for pieces in cut]
+        self._learn(new)
+        known = self.pieces.recent
+        found = [known[piece] for piece in wanted]
         self.pieces.forget_long(new)
+        ids = np.frombuffer(b"".join(found), self.dtype)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        begins = np.cumsum(sizes) - sizes
+        codes = pieces.indices.to_numpy(zero_copy_only=False)
+        lengths = sizes[codes]
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1]) + np.repeat(begins[codes] - (ends - lengths), lengths)
+        return ids[at], np.append(0, ends)[np.searchsorted(starts, offsets)]
+
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Ids of each text with the end id, as bytes; null counts as empty."""
+        column = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        column = column.fill_null("")
+        end = np.array([END_ID], dtype=self.dtype).tobytes()
+        whole = self._whole(column)
+        plain = column if not whole else column.take(pa.array(sorted(set(range(len(column))) - set(whole)), pa.int64()))
+        ids, places = self._of_pieces(plain, len(plain))
+        data, width = ids.tobytes(), self.width
+        places = (places * width).tolist()
+        out = [data[a:b] + end for a, b in zip(places, places[1:], strict=False)]
+        for row in whole:  # in ascending order, so that each comes to its place
+            out.insert(row, self._ids([column[row].as_py()])[0].tobytes() + end)
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text with the end id, as bytes.
+    def _whole(self, column: pa.Array) -> list[int]:
+        """Rows that are encoded as a whole."""
+        if not self.by_pieces:
+            return list(range(len(column)))
+        import pyarrow.compute as pc
 
-        Between single spaces a text is made of few different strings, which are looked up whole.
-        """
-        end = np.array([END_ID], dtype=self.dtype).tobytes()
-        whole = [not self.by_words or _is_unusual(t) for t in texts]
-        spaced = [None if w or "  " in t else t.split(" ") for t, w in zip(texts, whole, strict=True)]
-        tops = [parts.pop(0) if parts else "" if w else t for t, w, parts in zip(texts, whole, spaced, strict=True)]
-        wanted = set().union(*(parts for parts in spaced if parts))
-        new = sorted(self.after_space.missing(wanted))
-        self.after_space.recent.update(zip(new, self._by_pieces([f" {p}" for p in new]), strict=True))
-        tops = self._by_pieces(tops)
-        known, out = self.after_space.recent.__getitem__, []
-        for text, is_whole, parts, top in zip(texts, whole, spaced, tops, strict=True):
-            if is_whole:
-                out.append(self._ids([text])[0].tobytes() + end)
-            else:
-                out.append(top + b"".join(map(known, parts or ())) + end)
-        self.after_space.forget_long(new)
-        return out
+        rows: set[int] = set()
+        for token in self.special:
+            has = pc.match_substring(column, token.decode())
+            rows.update(np.flatnonzero(has.to_numpy(zero_copy_only=False)).tolist())
+        return sorted(rows)
 
 
 @lru_cache(maxsize=2)
@@ -356,9 +412,8 @@ def write_shards(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             batch = first
             while batch is not None:
                 for part in groups(batch, most=BYTES_AT_ONCE):
-                    texts = [t or "" for t in part.column("text").to_pylist()]
                     keys = part.column("id").to_pylist()
-                    for key, ids in zip(keys, coder.encode(texts), strict=True):
+                    for key, ids in zip(keys, coder.encode(part.column("text")), strict=True):
                         writer.add(key, ids)
                 batch = next(batches, None)
             writer.close()
