@@ -104,6 +104,17 @@ def test_one_row_of_each_group_stays(documents):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(wanted)
 
 
+@pytest.mark.parametrize("block", [1, 3, 1000])
+def test_buckets_are_compared_in_blocks(documents, monkeypatch, block):
+    """Texts of a template, most of them below the similarity, whose links the stars leave open."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "STAR_ROUNDS", 1)
+    base = prose(61, 120)
+    rows = [(i, edited(base, i // 2, 7) + f" only {i}") for i in range(30)]
+    rows += [(40 + i, edited(edited(base, i, 4), 900 + i // 4, 3)) for i in range(20)]
+    assert bag(neardup.near_components(documents(rows)).collect()) == plain_components(rows)
+
+
 def test_near_copies_around_the_threshold(documents):
     base = prose(9, 200)
     rows = [(i, " ".join(base.split(" ")[: 130 + i]) + " " + prose(500 + i, i % 7)) for i in range(60)]

@@ -9,18 +9,32 @@ succeeded are followed. The folder goes when the session ends.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyarrow import fs as arrow_fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from zonalake.session import work_path
+from zonalake.session import work_path, work_scope
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
     return work_path(spark, label)
 
 
+def written(df: DataFrame, location: str) -> DataFrame:
+    """`df` from the files of a path that it is written to."""
+    df.write.parquet(location)
+    return df.sparkSession.read.schema(df.schema).parquet(location)
+
+
+def settled_alone(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The rows of `build()` from a table of their own; the work folders that it made are deleted."""
+    location = work_path(spark, label)
+    with work_scope(spark):
+        return written(build(), location)
+
+
 def locate(path: str):
     """The file system of a path and the path on it."""
     if "://" not in path and path.startswith("file:"):

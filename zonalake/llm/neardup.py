@@ -7,9 +7,10 @@
 2. Rows with equal sets form a class. The smallest id stands for it, so copies cost one row each.
 3. Star rounds: in every band bucket all members are compared with one of them, which is linear in the
    bucket; later rounds take another centre and only members that are not yet connected with it.
-4. Pairs of the same bucket that are still not connected are compared inside a join, each in the
-   first bucket they share: sizes and sketches, then full sets. Only links come out of it, so a
-   group of texts that are all somewhat below the similarity makes no rows.
+4. Pairs of the same bucket that are still not connected are compared inside joins: sizes and sketches
+   first, which gives the rows that have a likely partner at all; then those with their full sets, each
+   pair in the first bucket it shares. Only links come out of it, so a group of texts that are all
+   somewhat below the similarity makes no rows. A large bucket is a grid of blocks of `BLOCK` members.
 5. A pair is a link if 100 * intersection >= 75 * union on the full sets. Components follow from
    the links by star steps.
 
@@ -31,8 +32,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonalake.llm.components import components
+from zonalake.llm.files import settled_alone, written
 from zonalake.llm.hashing import U64, mixed, shingles, utf8
-from zonalake.session import settle
+from zonalake.llm.wordcodes import groups
+from zonalake.session import settle, work_path, work_scope
 
 BANDS, BAND_ROWS = 32, 4
 SAMPLES = BANDS * BAND_ROWS
@@ -43,6 +46,8 @@ PERCENT = 75
 LEAST_ESTIMATE = 0.55
 #: Star rounds before the remaining pairs are compared.
 STAR_ROUNDS = 2
+#: Members of a bucket that meet the others of it in one task; a larger bucket is compared by several.
+BLOCK = 1000
 NO_ID = -(2**63)
 
 _rng = np.random.default_rng(11)
@@ -89,7 +94,7 @@ def distinct_shingles(texts: list[bytes]) -> Iterator[np.ndarray]:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in groups(whole)):
         ids, texts = batch.column("id"), utf8(batch.column("text"))
         for begin, group in shingles(texts):
             sets = [np.unique(group.hashes[a:b]) for a, b in zip(group.bounds, group.bounds[1:], strict=False)]
@@ -138,7 +143,7 @@ def _likely(left: str, right: str) -> Column:
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in groups(whole)):
         texts, at = utf8(batch.column("text")), 0
         for begin in range(0, len(texts), 256):
             sets = list(distinct_shingles(texts[begin : begin + 256]))
@@ -202,16 +207,57 @@ def _placed(members: DataFrame, joined: DataFrame) -> DataFrame:
     )
 
 
-def near_components(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept."""
-    signed = signatures(docs)
+def _grid(members: DataFrame) -> DataFrame:
+    """Members of buckets in the cells of their bucket's grid, (key, i, j) with i <= j; `mine` is i or j.
+
+    Members of blocks i and j meet in cell (i, j), members of one block in (i, i).
+    """
+    blocks = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    mine = F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int")
+    spread = members.join(blocks, "key").withColumn("mine", mine)
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    return spread.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")}).drop("other")
+
+
+def _meet(x: str, y: str) -> Column:
+    """Rows of a cell that are compared there, from different components."""
+    a, b = (lambda c: F.col(f"{x}.{c}")), (lambda c: F.col(f"{y}.{c}"))
+    cell = (a("key") == b("key")) & (a("i") == b("i")) & (a("j") == b("j"))
+    return cell & ((a("i") == a("j")) | (a("mine") != b("mine"))) & (a("component") != b("component"))
+
+
+def _links_left(placed: DataFrame, known: DataFrame, bands: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) of members that share a bucket and lie in different components."""
+    open_keys = placed.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"))
+    open_keys = open_keys.where(F.col("p") < F.col("q")).select("key")
+    members = settle(placed.join(open_keys, "key"), "near-open")
+    cells = _grid(members.join(known, "node"))
+    some = cells.alias("x").join(cells.alias("y"), _meet("x", "y") & _likely("x", "y"), "left_semi")
+    likely = settle(some.select("node").distinct(), "near-likely")
+
+    sets = shingle_sets(likely.select(F.col("node").alias("id")), docs)
+    whole = members.join(likely, "node", "left_semi").join(known, "node").join(bands, "node").join(sets, "node")
+    cells = _grid(whole)
+    apart = _meet("x", "y") & (F.col("x.node") < F.col("y.node")) & _likely("x", "y")
+    apart &= F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
+    apart &= _is_link(F.col("x.shingles"), F.col("y.shingles"))
+    found = cells.alias("x").join(cells.alias("y"), apart)
+    return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def _components(docs: DataFrame) -> DataFrame:
+    """Per row: id, n and its component."""
+    spark = docs.sparkSession
     content = ["n", "set_a", "set_b"]
-    classes = signed.where(F.col("n") > 0).groupBy(*content).agg(F.min("id").alias("node"))
-    rows = signed.select("id", *content).join(classes, content, "left")
-    rows = settle(rows.select("id", "n", "node"), "near-rows")
-    leaders = signed.join(classes.select(F.col("node").alias("id"), *content), ["id", *content])
-    leaders = leaders.dropDuplicates(["id", *content])
-    leaders = settle(leaders.withColumnRenamed("id", "node"), "near-leaders")
+    places = [work_path(spark, label) for label in ("near-rows", "near-leaders")]
+    with work_scope(spark):
+        signed = signatures(docs)
+        classes = signed.where(F.col("n") > 0).groupBy(*content).agg(F.min("id").alias("node"))
+        rows = signed.select("id", *content).join(classes, content, "left")
+        rows = written(rows.select("id", "n", "node"), places[0])
+        leaders = signed.join(classes.select(F.col("node").alias("id"), *content), ["id", *content])
+        leaders = leaders.dropDuplicates(["id", *content]).withColumnRenamed("id", "node")
+        leaders = written(leaders, places[1])
 
     bucketed = leaders.select("node", F.explode("bands").alias("key"))
     buckets = bucketed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
@@ -224,33 +270,27 @@ def near_components(docs: DataFrame) -> DataFrame:
     for turn in range(STAR_ROUNDS):
         pairs = _filtered(_stars(placed, turn), known)
         pairs = settle(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        found = settle(confirmed(pairs, docs), "near-links")
+        found = settled_alone(spark, "near-links", lambda pairs=pairs: confirmed(pairs, docs))
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
-        joined = settle(components(links), "near-components")
+        joined = settled_alone(spark, "near-components", lambda links=links: components(links))
         placed = _placed(members, joined)
 
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"))
-    open_keys = open_keys.where(F.col("p") < F.col("q")).select("key")
-    open_members = settle(placed.join(open_keys, "key"), "near-open")
-    sets = shingle_sets(open_members.select(F.col("node").alias("id")), docs)
     bands = leaders.select("node", "bands")
-    still = open_members.join(known, "node").join(bands, "node").join(sets, "node")
-    x, y = still.alias("x"), still.alias("y")
-    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
-    apart &= (F.col("x.component") != F.col("y.component")) & _likely("x", "y")
-    apart &= F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
-    apart &= _is_link(F.col("x.shingles"), F.col("y.shingles"))
-    last = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    last = settled_alone(spark, "near-links", lambda: _links_left(placed, known, bands, docs))
     # Rows of one id are one document, so the classes that it stands in belong together.
     shared = rows.groupBy(F.col("id").alias("own")).agg(F.min("node").alias("a"), F.max("node").alias("top"))
     shared = shared.where(F.col("a") < F.col("top")).join(rows, F.col("own") == F.col("id"))
     shared = shared.where(F.col("a") < F.col("node")).select("a", F.col("node").alias("b")).distinct()
     final = settle(components(links.unionByName(last).unionByName(shared)), "near-components")
-
-    own = rows.join(final, "node", "left").select(
+    return rows.join(final, "node", "left").select(
         "id", "n", F.coalesce("component", "node", "id").alias("component")
     )
+
+
+def near_components(docs: DataFrame) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept."""
+    own = settled_alone(docs.sparkSession, "near-documents", lambda: _components(docs))
     component = F.when(F.col("component") != NO_ID, F.col("component"))
     doc_id = F.when(F.col("id") != NO_ID, F.col("id"))
     return own.select(
