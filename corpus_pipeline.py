@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from zonalake.llm import decontam, mixing, neardup, quality, tokens
+from zonalake.llm.files import settled_alone
 from zonalake.llm.queries import table, tokenizer_path
-from zonalake.session import settle
 
 
 def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, over the whole of `documents`."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
-    return docs
+    """All stages, over the whole of `documents`. What a stage wrote for itself goes when its rows are
+    written, and its rows go when the next stage's are."""
+
+    def upto(last: int) -> DataFrame:
+        name, stage = STAGES[last]
+
+        def rows() -> DataFrame:
+            docs = upto(last - 1) if last else table(spark, sf_dir, "documents")
+            return stage(spark, docs, sf_dir)
+
+        return settled_alone(spark, "stage-" + name.replace(" ", "-"), rows)
+
+    return upto(len(STAGES) - 1)
