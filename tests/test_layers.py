@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import random
 import re
-from datetime import date
+from datetime import date, datetime
+from decimal import Decimal
 
+import duckdb
 import pytest
 from fixtures import D1, D2, bag, raw_air, raw_traffic
 from pyspark.sql import functions as F
@@ -20,13 +22,15 @@ from zonalake.operators.rolling import rolling_over_rows
 from zonalake.operators.staging import cast_known, drop_reingested
 from zonalake.plans import gold, layers, reingest
 from zonalake.schemas import AIR_SOURCE, AIR_TIME, DATE_KEYS, RAW_AIR, RAW_TRAFFIC, SILVER, TRAFFIC_CSV
-from zonalake.sinks import jdbc_write_options, register_table, write_lake
+from zonalake.sinks import in_one_transaction, jdbc_write_options, register_table, swap_statements, write_lake
 from zonalake.sources import (
     bounds_query,
     jdbc_read_options,
+    quantiles_query,
     read_lake,
     read_table,
     read_traffic_csv,
+    split_predicates,
 )
 
 DAY1, DAY2 = date(*D1), date(*D2)
@@ -336,6 +340,78 @@ def test_jdbc_options(monkeypatch):
     assert write["numPartitions"] == "1" and write["dbtable"] == "mart"
 
 
+@pytest.mark.parametrize(
+    ("kind", "values"),
+    [
+        ("INTEGER", [*range(50), *[7] * 400, 10**9, -5, None, None]),
+        ("DECIMAL(12, 3)", [Decimal(i) / 8 for i in range(200)] + [None]),
+        ("DOUBLE", [0.1 * i for i in range(90)] + [1e300, -1e-300]),
+        ("VARCHAR", [*"abcabcxyzABC", "o'clock", "back\\slash", "", "é", None]),
+        ("DATE", [date(2024, 1, 1 + i % 28) for i in range(99)]),
+        ("TIMESTAMP", [datetime(2024, 1, 1, i % 24, 5, 6, 789) for i in range(99)]),
+        ("INTEGER", []),
+        ("INTEGER", [None, None]),
+        ("INTEGER", [3, 3, 3]),
+    ],
+)
+@pytest.mark.parametrize("partitions", [1, 4, 300])
+def test_lots_of_a_split_read_hold_each_row_once(kind, values, partitions):
+    """The statements on another database: conditions cover every value and NULL once, in even lots."""
+    db = duckdb.connect()
+    db.execute(f"CREATE TABLE t (n INTEGER, v {kind})")
+    if values:
+        db.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
+    lots = db.execute(quantiles_query("t", "v", partitions)).fetchall()
+    conditions = split_predicates("v", [upto for _, upto in sorted(lots)])
+    assert 1 <= len(conditions) <= partitions
+    found = [db.execute(f"SELECT n FROM t WHERE {c}").fetchall() for c in conditions]
+    assert sorted(n for rows in found for (n,) in rows) == list(range(len(values)))
+    if kind == "DOUBLE" and partitions == 4:
+        assert max(map(len, found)) <= len(values) // 4 + 2
+    later = db.execute(f"SELECT count(*) FROM t WHERE {conditions[-1]}").fetchone()[0]
+    assert later == len(found[-1])
+
+
+class _Connection:
+    """What `in_one_transaction` uses of a connection, over another database."""
+
+    def __init__(self, db):
+        self.db = db
+
+    def setAutoCommit(self, on):
+        assert not on
+        self.db.begin()
+
+    def createStatement(self):
+        return self
+
+    def executeUpdate(self, statement):
+        self.db.execute(statement)
+
+    def commit(self):
+        self.db.commit()
+
+    def rollback(self):
+        self.db.rollback()
+
+
+def test_staged_rows_replace_a_table_once():
+    """A task's rows that were staged twice count once, equal rows as often as they are; an error changes nothing."""
+    db = duckdb.connect()
+    db.execute('CREATE TABLE mart ("zone" VARCHAR, "mean of" DOUBLE)')
+    db.execute("INSERT INTO mart VALUES ('old', 1)")
+    db.execute('CREATE TABLE stage ("zone" VARCHAR, "mean of" DOUBLE, zonalake_row BIGINT)')
+    rows = [("a", 1.5, 0), ("a", 1.5, 1), (None, None, 2), ("b", 2.0, 1 << 33)]
+    db.executemany("INSERT INTO stage VALUES (?, ?, ?)", rows + rows[:3])
+    statements = swap_statements("mart", "stage", ["zone", "mean of"])
+    with pytest.raises(duckdb.Error):
+        in_one_transaction(_Connection(db), [statements[0], statements[1].replace("stage", "nothing")])
+    assert db.execute("SELECT * FROM mart").fetchall() == [("old", 1.0)]
+    in_one_transaction(_Connection(db), statements)
+    found = db.execute("SELECT * FROM mart").fetchall()
+    assert sorted(found, key=str) == sorted((r[:2] for r in rows), key=str)
+
+
 def test_work_paths_are_in_the_shared_folder(spark):
     one, two = session.work_path(spark, "x"), session.work_path(spark, "x")
     assert one != two

@@ -16,7 +16,7 @@ from zonalake.operators.staging import cast_known
 from zonalake.plans import gold, layers
 from zonalake.schemas import AIR_SOURCE, SILVER, SILVER_AIR, SILVER_TRAFFIC
 from zonalake.session import build_session
-from zonalake.sinks import create_silver_view, is_view, register_table, write_jdbc
+from zonalake.sinks import create_silver_view, is_view, register_table, write_jdbc, write_jdbc_staged
 from zonalake.sources import read_jdbc, read_table, read_traffic_csv
 
 log = logging.getLogger("zonalake")
@@ -35,7 +35,8 @@ def parser() -> argparse.ArgumentParser:
     step.add_argument("--jdbc_url", help="database of the air measurements")
     step.add_argument("--jdbc_table")
     step.add_argument("--jdbc_driver", default="org.mariadb.jdbc.Driver")
-    step.add_argument("--partition_column", help="numeric or date column to split the read by")
+    step.add_argument("--partition_column", help="column to split the read by")
+    step.add_argument("--equal_width", action="store_true", help="split it by width, not by rows")
     step.add_argument("--lower_bound")
     step.add_argument("--upper_bound")
     step.add_argument("--partitions", type=int)
@@ -71,6 +72,7 @@ def parser() -> argparse.ArgumentParser:
     )
     step.add_argument("--ingest_date", type=date.fromisoformat, default=None)
     step.add_argument("--jdbc_url", help="database that gets the marts as tables too")
+    step.add_argument("--jdbc_staged", action="store_true", help="replace their rows in one transaction")
     step.add_argument("--jdbc_driver", default="org.mariadb.jdbc.Driver")
     return top
 
@@ -99,6 +101,7 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
             lower_bound=args.lower_bound,
             upper_bound=args.upper_bound,
             partitions=args.partitions,
+            balanced=not args.equal_width,
         )
         rows["air"] = layers.ingest(cast_known(air, AIR_SOURCE), args.output_air, day)
     return rows
@@ -158,7 +161,8 @@ def run_marts(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
         ordered = gold.in_order(mart_name, mart)
         log.info("%s: first rows %s", mart_name, ordered.limit(PREVIEW_ROWS).collect())
         if args.jdbc_url:
-            write_jdbc(ordered, args.jdbc_url, mart_name, driver=args.jdbc_driver)
+            write = write_jdbc_staged if args.jdbc_staged else write_jdbc
+            write(ordered, args.jdbc_url, mart_name, driver=args.jdbc_driver)
     return rows
 
 
