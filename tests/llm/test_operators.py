@@ -205,6 +205,28 @@ def test_lines_of_all_cases(documents):
     assert bag(lines.kept_lines(documents(rows)).collect()) == plain_lines(rows)
 
 
+def test_long_lines_one_edit_apart(documents):
+    """Edits at both ends, inside, at the borders of parts and in repeated characters; two edits."""
+    def changed(line, at, how):
+        return line[:at] + ("" if how == "cut" else "é" + (line[at:at + 1] if how == "put" else "")) + line[at + 1 :]
+
+    rows = []
+    for n in (15, 16, 17, 40, 272):
+        line = prose(n, n).replace("\n", " ")[:n] if n != 40 else "a" * 40
+        rows.append((len(rows), line))
+        for at in {0, 1, n // 16, n // 2, n - 2, n - 1}:
+            for how in ("cut", "put", "set"):
+                rows.append((1000 + len(rows), f"{at} {how} {n} " + changed(line, at, how)))
+                rows.append((1000 + len(rows), changed(line, at, how)))
+    far = "".join(chr(97 + i * i % 23) for i in range(300))
+    rows += [(1, far), (2, changed(changed(far, 5, "set"), 280, "cut")), (3, changed(far, 150, "cut"))]
+    assert bag(lines.kept_lines(documents(rows)).collect()) == plain_lines(rows)
+    long = "".join(chr(97 + i * i % 25) for i in range(1 << 13))
+    rows = [(1, long), (2, changed(long, 7_001, "cut")), (3, changed(changed(long, 3, "set"), 8_000, "set"))]
+    found = {r.doc_id: r.n_kept for r in lines.kept_lines(documents(rows)).collect()}
+    assert found == {1: 1, 2: 0, 3: 1}
+
+
 # -- test items -----------------------------------------------------------------------------------
 def test_decontamination(spark, documents):
     items = [(i, prose(900 + i, n)) for i, n in enumerate((3, 5, 12, 40, 70, 200))] + [(8, None), (9, "")]

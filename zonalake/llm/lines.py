@@ -9,17 +9,18 @@ earlier line is within `EDITS` = 1 edit (a code point inserted, deleted or repla
 2. `candidates`: of two lines within one edit, the first halves or the second halves are equal. Only
    lines that share a half with another line go on. A line has four such keys: two as the shorter or
    equally long one of a pair and two as the longer one.
-3. `nearest`: all variants of a candidate with one code point deleted outside the half it shares, as
-   hashed keys. Lines with the
-   same variant deleted at the same place differ by a replacement; a line that is itself a variant
+3. `windows`: a candidate is cut into parts, and parts into smaller ones; a part stays if another line agrees
+   with all outside it, as a line within one edit does for the part that holds the edit.
+4. `nearest`: all variants of a candidate with one code point deleted inside such a part, as hashed
+   keys. Lines with the same variant deleted at the same place differ by a replacement; a line that is itself a variant
    of another differs by an insertion. Each group is answered by its earliest line, so groups make no
    pairs. What they answer is verified by the edit distance of the texts.
-4. `kept_lines`: dropped places by document, and the texts without them.
+5. `kept_lines`: dropped places by document, and the texts without them.
 
 Cases: a null text is an empty one, with a single blank line; rows with equal id are one document, a
 line of theirs at the same place is the same line; a null id sorts before all others; an empty table
-gives an empty result; other columns are ignored. The variants of a line take time and rows in
-proportion to its length, their hashing to its square, for candidates only.
+gives an empty result; other columns are ignored. A line has few variants unless it has partners; the
+edit distance of two such lines takes time in proportion to the square of their length.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ EDITS = 1
 NO_ID = -(2**63)
 LINES_PER_DOCUMENT = 1 << 31
 HASH = ["h1", "h2"]
+#: A window where an edit can stand is cut into so many parts, until it has so few characters.
+PARTS, FEW = 16, 16
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -72,38 +75,64 @@ def distinct_lines(documents: DataFrame) -> DataFrame:
 
 
 def candidates(distinct: DataFrame, documents: DataFrame) -> DataFrame:
-    """(place, h1, line, first, second) of the lines that share their first or second half with another."""
-    keys = F.posexplode(F.array("k0", "k1", "k2", "k3")).alias("which", "key")
+    """(place, h1, line) of the lines that share their first or second half with another."""
+    keys = F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")
     keyed = distinct.select(*HASH, "place", keys)
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 1).select("key")
-    is_first = F.col("which") % 2 == 0
-    chosen = keyed.join(shared, "key").groupBy(*HASH, "place")
-    chosen = chosen.agg(F.max(is_first).alias("first"), F.max(~is_first).alias("second"))
+    chosen = keyed.join(shared, "key").select(*HASH, "place").distinct()
     per = F.lit(LINES_PER_DOCUMENT).cast("decimal(20,0)")
     no = F.pmod("place", per).cast("int")
     document = ((F.col("place") - no) / per).cast("long")
-    chosen = settle(chosen.select(*HASH, "place", "first", "second", no.alias("no"), document.alias("id")), "line-candidates")
+    chosen = settle(chosen.select(*HASH, "place", no.alias("no"), document.alias("id")), "line-candidates")
     line = F.get("lines", F.col("no"))
-    texts = documents.join(chosen, "id").select("place", *HASH, "first", "second", line.alias("line"))
+    texts = documents.join(chosen, "id").select("place", *HASH, line.alias("line"))
     same = F.xxhash64("line") == F.col("h1")
-    return settle(texts.where(same).select("place", "h1", "line", "first", "second").dropDuplicates(["place", "h1"]), "line-texts")
+    return settle(texts.where(same).select("place", "h1", "line").dropDuplicates(["place", "h1"]), "line-texts")
+
+
+def windows(texts: DataFrame) -> DataFrame:
+    """(place, h1, n, low, high, long): where the edit between a line and a partner can stand.
+
+    The edit replaces or deletes one of the characters low + 1 to high of the longer line, which has n; `long`
+    says that this line is it (or as long), so that its own variants are needed. A window is cut into PARTS
+    until it has FEW characters at most: of two lines within one edit all outside one part is equal,
+    so a part stays where another line agrees with all outside it.
+    """
+    n = F.length("line")
+    roles = F.array(*(F.struct((n + i).alias("n"), F.lit(i == 0).alias("long")) for i in (0, 1)))
+    start = texts.select("place", "h1", F.explode(roles).alias("role")).select("place", "h1", "role.*")
+    size = F.col("high") - F.col("low")
+    found = settle(start.withColumns({"low": F.lit(0), "high": F.col("n")}), "line-windows")
+    done = found.where(size <= FEW)
+    while not (left := found.where(size > FEW)).isEmpty():
+        lots = F.least(F.lit(PARTS), F.ceil(size / FEW)).cast("int")
+        edge = lambda i: (F.col("low") + F.floor(i * size.cast("long") / F.col("lots"))).cast("int")
+        parts = left.withColumn("lots", lots).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
+        parts = parts.select(
+            "place", "h1", "n", "long", edge(F.col("part")).alias("low"), edge(F.col("part") + 1).alias("high")
+        )
+        outside = F.xxhash64("n", "low", "high", F.expr("left(line, low)"), F.expr("right(line, n - high)"))
+        keyed = parts.join(texts.select("place", "h1", "line"), ["place", "h1"]).withColumn("key", outside)
+        keyed = settle(keyed.drop("line"), "line-parts")
+        shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max("long").alias("any"))
+        shared = shared.where((F.col("m") > 1) & F.col("any")).select("key")
+        found = settle(keyed.join(shared, "key").drop("key"), "line-windows")
+        done = done.unionByName(found.where(size <= FEW))
+    return done
 
 
 def nearest(texts: DataFrame) -> DataFrame:
     """(place, h1): lines that have an earlier line within one edit."""
-    n = F.length("line")
-    # where the first half is shared the edit lies behind it, and the other way round
-    low = F.when(F.col("second"), F.lit(1)).otherwise(F.floor((n - 1) / 2) + 1).cast("int")
-    high = F.when(F.col("first"), n).otherwise(F.floor(n / 2)).cast("int")
-    places = F.when(low <= high, F.sequence(low, high))
-    spread = texts.select("place", "h1", "line", F.explode(places).alias("at"))
+    found = windows(texts)
+    places = F.explode(F.sequence(F.col("low") + 1, F.col("high"))).alias("at")
+    spread = found.where("long").join(texts, ["place", "h1"]).select("place", "h1", "line", places)
     rest = F.concat(F.expr("substring(line, 1, at - 1)"), F.expr("substring(line, at + 1)"))
     variants = settle(spread.select("place", "h1", "at", F.xxhash64(rest).alias("key")), "line-variants")
 
     # such a group has at most one line for each code point there is
     group = Window.partitionBy("key", "at")
     replaced = variants.withColumn("low", F.min("place").over(group)).where(F.col("low") < F.col("place"))
-    whole = texts.select(F.col("h1").alias("key"), F.col("place").alias("there"))
+    whole = found.where(~F.col("long")).select(F.col("h1").alias("key"), F.col("place").alias("there")).distinct()
     inserted = variants.select("place", "h1", "key").join(whole, "key").distinct()
     answers = (
         replaced.select("place", "h1", "low")
