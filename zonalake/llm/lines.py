@@ -19,8 +19,8 @@ earlier line is within `EDITS` = 1 edit (a code point inserted, deleted or repla
 
 Cases: a null text is an empty one, with a single blank line; rows with equal id are one document, a
 line of theirs at the same place is the same line; a null id sorts before all others; an empty table
-gives an empty result; other columns are ignored. A line has few variants unless it has partners; the
-edit distance of two such lines takes time in proportion to the square of their length.
+gives an empty result; other columns are ignored. A line has few variants unless it has partners; lines
+of far above 16,000 characters that have partners may take long.
 """
 
 from __future__ import annotations
