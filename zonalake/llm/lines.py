@@ -17,6 +17,8 @@ earlier line is within `EDITS` = 1 edit (a code point inserted, deleted or repla
    pairs. What they answer is verified by the edit distance of the texts.
 5. `kept_lines`: dropped places by document, and the texts without them.
 
+Candidates and dropped lines grow with the input, so their joins with the documents shuffle at every size.
+
 Cases: a null text is an empty one, with a single blank line; rows with equal id are one document, a
 line of theirs at the same place is the same line; a null id sorts before all others; an empty table
 gives an empty result; other columns are ignored. A line has few variants unless it has partners; lines
@@ -85,7 +87,7 @@ def candidates(distinct: DataFrame, documents: DataFrame) -> DataFrame:
     document = ((F.col("place") - no) / per).cast("long")
     chosen = settle(chosen.select(*HASH, "place", no.alias("no"), document.alias("id")), "line-candidates")
     line = F.get("lines", F.col("no"))
-    texts = documents.join(chosen, "id").select("place", *HASH, line.alias("line"))
+    texts = documents.join(chosen.hint("merge"), "id").select("place", *HASH, line.alias("line"))
     same = F.xxhash64("line") == F.col("h1")
     return settle(texts.where(same).select("place", "h1", "line").dropDuplicates(["place", "h1"]), "line-texts")
 
@@ -162,11 +164,11 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     fates = fates.where((F.col("n") > 1) | F.col("near")).select(
         *HASH, F.col("place").alias("first"), F.coalesce("near", F.lit(False)).alias("near")
     )
-    gone = _occurrences(documents).select("id", "no", *HASH, "place").join(fates, HASH)
+    gone = _occurrences(documents).select("id", "no", *HASH, "place").join(fates.hint("merge"), HASH)
     gone = gone.where(F.col("near") | (F.col("place") > F.col("first")))
     gone = gone.groupBy("id").agg(F.collect_set(F.struct("no", "h1")).alias("gone"))
     gone = settle(gone, "line-dropped")
-    rows = documents.join(gone, "id", "left")
+    rows = documents.join(gone.hint("merge"), "id", "left")
     stays = F.filter(
         "lines",
         lambda line, no: ~F.coalesce(
