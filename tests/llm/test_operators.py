@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -352,6 +353,47 @@ def test_mirrored_pages_and_short_menus(spark, documents):
     assert {r.page_id: r.text for r in pages.main_text(frame).collect()} == wanted
 
 
+def plain_main_text(rows):
+    """Texts of pages `(id, host, marked, blocks)` by a search of all runs of eight words."""
+    runs, wholes, documents = {}, {}, {}
+    for page, host, marked, own in rows:
+        words = " ".join(own).split()
+        documents.setdefault(host, set()).add(marked or page)
+        for i in range(len(words) - pages.RUN + 1):
+            runs.setdefault((host, tuple(words[i : i + pages.RUN])), set()).add(marked or page)
+        for text in own:
+            wholes.setdefault((host, text), set()).add(marked or page)
+    found = {}
+    for page, host, marked, own in rows:
+        needed = max(2, min(pages.SHARED, len(documents[host])))
+        words, covered = " ".join(own).split(), set()
+        for i in range(len(words) - pages.RUN + 1):
+            if len(runs[host, tuple(words[i : i + pages.RUN])]) >= needed:
+                covered.update(range(i, i + pages.RUN))
+        kept, begin = [], 0
+        for text in own:
+            end = begin + len(text.split())
+            if not covered.issuperset(range(begin, end)) and len(wholes[host, text]) < needed:
+                kept.append(text)
+            begin = end
+        found[page] = marked or "\n".join(kept)
+    return found
+
+
+def test_repeated_runs_equal_a_plain_search(spark, documents):
+    draw = random.Random(5)
+    pool = [" ".join(draw.choice("abcd") for _ in range(draw.randint(1, 14))) for _ in range(12)]
+    rows = []
+    for i in range(90):
+        own = [draw.choice(pool) for _ in range(draw.randint(1, 6))]
+        own.insert(draw.randint(0, len(own)), " ".join(prose(1000 + i, 40).split()))
+        rows.append((i, f"h{i % 7 if i < 60 else 9}", f"article {i // 2}" if i % 5 == 0 else "", own))
+    rows += [(100, "two", "", [pool[0], "x1 " * 30 + "x"]), (101, "two", "", ["y1 " * 30 + "y", pool[0]])]
+    html = lambda marked, own: f"<article>{marked}</article>" * bool(marked) + "".join(f"<p>{t}</p>" for t in own)
+    frame = spark.createDataFrame([(i, f"http://{host}/{i}", html(m, own)) for i, host, m, own in rows], PAGE)
+    assert {r.page_id: r.text for r in pages.main_text(frame).collect()} == plain_main_text(rows)
+
+
 def test_elements_that_are_left_out():
     text = lambda html: " ".join(t for _, t in markup.blocks(html))
     icon = "<svg viewBox='0 0 1 1' class=\"a>b\"/>"
