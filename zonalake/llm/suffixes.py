@@ -145,14 +145,16 @@ def _ranked(pairs: DataFrame, on: list[str]) -> DataFrame:
     return settle(again.orderBy(*on).select(*on, F.monotonically_increasing_id().alias("rank")), "suffix-ranks")
 
 
-def phrases(docs: DataFrame) -> DataFrame:
-    """Rows (id, tag, i, pos, nxt, shape, rank) of the phrases that occur twice or more.
+def phrases(docs: DataFrame, several: bool) -> DataFrame:
+    """Rows (id, tag, i, pos, nxt, shape, rank) of the phrases that occur twice or more; equal rows count once,
+    if there may be some as an id has `several` rows.
 
     `shape` holds four small numbers: the phrase's length, how far its anchor lies after the first
     window start that chose it, the same for the next anchor, and how far the next anchor lies after
     the last window start that chose it.
     """
     rows = docs.mapInArrow(_emit_phrases, PHRASE)
+    rows = settle(rows.dropDuplicates([*KEY, "place"]) if several else rows, "suffix-anchors")
     found = rows.join(_ranked(rows, ["name"]), "name").drop("name")
     i, pos = F.shiftright("place", 32).cast("int"), F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
     nxt = (pos + F.col("shape").bitwiseAND(0xFF)).cast("int")
@@ -161,10 +163,9 @@ def phrases(docs: DataFrame) -> DataFrame:
 
 
 def doubled(level_0: DataFrame) -> list[tuple[int, DataFrame]]:
-    """[(h, rows (id, tag, i, rank))]: runs of h = 1, 2, 4, ... phrases that occur twice or more."""
-    now = level_0.groupBy(*KEY, "i").agg(*(F.min(c).alias(c) for c in ("pos", "nxt", "rank")))
-    now = now.withColumn("end", F.col("nxt"))
-    levels, h = [(1, level_0.select(*KEY, "i", "rank").distinct())], 1
+    """[(h, rows (id, tag, i, rank))]: runs of h = 2, 4, 8, ... phrases that occur twice or more."""
+    now = level_0.select(*KEY, "i", "pos", "nxt", "rank", F.col("nxt").alias("end"))
+    levels, h = [], 1
     while True:
         order = Window.partitionBy(*KEY).orderBy("i")
         pairs = (
@@ -184,14 +185,13 @@ def doubled(level_0: DataFrame) -> list[tuple[int, DataFrame]]:
 
 
 def _by_document(level_0: DataFrame, levels: list[tuple[int, DataFrame]]) -> DataFrame:
-    """One row per document with the ranks of its runs."""
-    all_levels = None
-    for h, rows in levels:
-        part = rows.select(*KEY, F.struct(F.lit(h).alias("h"), "i", "rank").alias("run"))
-        all_levels = part if all_levels is None else all_levels.unionByName(part)
-    runs = all_levels.groupBy(*KEY).agg(F.collect_list("run").alias("runs"))
-    places = level_0.groupBy(*KEY).agg(F.collect_set(F.struct("i", "pos", "shape")).alias("places"))
-    return settle(runs.join(places, KEY), "suffix-documents")
+    """One row per document with the ranks of its runs, and the places of its phrases."""
+    rows = level_0.select(*KEY, F.lit(1).alias("h"), "i", "rank", "pos", "shape")
+    for h, level in levels:
+        rows = rows.unionByName(level.withColumn("h", F.lit(h)), allowMissingColumns=True)
+    place = F.when(F.col("h") == 1, F.struct("i", "pos", "shape"))
+    runs = F.collect_list(F.struct("h", "i", "rank")).alias("runs")
+    return settle(rows.groupBy(*KEY).agg(runs, F.collect_list(place).alias("places")), "suffix-documents")
 
 
 class _Ranks:
@@ -384,22 +384,22 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows (id, tag, text); the tag tells rows of equal id apart by their text."""
+def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """Rows (id, tag, text), the tag telling rows of equal id apart by their text; whether an id has several."""
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     rows = docs.select(key.alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     several = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     several = settle(several.select("id", F.lit(True).alias("several")), "suffix-ids")
     if several.isEmpty():
-        return rows.withColumn("tag", F.lit(0).cast("long"))
+        return rows.withColumn("tag", F.lit(0).cast("long")), False
     tag = F.when(F.col("several"), F.xxhash64("text")).otherwise(F.lit(0)).cast("long")
-    return rows.join(several, "id", "left").withColumn("tag", tag).drop("several")
+    return rows.join(several, "id", "left").withColumn("tag", tag).drop("several"), True
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and `kept`, the remaining bytes."""
-    rows = _keyed(docs)
-    level_0 = phrases(rows)
+    rows, several = _keyed(docs)
+    level_0 = phrases(rows, several)
     documents = _by_document(level_0, doubled(level_0))
     covered = covered_windows(documents)
     edges = settle(edge_windows(rows, inner_runs(documents, covered)), "suffix-repeats")
