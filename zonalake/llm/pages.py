@@ -2,14 +2,16 @@
 
 1. `markup.blocks` splits a page into blocks and tells their zone: article, content, chrome (menus,
    footers, adverts, forms, comments, ...) or neutral.
-2. `repeated_runs`: the words of all blocks outside articles form a page's token stream; the streams of
-   a host are concatenated and sorted by prefix doubling: rank pairs at offsets 1, 2, 4 within a page,
-   sorted and counted in Spark, where only those on two or more pages of the host go on. What is
-   left are the substrings of `RUN` = 8 tokens that repeat across distinct documents. A neutral block
-   counts as a unit of its own too, so that repeated blocks of fewer words are found.
-3. `main_text`: a page that marks its article has the text of that zone, whole. On other pages the
-   neutral blocks count: those covered by repeated runs are boilerplate and are removed, the unique
-   ones stay.
+2. `repeated_runs`: the words of all blocks form a page's token stream, those outside articles first, those
+   inside after a gap; the streams of a host are concatenated and sorted by prefix doubling: rank pairs
+   at offsets 1, 2, 4 within a page, sorted and counted in Spark, where only those on two or more pages
+   of the host go on. What is left are the substrings of `RUN` = 8 tokens that repeat across distinct
+   documents. A neutral block counts as a unit of its own too, so that repeated blocks of fewer words
+   are found. Words inside articles are left out where they cannot matter: a run that half of a host's
+   pages have has words only that half of its pages have in some task (`_common_words`).
+3. `main_text`: a page that marks its article has the text of that zone, less the blocks that are
+   boilerplate of the host. On other pages the neutral blocks count: those covered by repeated runs are
+   boilerplate and are removed, the unique ones stay.
 
 What counts are documents, not pages: pages of a host with equal blocks have one stream, and streams are
 one document if their marked text is equal or, without marked text, if they hardly differ: fewer than
@@ -18,11 +20,15 @@ same. So a page that stands on its host under two urls keeps its text. A run or
 `SHARED` documents of the host have it, or both on a host of two; so text that two of many pages quote
 stays, as does a menu on two of many, which looks the same.
 
-Passages inside a marked article are never removed, even if other pages of the host quote them too.
+Passages inside a marked article that some pages of the host quote stay. A block of it is boilerplate only
+if it is covered by runs that half of the host's pages, and half of its documents, `SHARED` at least, have: a
+notice that stands in every article. An article of which such blocks are half the words or more is a
+version of the others and stays whole.
+
 Ranks are counted with a combination in the map tasks and go back by joins that can be split, so a
-host with a third of all pages is spread over tasks. All pages take part in the search, but only those
-that mark no article need its answer, so only their html is shuffled to meet it. Three passes parse the
-pages; html is not kept.
+host with a third of all pages is spread over tasks. Html is shuffled only to tell it of runs: that of pages
+that mark no article, and that of others if articles hold such runs in more pages than can be broadcast. Three
+passes parse the pages, and a fourth those that mark no article; only their html is kept.
 
 Cases: null and empty html have an empty text; a null url is a host of its own; equal rows are one page;
 a null page_id is kept as null; a page without any block has an empty text; an empty table gives an
@@ -32,6 +38,7 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,8 +59,14 @@ BATCH = 50_000
 TOKEN = "host bigint, page bigint, i int, rank bigint, n int"
 #: rank is the key of a page with this stream; rank is the hash of the stream's marked text.
 PAGE_KEY, MARKED = -1, -2
+#: rank is the hash of a word that half of the host's pages of a task have.
+COMMON = -3
+#: Number of the first word inside articles.
+INSIDE = 1 << 30
+#: Words of hosts that a task counts before it hands them on.
+COUNTED = 300_000
 RESULT = "page_id bigint, url string, text string, n_chars bigint, n_left_out bigint"
-OPEN = "page_id bigint, url string, html string, page bigint"
+DECIDED = RESULT + ", html string, page bigint"
 
 
 def _keyed(pages: DataFrame) -> DataFrame:
@@ -69,12 +82,12 @@ def _keyed(pages: DataFrame) -> DataFrame:
     )
 
 
-def _words(found: list[tuple[int, str]]) -> tuple[list[str], list[int]]:
-    """Words outside articles, and for each block how many words end with it."""
+def _words(found: list[tuple[int, str]], inside: bool = False) -> tuple[list[str], list[int]]:
+    """Words outside articles, or those inside, and for each block how many words end with it."""
     words: list[str] = []
     ends: list[int] = []
     for zone, text in found:
-        if zone >= NEUTRAL:
+        if (zone < NEUTRAL) == inside:
             words += text.split(" ")
         ends.append(len(words))
     return words, ends
@@ -91,7 +104,27 @@ def _text_hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
+def _stream(host: int, found: list[tuple[int, str]]) -> int:
+    return _text_hash(f"{host}\n" + "\n".join(f"{zone} {text}" for zone, text in found))
+
+
+def _common_words(counts: dict[int, Counter], seen: Counter) -> pa.RecordBatch:
+    """Words that half of a host's pages have, of those counted; a word that half of all its pages have is
+    among them in some task."""
+    rows = [(host, w) for host, own in counts.items() for w, n in own.items() if 2 * n >= seen[host]]
+    hashes = _word_hashes([w for _, w in rows]).view(np.int64) if rows else np.empty(0, np.int64)
+    counts.clear(), seen.clear()
+    none = np.zeros(len(rows), np.int64)
+    hosts = np.array([host for host, _ in rows], dtype=np.int64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c) for c in (hosts, none, none.astype(np.int32), hashes, (none + COMMON).astype(np.int32))],
+        names=["host", "page", "i", "rank", "n"],
+    )
+
+
 def _emit_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: dict[int, Counter] = {}
+    seen: Counter = Counter()
     for batch in batches:
         hosts, pages = batch.column("host").to_pylist(), batch.column("page").to_pylist()
         words: list[str] = []
@@ -120,7 +153,9 @@ def _emit_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = blocks(html)
             if not found:
                 continue
-            stream = _text_hash(f"{host}\n" + "\n".join(f"{zone} {text}" for zone, text in found))
+            stream = _stream(host, found)
+            counts.setdefault(host, Counter()).update(set(" ".join([text for _, text in found]).split(" ")))
+            seen[host] += 1
             own, _ = _words(found)
             if own:
                 words += own
@@ -140,11 +175,60 @@ def _emit_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words.clear(), sizes.clear(), held.clear(), units.clear()
         if units:
             yield rows()
+        if sum(map(len, counts.values())) > COUNTED:
+            yield _common_words(counts, seen)
+    yield _common_words(counts, seen)
+
+
+class _Common(dict):
+    """Whether a word is common on a host, by word; remembers what it was asked."""
+
+    def __init__(self, hashes: list[int]):
+        self.hashes = set(hashes)
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) >= COUNTED:
+            self.clear()
+        found = self[word] = int(_word_hashes([word]).view(np.int64)[0]) in self.hashes
+        return found
+
+
+def _emit_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words inside articles that stand in runs of RUN words that are all common on their host."""
+    common = _Common([])
+    for batch in batches:
+        order = batch.sort_by("host")
+        hosts = order.column("host").to_numpy()
+        for number, html in enumerate(order.column("html")):
+            host = int(hosts[number])
+            if not number or host != hosts[number - 1]:
+                common = _Common(order.column("common")[number].as_py())
+            found = blocks(html.as_py())
+            words, _ = _words(found, inside=True)
+            known = bytes(map(common.__getitem__, words))
+            if bytes([1] * RUN) not in known:
+                continue
+            rare = np.concatenate(([0], np.cumsum(np.frombuffer(known, np.uint8) == 0)))
+            begins = np.flatnonzero(rare[RUN:] == rare[:-RUN])
+            change = np.zeros(len(words) + 1, dtype=np.int64)
+            change[begins] += 1
+            change[begins + RUN] -= 1
+            i = np.flatnonzero(np.cumsum(change)[:-1])
+            same = np.zeros(len(i), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(same + host), pa.array(same + _stream(host, found)),
+                    pa.array((i + INSIDE).astype(np.int32)),
+                    pa.array(_word_hashes([words[k] for k in i]).view(np.int64)), pa.array(same.astype(np.int32)),
+                ],
+                names=["host", "page", "i", "rank", "n"],
+            )
 
 
 def _documents(tokens: DataFrame, units: DataFrame) -> DataFrame:
-    """(page, number, needed, open): the document of each stream, as 44 bits, how many must share a run, and
-    whether the stream's pages mark no article."""
+    """(page, number, needed, open, most, pages): the document of each stream, as 44 bits, how many must share a
+    run, whether the stream's pages mark no article, of how many documents a run inside articles must be, and
+    the stream's pages."""
     counts = units.dropDuplicates(["host", "page", "rank"]).groupBy("host", "rank").agg(F.count("*").alias("pages"))
     shared = F.when(F.col("pages") > 1, F.struct("pages", "rank"))
     own = F.sum(F.when(F.col("pages") == 1, F.col("n")).otherwise(0))
@@ -156,15 +240,19 @@ def _documents(tokens: DataFrame, units: DataFrame) -> DataFrame:
         .select("page", F.when(~F.col("differs"), F.col("rarest")).alias("rarest"))
     )
     marked = F.max(F.when(F.col("n") == MARKED, F.col("rank")))
-    streams = tokens.where(F.col("n") < 0).groupBy("host", "page").agg(marked.alias("marked"))
+    copies = F.count_if(F.col("n") == PAGE_KEY).alias("copies")
+    streams = tokens.where(F.col("n").isin(PAGE_KEY, MARKED)).groupBy("host", "page").agg(marked.alias("marked"), copies)
     documents = streams.join(looks, "page", "left").select(
-        "host", "page", F.coalesce("marked", "rarest", "page").alias("document"), F.isnull("marked").alias("open")
+        "host", "page", F.coalesce("marked", "rarest", "page").alias("document"), F.isnull("marked").alias("open"), "copies"
     )
     documents = settle(documents, "page-documents")
     needed = F.greatest(F.lit(2), F.least(F.lit(SHARED), F.count_distinct("document")))
     number = F.pmod("document", F.lit(1 << 44)).alias("number")
-    hosts = documents.groupBy("host").agg(needed.alias("needed"))
-    return documents.join(hosts, "host").select("page", number, "needed", "open")
+    half = F.ceil(F.count_distinct("document") / 2)
+    hosts = documents.groupBy("host").agg(
+        needed.alias("needed"), F.greatest(F.lit(SHARED), half).alias("most"), F.sum("copies").alias("host_pages")
+    )
+    return documents.join(hosts, "host").select("page", number, "needed", "open", "most", "copies", "host_pages")
 
 
 def _by_document(rows: DataFrame, name: list[str]) -> DataFrame:
@@ -187,16 +275,42 @@ def _by_document(rows: DataFrame, name: list[str]) -> DataFrame:
     )
 
 
-def repeated_runs(rows: DataFrame) -> DataFrame:
-    """(page, starts): where runs of RUN tokens begin that other documents of the host have too.
+def _inside_tokens(rows: DataFrame, tokens: DataFrame) -> DataFrame:
+    common = tokens.where(F.col("n") == COMMON).groupBy("host").agg(F.collect_set("rank").alias("common"))
+    found = rows.join(settle(common, "page-common"), "host").select("host", "html", "common")
+    return settle(found.mapInArrow(_emit_inside, TOKEN), "page-inside")
 
-    A neutral block that they have as a whole is named by -1 - its number. Runs are counted over all pages
-    and told to those that mark no article.
+
+def _inside_runs(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+    """(page, i): runs inside articles that most pages and documents of the host have."""
+    name = ["host", "r1", "r2"]
+    inside = pairs.where(F.col("i") >= INSIDE)
+    of_name = pairs.join(inside.select(*name).distinct(), name, "left_semi").select(*name, "page").distinct()
+    counts = (
+        of_name.join(documents, "page")
+        .groupBy(*name)
+        .agg(
+            F.count_distinct("number").alias("n"), F.sum("copies").alias("pages"),
+            F.max("most").alias("most"), F.max("host_pages").alias("host_pages"),
+        )
+        .where((F.col("n") >= F.col("most")) & (2 * F.col("pages") >= F.col("host_pages")))
+    )
+    return inside.join(counts.select(*name), name, "left_semi").select("page", "i")
+
+
+def repeated_runs(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """(page, starts): where runs of RUN tokens begin that other documents of the host have too, and whether
+    there are runs inside articles among them.
+
+    A neutral block that they have as a whole is named by -1 - its number, a word inside articles by INSIDE +
+    its number. Runs are counted over all pages; those outside articles are told to pages that mark none.
     """
     tokens = settle(rows.mapInArrow(_emit_tokens, TOKEN), "page-tokens")
+    inside = _inside_tokens(rows, tokens)
     units = tokens.where(F.col("n") > 0).dropDuplicates(["page", "i"])
     documents = settle(_documents(tokens, units), "page-needed")
-    now, h = tokens.where(F.col("n") == 0).drop("n").dropDuplicates(["page", "i"]), 1
+    now = tokens.where(F.col("n") == 0).unionByName(inside).drop("n").dropDuplicates(["page", "i"])
+    h, found = 1, None
     facts = ["number", "needed", "open"]
     while h < RUN:
         last = 2 * h >= RUN
@@ -212,6 +326,8 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
         pairs = settle(pairs, "page-pairs")
         name = ["host", "r1", "r2"]
         if last:
+            found = settle(_inside_runs(pairs, documents), "page-inside-runs")
+            pairs = pairs.where(F.col("i") < INSIDE)
             shared = _by_document(pairs, name)
         else:
             shared = pairs.groupBy(*name).agg(F.min("page").alias("low"), F.max("page").alias("high"))
@@ -223,12 +339,13 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
         h *= 2
     units = units.join(documents, "page")
     whole = settle(_by_document(units, ["host", "rank"]), "page-blocks")
-    starts = now.select("page", "i").unionByName(
+    starts = now.select("page", "i").unionByName(found).unionByName(
         units.where("open").join(whole, ["host", "rank"]).select("page", "i")
     )
     starts = starts.groupBy("page").agg(F.collect_list("i").alias("starts"))
     keys = tokens.where(F.col("n") == PAGE_KEY).select("page", F.col("rank").alias("key")).distinct()
-    return settle(keys.join(starts, "page").select(F.col("key").alias("page"), "starts"), "page-repeats")
+    repeats = settle(keys.join(starts, "page").select(F.col("key").alias("page"), "starts"), "page-repeats")
+    return repeats, not found.isEmpty()
 
 
 def _undecided(found: list[tuple[int, str]]) -> bool:
@@ -236,65 +353,77 @@ def _undecided(found: list[tuple[int, str]]) -> bool:
     return best_zone(found) == NEUTRAL and any(zone == NEUTRAL for zone, _ in found)
 
 
+def _covered(n: int, starts: list[int]) -> np.ndarray:
+    """How many of the first 0, 1, ..., n words stand in runs that begin at `starts`."""
+    change = np.zeros(n + RUN + 1, dtype=np.int64)
+    for start in starts:
+        change[start] += 1
+        change[start + RUN] -= 1
+    return np.concatenate(([0], np.cumsum(np.cumsum(change)[:n] > 0)))
+
+
 def page_text(found: list[tuple[int, str]], starts: list[int] | None) -> tuple[str, int]:
     """Main text of a page and how many blocks it leaves out; `starts` are its repeated runs and blocks."""
     zone = best_zone(found)
-    words, ends = _words(found)
-    change = np.zeros(len(words) + RUN + 1, dtype=np.int64)
-    whole = {-1 - start for start in starts or () if start < 0}
-    for start in starts or ():
-        if start < 0:
-            continue
-        change[start] += 1
-        change[start + RUN] -= 1
-    covered = np.concatenate(([0], np.cumsum(np.cumsum(change)[: len(words)] > 0)))
-    kept, begin = [], 0
-    for b, ((own, text), end) in enumerate(zip(found, ends, strict=True)):
-        repeated = b in whole or (end > begin and covered[end] - covered[begin] == end - begin)
-        if own == zone and not (own == NEUTRAL and repeated):
-            kept.append(text)
-        begin = end
+    if not starts:
+        kept = [text for own, text in found if own == zone]
+        return "\n".join(kept), len(found) - len(kept)
+    repeated = {-1 - start for start in starts if start < 0}
+    for inside in (False, True):
+        ends = _words(found, inside)[1]
+        first = INSIDE if inside else 0
+        covered = _covered(ends[-1], [s - first for s in starts if s >= 0 and (s >= INSIDE) == inside])
+        spans = zip([0, *ends], ends, strict=False)
+        repeated |= {b for b, (x, y) in enumerate(spans) if y > x and covered[y] - covered[x] == y - x}
+    mine = {b: text.count(" ") + 1 for b, (own, text) in enumerate(found) if own == zone}
+    if zone < NEUTRAL and 2 * sum(mine[b] for b in repeated & mine.keys()) >= sum(mine.values()):
+        repeated = set()
+    kept = [found[b][1] for b in mine if b not in repeated]
     return "\n".join(kept), len(found) - len(kept)
 
 
-def _result(ids: list, urls: list, found: list[tuple[str, int]]) -> pa.RecordBatch:
+def _result(ids: pa.Array, urls: pa.Array, found: list[tuple[str | None, int | None]]) -> pa.RecordBatch:
     texts = [t for t, _ in found]
+    sizes = [None if t is None else len(t) for t in texts]
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string()),
-            pa.array(list(map(len, texts)), pa.int64()), pa.array([n for _, n in found], pa.int64()),
-        ],
+        [ids, urls, pa.array(texts, pa.string()), pa.array(sizes, pa.int64()), pa.array([n for _, n in found], pa.int64())],
         names=["page_id", "url", "text", "n_chars", "n_left_out"],
-    )
+    )
 
 
 def _emit_decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Text of the pages that mark an article, or have no text that may be one."""
+    """Text of the pages that mark an article, or have no text that may be one; the others with their html."""
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("page_id", "url", "html"))
-        pages = [(key, url, blocks(html)) for key, url, html in zip(*columns, strict=True)]
-        pages = [page for page in pages if not _undecided(page[2])]
-        yield _result([p[0] for p in pages], [p[1] for p in pages], [page_text(p[2], None) for p in pages])
-
-
-def _emit_undecided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The other pages as they are."""
-    for batch in batches:
-        stays = [_undecided(blocks(html)) for html in batch.column("html").to_pylist()]
-        yield batch.filter(pa.array(stays, pa.bool_())).select(["page_id", "url", "html", "page"])
+        htmls = batch.column("html").to_pylist()
+        told = "starts" in batch.schema.names
+        starts = batch.column("starts").to_pylist() if told else [None] * batch.num_rows
+        parsed = [blocks(html) for html in htmls]
+        stays = [_undecided(found) for found in parsed]
+        texts = [
+            (None, None) if stay else page_text(found, s) for found, s, stay in zip(parsed, starts, stays, strict=True)
+        ]
+        result = _result(batch.column("page_id"), batch.column("url"), texts)
+        kept = pa.array([html if stay else None for html, stay in zip(htmls, stays, strict=True)], pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [*result.columns, kept, batch.column("page")], names=[*result.schema.names, "html", "page"]
+        )
 
 
 def _emit_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, urls, htmls, starts = (batch.column(c).to_pylist() for c in ("page_id", "url", "html", "starts"))
-        yield _result(ids, urls, [page_text(blocks(h), s) for h, s in zip(htmls, starts, strict=True)])
+        htmls, starts = batch.column("html").to_pylist(), batch.column("starts").to_pylist()
+        texts = [page_text(blocks(h), s) for h, s in zip(htmls, starts, strict=True)]
+        yield _result(batch.column("page_id"), batch.column("url"), texts)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """Per row: page_id, url, text, n_chars, n_left_out (blocks that are not in the text)."""
     rows = _keyed(pages)
-    repeats = repeated_runs(rows.select("host", "page", "html"))
-    decided = rows.select("page_id", "url", "html").mapInArrow(_emit_decided, RESULT)
-    undecided = rows.select("page_id", "url", "html", "page").mapInArrow(_emit_undecided, OPEN)
+    repeats, inside = repeated_runs(rows.select("host", "page", "html"))
+    marked = rows.select("page_id", "url", "html", "page")
+    marked = marked.join(repeats, "page", "left") if inside else marked
+    once = settle(marked.mapInArrow(_emit_decided, DECIDED), "page-texts")
+    undecided = once.where(F.col("html").isNotNull()).select("page_id", "url", "html", "page")
     both = undecided.join(repeats, "page", "left").select("page_id", "url", "html", "starts")
+    decided = once.where(F.col("html").isNull()).drop("html", "page")
     return decided.unionByName(both.mapInArrow(_emit_text, RESULT))
