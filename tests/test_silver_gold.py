@@ -353,6 +353,19 @@ def test_view_joins_a_hot_key_in_many_tasks(spark):
     assert tasks[10**6] == 1 and tasks[50] > 4 and tasks[1] > 4
 
 
+def test_view_sends_copies_in_proportion_to_rows(spark):
+    """A key of many pairs has a bounded number of blocks, so its rows are not repeated ever more often."""
+    air = silver_air(spark, [("hot", 7, float(i), 1, 1.0, 2.0, 1) for i in range(400)])
+    traffic = silver_traffic(spark, [("hot", 7, float(i)) for i in range(400)])
+    air.createOrReplaceTempView("many_air")
+    traffic.createOrReplaceTempView("many_traffic")
+    sql = silver_view_sql("many_air", "many_traffic", 1).split("SELECT a.zone, a.hour")
+    grids = "SELECT a.zone, a.hour".join(sql[:-1]) + "SELECT (SELECT count(*) FROM air_grid), (SELECT count(*) FROM traffic_grid)"
+    copies = spark.sql(grids).first()
+    assert max(copies) <= 400 * 10
+    assert spark.sql(silver_view_sql("many_air", "many_traffic", 1)).count() == 400 * 400
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_marts_are_equal_bit_by_bit_in_any_order(spark, seed):
     draw = random.Random(seed)

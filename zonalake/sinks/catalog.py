@@ -53,10 +53,17 @@ def register_table(spark: SparkSession, name: str, path: str, schema: StructType
     spark.catalog.refreshTable(name)
 
 
+#: Blocks of a key of the view, as long as they hold no more than PAIRS_PER_BLOCK pairs.
+BLOCKS_PER_KEY = 64
+
+
 def _blocks(own: str, other: str, pairs: int) -> str:
     """Into how many blocks a key's rows of one side are split (as in `operators.pairing`)."""
-    side = f"least(CAST({other} AS DOUBLE), sqrt({pairs}D))"
-    return f"CAST(greatest(1, ceil(CAST({own} AS DOUBLE) * {side} / {pairs}D)) AS INT)"
+    most = max(pairs, PAIRS_PER_BLOCK)
+    all_pairs = f"CAST({own} AS DOUBLE) * CAST({other} AS DOUBLE)"
+    pairs = f"greatest({pairs}D, least({most}D, {all_pairs} / {BLOCKS_PER_KEY}))"
+    side = f"least(CAST({other} AS DOUBLE), sqrt({pairs}))"
+    return f"CAST(greatest(1, ceil(CAST({own} AS DOUBLE) * {side} / {pairs})) AS INT)"
 
 
 def silver_view_sql(air_table: str, traffic_table: str, pairs_per_block: int = PAIRS_PER_BLOCK) -> str:
@@ -68,7 +75,9 @@ def silver_view_sql(air_table: str, traffic_table: str, pairs_per_block: int = P
 
     Each key is a grid of blocks, so that a hot key is joined by many tasks: a row falls in one block of
     its own side by its content, and is repeated for each block of the other side. The number of blocks
-    follows from a table of both sides' rows per key. Keys of few pairs are one block.
+    follows from a table of both sides' rows per key. Keys of `pairs_per_block` pairs are one block; larger ones have
+    about BLOCKS_PER_KEY, so that the copies sent grow with the rows and not with the pairs, and more only where
+    blocks would pass PAIRS_PER_BLOCK.
     """
     metrics = ", ".join(f"a.{m}" for m in AIR_METRICS)
     dates = ", ".join(f"a.{d}" for d in DATE_KEYS)
