@@ -353,6 +353,21 @@ def test_mirrored_pages_and_short_menus(spark, documents):
     assert {r.page_id: r.text for r in pages.main_text(frame).collect()} == wanted
 
 
+def test_suffix_work_tables_go_when_they_are_used(spark, documents):
+    import glob
+
+    from zonalake.session import shared_root
+
+    left = lambda: set(glob.glob(f"{shared_root(spark).removeprefix('file:')}/zonalake-suffix-*"))
+    before = left()
+    rows = [(1, prose(1, 300)), (2, prose(1, 300) + " end"), (3, prose(3, 100))]
+    suffixes.without_repeats(documents(rows)).collect()
+    labels = {path.rsplit("-", 1)[0].rsplit("/", 1)[1] for path in left() - before}
+    assert "zonalake-suffix-facts" in labels
+    gone = ("anchors", "phrases", "pairs", "ranks", "level", "outer", "inner", "spans", "edges")
+    assert not labels & {f"zonalake-suffix-{name}" for name in gone}
+
+
 def test_notices_inside_articles(spark, documents):
     """A passage that half of a host's articles have is boilerplate; what few quote, and versions, stay whole."""
     plain = lambda i, n: " ".join(prose(i, n).split())
