@@ -6,33 +6,62 @@ written to the shared folder and read again as the next stage's `docs`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from zonalake.llm import decontam, mixing, neardup, quality, tokens
 from zonalake.llm.files import settled_alone
 from zonalake.llm.queries import table, tokenizer_path
 
+#: Rows that a Python worker is sent at once. A row is a whole text, so 10,000 of them (Spark's default) take
+#: some 40 MB, in the JVM's buffers and in the worker, for each running task.
+BATCH_ROWS = 1_000
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage with at most BATCH_ROWS rows a batch, unless the session has fewer. The setting stays, as the
+    stage's rows are made after it returns."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        now = int(spark.conf.get(BATCH_CONF))
+        if now <= 0 or now > BATCH_ROWS:
+            spark.conf.set(BATCH_CONF, BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
 
+@in_small_batches
 def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     return quality.accepted_rows(docs, table(spark, sf_dir, "labels"))
 
 
+@in_small_batches
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return neardup.first_of_groups(docs)
 
 
+@in_small_batches
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go."""
     return decontam.clean_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
+@in_small_batches
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix of sources takes it."""
     return mixing.mix_rows(docs)
 
 
+@in_small_batches
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as binary shards of token ids; a row per document read back from them."""
     return tokens.token_report(docs, tokenizer_path())

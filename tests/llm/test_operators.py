@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -526,6 +527,23 @@ def test_pipeline_takes_every_decision(spark, tmp_path):
 
 
 # -- mixing ---------------------------------------------------------------------------------------
+def test_stages_send_texts_in_small_batches(spark, documents, monkeypatch):
+    """A Python worker never holds Spark's default of 10,000 texts at once."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    before = spark.conf.get(corpus_pipeline.BATCH_CONF)
+    monkeypatch.setattr(corpus_pipeline.tokens, "token_report", lambda docs, _: docs.mapInArrow(sizes, "n bigint"))
+    docs = spark.range(0, 5_000, 1, 1).selectExpr("id doc_id", "'text' text")
+    try:
+        found = [row.n for row in corpus_pipeline.token_output(spark, docs, "").collect()]
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH_CONF, before)
+    assert sum(found) == 5_000 and max(found) <= 1_000
+
+
 def test_mixing(documents):
     rows = cases() + [(1000 + i, prose(i, 20 + i % 9), ["hot", None, "a"][i % 3]) for i in range(300)]
     frame = documents(rows, extra=True)
