@@ -354,6 +354,18 @@ def test_mirrored_pages_and_short_menus(spark, documents):
     assert {r.page_id: r.text for r in pages.main_text(frame).collect()} == wanted
 
 
+def test_suffix_spans_merge():
+    """Spans that follow one another become one; a gap, another flag or another document begins a new one."""
+    lists = [[(5, 6, True), (0, 3, False), (4, 4, False)], [], [(7, 9, False), (11, 12, False)], [(13, 14, False)]]
+    spans = [[dict(zip(("first", "last", "chosen"), x, strict=True)) for x in spans] for spans in lists]
+    kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("chosen", pa.bool_())]))
+    columns = [pa.array([1, 2, 3, 4]), pa.array([0] * 4), pa.array(spans, kind)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["id", "tag", "covered"])
+    (found,) = suffixes._merge(iter([batch]))
+    merged = [[tuple(s.values()) for s in spans] for spans in found.column("covered").to_pylist()]
+    assert merged == [[(0, 4, False), (5, 6, True)], [], [(7, 9, False), (11, 12, False)], [(13, 14, False)]]
+
+
 def test_suffix_work_tables_go_when_they_are_used(spark, documents):
     import glob
 
