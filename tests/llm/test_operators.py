@@ -399,6 +399,41 @@ def test_notices_inside_articles(spark, documents):
     assert {r.page_id: r.text for r in pages.main_text(frame).collect()} == wanted
 
 
+def test_pages_are_parsed_once(spark, documents):
+    """Later passes read the blocks that the first one wrote: no plan but the first has the html."""
+    page = f"<p>{prose(1, 20)} a &amp; b</p>\u00a0<article><p>{prose(2, 9)}<li>x</article>"
+    rows = [(1, "http://h/1", page), (2, "http://h/2", f"<p>{prose(3, 30)}"), (3, "http://h/3", None)]
+    found = pages.main_text(spark.createDataFrame(rows, PAGE))
+    assert "html" not in found._jdf.queryExecution().toString()
+    wanted = [pages.page_text(markup.blocks(html or ""), None)[0] for _, _, html in rows]
+    assert [r.text for r in found.orderBy("page_id").collect()] == wanted
+
+
+def test_page_words_are_hashed_as_they_stand(documents):
+    """Words, blocks and pages of joined texts are those of a plain split; a page is read back as it was parsed."""
+    htmls = [f"<nav>a b</nav><article><p>{prose(i, 12)}</p><p>b</article>c" for i in range(3)] + ["", "\u00e9 a"]
+    parsed = [markup.blocks(html) for html in htmls]
+    names, kinds = ["page_id", "url", "html", "host", "page"], [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+    columns = [range(5), ["u"] * 5, htmls, [7] * 5, range(5)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+    rows = [r for b in pages._emit_parsed(iter([batch])) for r in b.to_pylist()]
+    own = {r["rank"]: r for r in rows if r["n"] in (pages.PAGE_KEY, pages.NO_BLOCKS)}
+    assert [pages._blocks_of(own[k]["zones"], own[k]["text"]) for k in range(5)] == parsed
+    words = [w for found in parsed for _, text in found for w in text.split(" ")]
+    hashes, block = pages._words_of([own[k]["text"].encode() for k in range(5) if parsed[k]])
+    hash_of = dict(zip(words, hashes.tolist(), strict=True))
+    assert len(hash_of) == len(set(words)) == len(set(hash_of.values()))
+    assert [hash_of[w] for w in words] == hashes.tolist()
+    assert np.bincount(block).tolist() == [len(text.split(" ")) for found in parsed for _, text in found]
+    tokens = {(r["page"], r["i"]): r["rank"] for r in rows if r["n"] == 0}
+    assert tokens == {
+        (own[k]["page"], i): hash_of[w] for k in range(5) for i, w in enumerate(pages._words(parsed[k])[0])
+    }
+    common = {r["rank"] for r in rows if r["n"] == pages.COMMON}
+    texts = [set(" ".join(text for _, text in found).split(" ")) for found in parsed if found]
+    assert common == {hash_of[w] for w in words if 2 * sum(w in t for t in texts) >= len(texts)}
+
+
 def plain_main_text(rows):
     """Texts of pages `(id, host, marked, blocks)` by a search of all runs of eight words."""
     runs, wholes, documents = {}, {}, {}

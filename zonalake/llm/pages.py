@@ -26,9 +26,9 @@ notice that stands in every article. An article of which such blocks are half th
 version of the others and stays whole.
 
 Ranks are counted with a combination in the map tasks and go back by joins that can be split, so a
-host with a third of all pages is spread over tasks. Html is shuffled only to tell it of runs: that of pages
-that mark no article, and that of others if articles hold such runs in more pages than can be broadcast. Three
-passes parse the pages, and a fourth those that mark no article; only their html is kept.
+host with a third of all pages is spread over tasks. Pages are parsed once and their blocks are written; later
+passes read those. Blocks are shuffled only to tell them of runs: those of pages that mark no article, and those of
+others if articles hold such runs in more pages than can be broadcast.
 
 Cases: null and empty html have an empty text; a null url is a host of its own; equal rows are one page;
 a null page_id is kept as null; a page without any block has an empty text; an empty table gives an
@@ -38,7 +38,6 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,8 +45,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonalake.llm.hashing import prefix_sums, substring_hashes
+from zonalake.llm.hashing import prefix_sums, substring_hashes, utf8
 from zonalake.llm.markup import NEUTRAL, best_zone, blocks
+from zonalake.llm.wordcodes import groups
 from zonalake.session import settle
 
 RUN = 8
@@ -56,20 +56,23 @@ SHARED = 3
 #: Documents of a host that must have a run inside articles, beside half of them: on small hosts three of five
 #: documents also share sentences of their own.
 SHARED_INSIDE = 10
-#: Rows of an Arrow batch that is handed on.
-BATCH = 50_000
-#: n is 0 for a word; for a neutral block its words, with i = -1 - its number; or one of the two below.
+#: Bytes of html or text whose words are found at once.
+GROUP_BYTES = 1 << 20
+#: n is 0 for a word; for a neutral block its words, with i = -1 - its number; or one of those below.
 TOKEN = "host bigint, page bigint, i int, rank bigint, n int"
 #: rank is the key of a page with this stream; rank is the hash of the stream's marked text.
 PAGE_KEY, MARKED = -1, -2
 #: rank is the hash of a word that half of the host's pages of a task have.
 COMMON = -3
+#: rank is the key of a page without blocks.
+NO_BLOCKS = -4
 #: Number of the first word inside articles.
 INSIDE = 1 << 30
-#: Words of hosts that a task counts before it hands them on.
-COUNTED = 300_000
+#: Words of pages that a task counts before it hands the common ones on.
+COUNTED = 2_000_000
+#: Tokens; rows with the key of a page have its blocks too: a zone each, and the texts, a line each.
+PARSED = TOKEN + ", page_id bigint, url string, zones binary, text string, undecided boolean"
 RESULT = "page_id bigint, url string, text string, n_chars bigint, n_left_out bigint"
-DECIDED = RESULT + ", html string, page bigint"
 
 
 def _keyed(pages: DataFrame) -> DataFrame:
@@ -96,11 +99,22 @@ def _words(found: list[tuple[int, str]], inside: bool = False) -> tuple[list[str
     return words, ends
 
 
-def _word_hashes(words: list[str]) -> np.ndarray:
-    coded = [w.encode("utf-8", "replace") for w in words]
-    data = np.frombuffer(b"".join(coded), np.uint8)
-    ends = np.cumsum([len(c) for c in coded])
-    return substring_hashes(prefix_sums(data), np.concatenate(([0], ends[:-1])), ends)
+def _words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of texts with a block a line, and the block of each, counted over all texts."""
+    data = np.frombuffer(b"\n".join(texts), np.uint8)
+    breaks = np.flatnonzero((data == ord(" ")) | (data == ord("\n")))
+    starts, ends = np.concatenate(([0], breaks + 1)), np.append(breaks, len(data))
+    block = np.concatenate(([0], np.cumsum(data[breaks] == ord("\n"))))
+    return substring_hashes(prefix_sums(data), starts, ends).view(np.int64), block
+
+
+def _zones_of(zones: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Zone and page of each block."""
+    return np.frombuffer(b"".join(zones), np.uint8), np.repeat(np.arange(len(zones)), [len(z) for z in zones])
+
+
+def _blocks_of(zones: bytes, text: str) -> list[tuple[int, str]]:
+    return list(zip(zones, text.split("\n"), strict=True)) if zones else []
 
 
 def _text_hash(text: str) -> int:
@@ -111,113 +125,117 @@ def _stream(host: int, found: list[tuple[int, str]]) -> int:
     return _text_hash(f"{host}\n" + "\n".join(f"{zone} {text}" for zone, text in found))
 
 
-def _common_words(counts: dict[int, Counter], seen: Counter) -> pa.RecordBatch:
-    """Words that half of a host's pages have, of those counted; a word that half of all its pages have is
-    among them in some task."""
-    rows = [(host, w) for host, own in counts.items() for w, n in own.items() if 2 * n >= seen[host]]
-    hashes = _word_hashes([w for _, w in rows]).view(np.int64) if rows else np.empty(0, np.int64)
-    counts.clear(), seen.clear()
-    none = np.zeros(len(rows), np.int64)
-    hosts = np.array([host for host, _ in rows], dtype=np.int64)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c) for c in (hosts, none, none.astype(np.int32), hashes, (none + COMMON).astype(np.int32))],
-        names=["host", "page", "i", "rank", "n"],
-    )
+def _token_rows(*columns) -> pa.RecordBatch:
+    """Rows of PARSED that are no pages, from host, page, i, rank and n."""
+    own, other = _kinds(PARSED)[:5], _kinds(PARSED)[5:]
+    arrays = [pa.array(np.asarray(c).astype(kind.to_pandas_dtype())) for c, (_, kind) in zip(columns, own, strict=True)]
+    arrays += [pa.nulls(len(arrays[0]), kind) for _, kind in other]
+    return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in own + other])
 
 
-def _emit_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[int, Counter] = {}
-    seen: Counter = Counter()
-    for batch in batches:
-        hosts, pages = batch.column("host").to_pylist(), batch.column("page").to_pylist()
-        words: list[str] = []
-        sizes: list[int] = []
-        held: list[tuple[int, int]] = []
-
-        units: list[tuple[int, int, int, int, int]] = []
-
-        def rows(words=words, sizes=sizes, held=held, units=units) -> pa.RecordBatch:
-            n = np.array(sizes, dtype=np.int64)
-            total = np.arange(n.sum())
-            hashes = _word_hashes(words).view(np.int64) if words else np.empty(0, np.int64)
-            other = np.array(units, dtype=np.int64).reshape(-1, 5).T
-            columns = [
-                np.repeat(np.array([h[0] for h in held], dtype=np.int64), n),
-                np.repeat(np.array([h[1] for h in held], dtype=np.int64), n),
-                total - np.repeat(np.cumsum(n) - n, n),
-                hashes,
-                np.zeros(len(total), np.int64),
-            ]
-            kinds = (np.int64, np.int64, np.int32, np.int64, np.int32)
-            both = [np.concatenate(c).astype(kind) for *c, kind in zip(columns, other, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in both], names=["host", "page", "i", "rank", "n"])
-
-        for host, page, html in zip(hosts, pages, batch.column("html").to_pylist(), strict=True):
-            found = blocks(html)
-            if not found:
+def _kinds(schema: str) -> list[tuple[str, pa.DataType]]:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
+    return [(name, kinds[kind]) for name, kind in (column.split() for column in schema.split(", "))]
+
+
+def _common_words(counts: dict[int, list[np.ndarray]]) -> pa.RecordBatch:
+    """Words that half of a host's pages have, of the pages counted; a word that half of all its pages have is
+    among them in some task."""
+    hosts, hashes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for host, own in counts.items():
+        words, n = np.unique(np.concatenate(own), return_counts=True)
+        hashes.append(words[2 * n >= len(own)])
+        hosts.append(np.full(len(hashes[-1]), host))
+    counts.clear()
+    none = np.zeros(sum(map(len, hashes)), np.int64)
+    return _token_rows(np.concatenate(hosts), none, none, np.concatenate(hashes), none + COMMON)
+
+
+def _page_rows(batch: pa.RecordBatch, parsed: list[list[tuple[int, str]]], streams: list[int]) -> pa.RecordBatch:
+    n = batch.num_rows
+    columns = [
+        batch.column("host"), pa.array(streams, pa.int64()), pa.array(np.zeros(n, np.int32)), batch.column("page"),
+        pa.array([PAGE_KEY if found else NO_BLOCKS for found in parsed], pa.int32()),
+        batch.column("page_id"), batch.column("url"),
+        pa.array([bytes(zone for zone, _ in found) for found in parsed], pa.binary()),
+        pa.array(["\n".join(text for _, text in found) for found in parsed], pa.string()),
+        pa.array(list(map(_undecided, parsed))),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=[name for name, _ in _kinds(PARSED)])
+
+
+def _units(host: int, stream: int, found: list[tuple[int, str]]) -> Iterator[tuple[int, int, int, int, int]]:
+    marked = "\n".join(text for zone, text in found if zone < NEUTRAL)
+    if marked:
+        yield host, stream, 0, _text_hash(marked), MARKED
+    for b, (zone, text) in enumerate(found):
+        if zone == NEUTRAL:
+            yield host, stream, -1 - b, _text_hash(text), text.count(" ") + 1
+
+
+def _emit_parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks of all pages, tokens of what lies outside articles, and common words."""
+    counts: dict[int, list[np.ndarray]] = {}
+    counted = 0
+    for whole in batches:
+        for batch in groups(whole, "html", GROUP_BYTES):
+            hosts = batch.column("host").to_pylist()
+            parsed = [blocks(html) for html in batch.column("html").to_pylist()]
+            streams = [_stream(host, found) for host, found in zip(hosts, parsed, strict=True)]
+            pages = _page_rows(batch, parsed, streams)
+            yield pages
+            units = [row for page in zip(hosts, streams, parsed, strict=True) for row in _units(*page)]
+            if units:
+                yield _token_rows(*np.array(units, dtype=np.int64).T)
+            some = [k for k, found in enumerate(parsed) if found]
+            if not some:
                 continue
-            stream = _stream(host, found)
-            counts.setdefault(host, Counter()).update(set(" ".join([text for _, text in found]).split(" ")))
-            seen[host] += 1
-            own, _ = _words(found)
-            if own:
-                words += own
-                sizes.append(len(own))
-                held.append((host, stream))
-            units.append((host, stream, 0, page, PAGE_KEY))
-            marked = "\n".join(text for zone, text in found if zone < NEUTRAL)
-            if marked:
-                units.append((host, stream, 0, _text_hash(marked), MARKED))
-            units += [
-                (host, stream, -1 - b, _text_hash(text), text.count(" ") + 1)
-                for b, (zone, text) in enumerate(found)
-                if zone == NEUTRAL
-            ]
-            if len(words) + len(units) > BATCH:
-                yield rows()
-                words.clear(), sizes.clear(), held.clear(), units.clear()
-        if units:
-            yield rows()
-        if sum(map(len, counts.values())) > COUNTED:
-            yield _common_words(counts, seen)
-    yield _common_words(counts, seen)
+            texts, own = utf8(pages.column("text")), pages.column("zones").to_pylist()
+            hashes, block = _words_of([texts[k] for k in some])
+            zones, page_of = _zones_of([own[k] for k in some])
+            page = page_of[block]
+            ends = np.searchsorted(page, np.arange(len(some) + 1))
+            for k, begin, end in zip(some, ends, ends[1:], strict=False):
+                words = np.unique(hashes[begin:end])
+                counts.setdefault(hosts[k], []).append(words)
+                counted += len(words)
+            outside = zones[block] >= NEUTRAL
+            page, hashes = page[outside], hashes[outside]
+            number = np.arange(len(page)) - np.searchsorted(page, page)
+            of = np.array(some)[page]
+            yield _token_rows(np.array(hosts)[of], np.array(streams)[of], number, hashes, np.zeros(len(page)))
+            if counted > COUNTED:
+                yield _common_words(counts)
+                counted = 0
+    yield _common_words(counts)
 
 
 def _emit_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words inside articles that stand in runs of RUN words that are all common on their host."""
-    hash_of: dict[str, int] = {}
-    common: set[int] = set()
-    for batch in batches:
-        order = batch.sort_by("host")
-        hosts = order.column("host").to_numpy()
-        for number, html in enumerate(order.column("html")):
-            host = int(hosts[number])
-            if not number or host != hosts[number - 1]:
-                common = set(order.column("common")[number].as_py())
-            found = blocks(html.as_py())
-            words, _ = _words(found, inside=True)
-            if len(hash_of) > COUNTED:
-                hash_of.clear()
-            if new := [w for w in set(words) if w not in hash_of]:
-                hash_of.update(zip(new, _word_hashes(new).view(np.int64).tolist(), strict=True))
-            known = bytes([hash_of[w] in common for w in words])
-            if bytes([1] * RUN) not in known:
-                continue
-            rare = np.concatenate(([0], np.cumsum(np.frombuffer(known, np.uint8) == 0)))
+    for whole in batches:
+        for batch in groups(whole, "text", GROUP_BYTES):
+            hosts, streams = batch.column("host").to_numpy(), batch.column("page").to_numpy()
+            hashes, block = _words_of(utf8(batch.column("text")))
+            zones, page_of = _zones_of(batch.column("zones").to_pylist())
+            inside = zones[block] < NEUTRAL
+            hashes, page = hashes[inside], page_of[block][inside]
+            ends = np.searchsorted(page, np.arange(batch.num_rows + 1))
+            known, common = np.zeros(len(hashes), dtype=bool), {}
+            for row, (begin, end) in enumerate(zip(ends, ends[1:], strict=False)):
+                if end - begin < RUN:
+                    continue
+                if hosts[row] not in common:
+                    common[hosts[row]] = np.sort(batch.column("common")[row].values.to_numpy())
+                own, words = common[hosts[row]], hashes[begin:end]
+                known[begin:end] = own[np.minimum(np.searchsorted(own, words), len(own) - 1)] == words
+            rare = np.concatenate(([0], np.cumsum(~known)))
             begins = np.flatnonzero(rare[RUN:] == rare[:-RUN])
-            change = np.zeros(len(words) + 1, dtype=np.int64)
-            change[begins] += 1
-            change[begins + RUN] -= 1
+            begins = begins[page[begins] == page[begins + RUN - 1]]
+            change = np.bincount(begins, minlength=len(page) + 1) - np.bincount(begins + RUN, minlength=len(page) + 1)
             i = np.flatnonzero(np.cumsum(change)[:-1])
-            same = np.zeros(len(i), np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(same + host), pa.array(same + _stream(host, found)),
-                    pa.array((i + INSIDE).astype(np.int32)),
-                    pa.array(_word_hashes([words[k] for k in i]).view(np.int64)), pa.array(same.astype(np.int32)),
-                ],
-                names=["host", "page", "i", "rank", "n"],
-            )
+            of = page[i]
+            columns = (hosts[of], streams[of], (i - ends[of] + INSIDE).astype(np.int32), hashes[i], np.zeros(len(i), np.int32))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["host", "page", "i", "rank", "n"])
 
 
 def _documents(tokens: DataFrame, units: DataFrame) -> DataFrame:
@@ -270,9 +288,10 @@ def _by_document(rows: DataFrame, name: list[str]) -> DataFrame:
     )
 
 
-def _inside_tokens(rows: DataFrame, tokens: DataFrame) -> DataFrame:
-    common = tokens.where(F.col("n") == COMMON).groupBy("host").agg(F.collect_set("rank").alias("common"))
-    found = rows.join(settle(common, "page-common"), "host").select("host", "html", "common")
+def _inside_tokens(parsed: DataFrame) -> DataFrame:
+    common = parsed.where(F.col("n") == COMMON).groupBy("host").agg(F.collect_set("rank").alias("common"))
+    rows = parsed.where(F.col("n") == PAGE_KEY).select("host", "page", "zones", "text")
+    found = rows.join(settle(common, "page-common"), "host")
     return settle(found.mapInArrow(_emit_inside, TOKEN), "page-inside")
 
 
@@ -293,15 +312,15 @@ def _inside_runs(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     return inside.join(counts.select(*name), name, "left_semi").select("page", "i")
 
 
-def repeated_runs(rows: DataFrame) -> tuple[DataFrame, bool]:
+def repeated_runs(parsed: DataFrame) -> tuple[DataFrame, bool]:
     """(page, starts): where runs of RUN tokens begin that other documents of the host have too, and whether
     there are runs inside articles among them.
 
     A neutral block that they have as a whole is named by -1 - its number, a word inside articles by INSIDE +
     its number. Runs are counted over all pages; those outside articles are told to pages that mark none.
     """
-    tokens = settle(rows.mapInArrow(_emit_tokens, TOKEN), "page-tokens")
-    inside = _inside_tokens(rows, tokens)
+    tokens = parsed.select("host", "page", "i", "rank", "n")
+    inside = _inside_tokens(parsed)
     units = tokens.where(F.col("n") > 0).dropDuplicates(["page", "i"])
     documents = settle(_documents(tokens, units), "page-needed")
     now = tokens.where(F.col("n") == 0).unionByName(inside).drop("n").dropDuplicates(["page", "i"])
@@ -377,48 +396,33 @@ def page_text(found: list[tuple[int, str]], starts: list[int] | None) -> tuple[s
     return "\n".join(kept), len(found) - len(kept)
 
 
-def _result(ids: pa.Array, urls: pa.Array, found: list[tuple[str | None, int | None]]) -> pa.RecordBatch:
+def _result(ids: pa.Array, urls: pa.Array, found: list[tuple[str, int]]) -> pa.RecordBatch:
     texts = [t for t, _ in found]
-    sizes = [None if t is None else len(t) for t in texts]
+    sizes = [len(t) for t in texts]
     return pa.RecordBatch.from_arrays(
         [ids, urls, pa.array(texts, pa.string()), pa.array(sizes, pa.int64()), pa.array([n for _, n in found], pa.int64())],
         names=["page_id", "url", "text", "n_chars", "n_left_out"],
     )
 
 
-def _emit_decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Text of the pages that mark an article, or have no text that may be one; the others with their html."""
-    for batch in batches:
-        htmls = batch.column("html").to_pylist()
-        told = "starts" in batch.schema.names
-        starts = batch.column("starts").to_pylist() if told else [None] * batch.num_rows
-        parsed = [blocks(html) for html in htmls]
-        stays = [_undecided(found) for found in parsed]
-        texts = [
-            (None, None) if stay else page_text(found, s) for found, s, stay in zip(parsed, starts, stays, strict=True)
-        ]
-        result = _result(batch.column("page_id"), batch.column("url"), texts)
-        kept = pa.array([html if stay else None for html, stay in zip(htmls, stays, strict=True)], pa.string())
-        yield pa.RecordBatch.from_arrays(
-            [*result.columns, kept, batch.column("page")], names=[*result.schema.names, "html", "page"]
-        )
-
-
 def _emit_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        htmls, starts = batch.column("html").to_pylist(), batch.column("starts").to_pylist()
-        texts = [page_text(blocks(h), s) for h, s in zip(htmls, starts, strict=True)]
-        yield _result(batch.column("page_id"), batch.column("url"), texts)
+        zones, texts = batch.column("zones").to_pylist(), batch.column("text").to_pylist()
+        starts = batch.column("starts").to_pylist()
+        found = [page_text(_blocks_of(z, t), s) for z, t, s in zip(zones, texts, starts, strict=True)]
+        yield _result(batch.column("page_id"), batch.column("url"), found)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """Per row: page_id, url, text, n_chars, n_left_out (blocks that are not in the text)."""
-    rows = _keyed(pages)
-    repeats, inside = repeated_runs(rows.select("host", "page", "html"))
-    marked = rows.select("page_id", "url", "html", "page")
-    marked = marked.join(repeats, "page", "left") if inside else marked
-    once = settle(marked.mapInArrow(_emit_decided, DECIDED), "page-texts")
-    undecided = once.where(F.col("html").isNotNull()).select("page_id", "url", "html", "page")
-    both = undecided.join(repeats, "page", "left").select("page_id", "url", "html", "starts")
-    decided = once.where(F.col("html").isNull()).drop("html", "page")
-    return decided.unionByName(both.mapInArrow(_emit_text, RESULT))
+    parsed = settle(_keyed(pages).mapInArrow(_emit_parsed, PARSED), "page-parsed", compression="zstd")
+    repeats, inside = repeated_runs(parsed)
+    own = parsed.where(F.col("n").isin(PAGE_KEY, NO_BLOCKS)).withColumn("page", F.col("rank"))
+    own = own.select("page_id", "url", "zones", "text", "undecided", "page")
+    told = own if inside else own.where("undecided")
+    columns = ["page_id", "url", "zones", "text", "starts"]
+    texts = told.join(repeats, "page", "left").select(*columns).mapInArrow(_emit_text, RESULT)
+    if inside:
+        return texts
+    others = own.where(~F.col("undecided")).withColumn("starts", F.lit(None).cast("array<int>")).select(*columns)
+    return others.mapInArrow(_emit_text, RESULT).unionByName(texts)
