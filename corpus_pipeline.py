@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from zonalake.llm import decontam, mixing, neardup, quality, tokens
 from zonalake.llm.files import settled_alone
 from zonalake.llm.queries import table, tokenizer_path
+from zonalake.session import BATCH_CONF, limit_batches
 
 #: Rows that a Python worker is sent at once. A row is a whole text, so 10,000 of them (Spark's default) take
 #: some 40 MB, in the JVM's buffers and in the worker, for each running task.
 BATCH_ROWS = 1_000
-BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -29,9 +29,7 @@ def in_small_batches(stage: Stage) -> Stage:
 
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        now = int(spark.conf.get(BATCH_CONF))
-        if now <= 0 or now > BATCH_ROWS:
-            spark.conf.set(BATCH_CONF, BATCH_ROWS)
+        limit_batches(spark, BATCH_ROWS)
         return stage(spark, docs, sf_dir)
 
     return run_stage

@@ -164,6 +164,27 @@ def test_repeats_just_at_the_length(documents):
     assert bag(found) == plain_cut(rows)
 
 
+def test_suffix_steps_send_documents_in_small_batches(spark, documents, monkeypatch):
+    """A document comes with hundreds of runs and windows, so a worker never holds 10,000 of them at once."""
+
+    def sizes(batches):
+        for batch in batches:
+            n, no = pa.array([batch.num_rows]), pa.nulls(1, pa.string())
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+            yield pa.RecordBatch.from_arrays([n, n, n, n, no, no.cast(pa.binary())], names=names)
+
+    before = spark.conf.get(corpus_pipeline.BATCH_CONF)
+    monkeypatch.setattr(suffixes, "_cut", sizes)
+    docs = spark.range(0, 5_000, 1, 1).selectExpr("id doc_id", "'text' text")
+    try:
+        found = [row.n_bytes for row in suffixes.without_repeats(docs).collect()]
+        spark.conf.set(corpus_pipeline.BATCH_CONF, 10)  # a session that has fewer keeps them
+        assert max(row.n_bytes for row in suffixes.without_repeats(docs).collect()) <= 10
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH_CONF, before)
+    assert sum(found) == 5_000 and max(found) <= 1_000
+
+
 # -- lines ----------------------------------------------------------------------------------------
 def one_edit(a: str, b: str) -> bool:
     if abs(len(a) - len(b)) > 1:
