@@ -185,6 +185,17 @@ def test_suffix_steps_send_documents_in_small_batches(spark, documents, monkeypa
     assert sum(found) == 5_000 and max(found) <= 1_000
 
 
+def test_ranks_go_back_without_sorting_the_places(spark, documents):
+    """The few values that occur again are hashed; sorting the places of a large table took an executor's heap."""
+    pairs = spark.createDataFrame([(i, i % 4, i % 6) for i in range(20)] + [(20, 9, 9)], "id long, r1 long, r2 long")
+    ranked = pairs.join(suffixes._ranked(pairs, ["r1", "r2"]), ["r1", "r2"])
+    assert "ShuffledHashJoin" in ranked._jdf.queryExecution().executedPlan().toString()
+    seen = Counter((i % 4, i % 6) for i in range(20))
+    found = {(r.r1, r.r2): r.rank for r in ranked.collect()}
+    assert found.keys() == {k for k, n in seen.items() if n > 1} and len(set(found.values())) == len(found)
+    assert ranked.count() == sum(n for n in seen.values() if n > 1)
+
+
 # -- lines ----------------------------------------------------------------------------------------
 def one_edit(a: str, b: str) -> bool:
     if abs(len(a) - len(b)) > 1:
